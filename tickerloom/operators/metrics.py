@@ -20,9 +20,10 @@ def with_price_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+def with_metrics(staged: DataFrame) -> DataFrame:
+    """Staging columns and metrics side by side."""
+    return with_price_metrics(staged).withColumn("debt_to_equity", X.debt_to_equity())
+
+
 def stock_metrics(staged: DataFrame) -> DataFrame:
-    return (
-        with_price_metrics(staged)
-        .withColumn("debt_to_equity", X.debt_to_equity())
-        .select(*METRIC_COLUMNS)
-    )
+    return with_metrics(staged).select(*METRIC_COLUMNS)

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickerloom.operators.metrics import with_metrics
+
 # The 20 not-null and the one unique test of the models.
 NOT_NULL = {
     "stg_stocks_enriched": [
@@ -35,27 +37,53 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _failures(
-    df: DataFrame, model: str, test: str, failing: dict[str, Column], by: str | None = None
-) -> DataFrame:
+Check = tuple[str, str, str, Column]  # model, column, test, condition of a failing row
+
+
+def _failures(df: DataFrame, checks: list[Check], by: str | None = None) -> DataFrame:
+    """Failing rows of each check, overall or per value of ``by``, in one aggregate."""
     keys = [by] if by else []
-    counts = df.groupBy(*keys).agg(*[F.count_if(bad).alias(f"{c}|n") for c, bad in failing.items()])
+    counters = [F.count_if(bad).alias(f"_{i}") for i, (_, _, _, bad) in enumerate(checks)]
     rows = [
         F.struct(
             F.lit(model).alias("model"),
             F.lit(column).alias("column_name"),
             F.lit(test).alias("test"),
-            F.col(f"{column}|n").alias("failures"),
+            F.col(f"_{i}").alias("failures"),
         )
-        for column in failing
+        for i, (model, column, test, _) in enumerate(checks)
     ]
-    return counts.select(*keys, F.inline(F.array(*rows)))
+    return df.groupBy(*keys).agg(*counters).select(*keys, F.inline(F.array(*rows)))
 
 
-def not_null(df: DataFrame, model: str, by: str | None = None) -> DataFrame:
-    """Null cells of the model's tested columns, overall or per value of ``by``."""
-    failing = {column: F.col(column).isNull() for column in NOT_NULL[model]}
-    return _failures(df, model, "not_null", failing, by)
+def _not_null_checks(model: str) -> list[Check]:
+    return [(model, c, "not_null", F.col(c).isNull()) for c in NOT_NULL[model]]
+
+
+def _range_checks(model: str) -> list[Check]:
+    checks = []
+    for column, (low, high) in RANGES.items():
+        value = F.col(column)
+        bad = (value < low) | F.isnan(value)
+        checks.append((model, column, "range", bad if high is None else bad | (value > high)))
+    return checks
+
+
+def not_null(df: DataFrame, model: str) -> DataFrame:
+    """Null cells of the model's tested columns."""
+    return _failures(df, _not_null_checks(model))
+
+
+def ranges(metrics: DataFrame, model: str = "int_stock_metrics") -> DataFrame:
+    """Values outside their accepted range, and NaN; missing values pass."""
+    return _failures(metrics, _range_checks(model))
+
+
+def row_checks(staged: DataFrame, by: str | None = None, with_ranges: bool = False) -> DataFrame:
+    """Checks of the staging and metric models in one pass: both are projections of one row."""
+    rows = with_metrics(staged)
+    checks = _not_null_checks("stg_stocks_enriched") + _not_null_checks("int_stock_metrics")
+    return _failures(rows, checks + (_range_checks("int_stock_metrics") if with_ranges else []), by)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,34 +104,23 @@ def unique(df: DataFrame, model: str) -> DataFrame:
     )
 
 
-def ranges(
-    metrics: DataFrame, model: str = "int_stock_metrics", by: str | None = None
-) -> DataFrame:
-    """Values outside their accepted range, and NaN; missing values pass."""
-    failing = {}
-    for column, (low, high) in RANGES.items():
-        value = F.col(column)
-        bad = (value < low) | F.isnan(value)
-        failing[column] = bad if high is None else bad | (value > high)
-    return _failures(metrics, model, "range", failing, by)
-
-
 def with_status(results: DataFrame) -> DataFrame:
-    return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    """Failed not-null and unique tests are failures, values out of range warnings."""
+    failed = F.when(F.col("test") == "range", "warn").otherwise("fail")
+    return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(failed))
 
 
 def suite(
-    staged: DataFrame, metrics: DataFrame, sectors: DataFrame, mart: DataFrame
+    staged: DataFrame, sectors: DataFrame, mart: DataFrame, with_ranges: bool = False
 ) -> DataFrame:
-    """All 21 tests with their status: four aggregates and one duplicate count."""
-    models = {
-        "stg_stocks_enriched": staged,
-        "int_stock_metrics": metrics,
-        "mart_sector_performance": sectors,
-        "mart_fundamentals_vs_return": mart,
-    }
-    results = [not_null(df, model) for model, df in models.items()]
-    results += [unique(models[model], model) for model in UNIQUE]
+    """All 21 tests with their status, optionally the range checks too.
+
+    One aggregate for the staging and metric models, one per mart, one duplicate count.
+    """
+    marts = {"mart_sector_performance": sectors, "mart_fundamentals_vs_return": mart}
+    results = [row_checks(staged, with_ranges=with_ranges)]
+    results += [not_null(df, model) for model, df in marts.items()]
+    results += [unique(marts[model], model) for model in UNIQUE]
     return with_status(_union(results))
 
 

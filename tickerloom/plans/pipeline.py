@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.contracts import CONTRACTS, FUNDAMENTALS, PRICES, SECURITIES
@@ -14,7 +14,9 @@ from tickerloom.operators.enrich import latest_filings, stocks_enriched
 from tickerloom.operators.marts import fundamentals_vs_return, sector_performance
 from tickerloom.operators.metrics import staging, stock_metrics
 from tickerloom.operators.prices import prices_yearly
+from tickerloom.operators.reports import report_pack
 from tickerloom.sources import tables
+from tickerloom.sources.csv_files import read_csv
 from tickerloom.sources.landing import land, landed
 
 ENRICHED = "stocks_enriched"
@@ -23,6 +25,13 @@ FUNDAMENTALS_MART = "mart_fundamentals_vs_return"
 QUALITY_LOG = "_quality"
 METRICS_LOG = "_run_metrics"
 
+# File layout: partition columns prune reads of one year, clustering serves row-group skipping.
+LAYOUTS = {
+    ENRICHED: {"partition_by": ("stock_year",), "cluster_by": ("symbol",)},
+    SECTOR_MART: {},
+    FUNDAMENTALS_MART: {"partition_by": ("stock_year",), "cluster_by": ("company_name",)},
+}
+
 
 class AuditFailed(RuntimeError):
     """Quality tests failed; nothing was published."""
@@ -61,60 +70,65 @@ def build_marts(staged: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _land_all(spark: SparkSession, config: Config) -> None:
+    for contract in CONTRACTS:
+        land(spark, contract, config.csv[contract.name], config.lake)
+
+
 def _sources(spark: SparkSession, lake: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(landed(spark, c, lake) for c in (PRICES, FUNDAMENTALS, SECURITIES))
 
 
-class _Metrics:
-    """Row counts observed while tables are written, and how long that took."""
-
-    def __init__(self):
-        self.rows: list[tuple[str, int, float]] = []
+class _Writer:
+    """Writes the tables of one run, times them and counts their rows.
 
-    def write(self, model: str, df: DataFrame, path: str, **layout) -> None:
-        seen, started = Observation(model), time.monotonic()
-        tables.write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path, **layout)
-        self.rows.append((model, seen.get["n"], time.monotonic() - started))
+    Rows are counted from the written files' footers: counters updated while writing
+    would count the rows of repeated tasks twice.
+    """
 
-    def append(self, spark: SparkSession, lake: str, run: str) -> None:
-        rows = [(run, *row) for row in self.rows]
-        (
-            spark.createDataFrame(rows, "run string, model string, n_rows long, seconds double")
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{lake}/{METRICS_LOG}")
+    def __init__(self, spark: SparkSession, config: Config):
+        self.spark, self.lake, self.run = spark, config.lake, config.run
+        self.current = tables.current_versions(spark, config.lake)
+        self.measured: list[tuple[str, str, int, float]] = []
+
+    def write(self, name: str, df: DataFrame, path: str, **layout) -> DataFrame:
+        started = time.monotonic()
+        tables.write_table(df, path, **layout)
+        seconds = time.monotonic() - started
+        written = self.spark.read.schema(df.schema).parquet(path)
+        self.measured.append((self.run, name, written.count(), seconds))
+        return written
+
+    def write_version(self, name: str, df: DataFrame) -> tables.Version:
+        version = tables.next_version(self.lake, name, df.schema, self.current)
+        self.write(name, df, version.path, **LAYOUTS[name])
+        return version
+
+    def log_metrics(self) -> None:
+        rows = self.spark.createDataFrame(
+            self.measured, "run string, model string, n_rows long, seconds double"
         )
-
-
-def _write_marts(
-    spark: SparkSession, lake: str, staged: DataFrame, metrics: _Metrics
-) -> dict[str, tuple[int, str]]:
-    written = {}
-    for name, mart in build_marts(staged).items():
-        version, path = tables.next_path(spark, lake, name)
-        cluster_by = ("company_name", "stock_year") if name == FUNDAMENTALS_MART else ()
-        metrics.write(name, mart, path, cluster_by=cluster_by)
-        written[name] = (version, path)
-    return written
+        rows.coalesce(1).write.mode("append").parquet(f"{self.lake}/{METRICS_LOG}")
 
 
 def audit(
     spark: SparkSession,
-    lake: str,
-    run: str,
+    config: Config,
     staged: DataFrame,
-    marts: dict[str, tuple[int, str]],
+    marts: dict[str, tables.Version],
 ) -> None:
-    """Run the 21 tests on written data, log the results, raise if one failed."""
+    """Run the 21 tests on written data, log the results, raise if one failed.
+
+    Values out of range are logged as warnings.
+    """
     results = quality.suite(
-        staged,
-        stock_metrics(staged),
-        spark.read.parquet(marts[SECTOR_MART][1]),
-        spark.read.parquet(marts[FUNDAMENTALS_MART][1]),
+        staged, marts[SECTOR_MART].read(spark), marts[FUNDAMENTALS_MART].read(spark), True
+    ).select(F.lit(config.run).alias("run"), "*")
+    log = f"{config.lake}/{QUALITY_LOG}"
+    results.coalesce(1).write.mode("append").parquet(log)
+    failed = spark.read.schema(results.schema).parquet(log).filter(
+        (F.col("run") == config.run) & (F.col("status") == "fail")
     )
-    log = f"{lake}/{QUALITY_LOG}"
-    results.select(F.lit(run).alias("run"), "*").coalesce(1).write.mode("append").parquet(log)
-    failed = spark.read.parquet(log).filter((F.col("run") == run) & (F.col("status") == "fail"))
     failures = failed.collect()  # at most one row per test
     if failures:
         raise AuditFailed(failures)
@@ -126,36 +140,27 @@ def run(spark: SparkSession, config: Config) -> str:
     The enriched table is written once and read back: models, marts and tests are then
     narrow scans of it, and a lost executor does not recompute the joins.
     """
-    lake = config.lake
-    for contract in CONTRACTS:
-        land(spark, contract, config.csv[contract.name], lake)
-
-    metrics = _Metrics()
-    version, path = tables.next_path(spark, lake, ENRICHED)
-    metrics.write(
-        ENRICHED,
-        build_enriched(*_sources(spark, lake), filings=config.filings),
-        path,
-        partition_by="stock_year",
-        cluster_by=("symbol",),
+    _land_all(spark, config)
+    writer = _Writer(spark, config)
+    enriched = writer.write_version(
+        ENRICHED, build_enriched(*_sources(spark, config.lake), filings=config.filings)
     )
-    staged = spark.read.parquet(path)
-    marts = _write_marts(spark, lake, staged, metrics)
-    audit(spark, lake, config.run, staged, marts)
-    tables.publish(spark, lake, {ENRICHED: (version, path), **marts}, config.run)
-    metrics.append(spark, lake, config.run)
+    staged = enriched.read(spark)
+    marts = {name: writer.write_version(name, df) for name, df in build_marts(staged).items()}
+    audit(spark, config, staged, marts)
+    tables.publish(spark, config.lake, [enriched, *marts.values()], config.run)
+    writer.log_metrics()
     return config.run
 
 
-def affected_years(prices: DataFrame | None = None, fundamentals: DataFrame | None = None) -> list[int]:
-    """Calendar years that changed price rows or filings fall into."""
-    changed = [
-        df.select(F.year(column).alias("year"))
-        for df, column in ((prices, "date"), (fundamentals, "period_ending"))
-        if df is not None
-    ]
-    years = changed[0] if len(changed) == 1 else changed[0].union(changed[1])
-    return sorted(row.year for row in years.distinct().dropna().collect())  # calendar years
+def affected_years(prices: DataFrame | None, fundamentals: DataFrame | None) -> list[int]:
+    """Calendar years that the given price rows or filings fall into."""
+    years: set[int] = set()
+    for df, date in ((prices, PRICES.year_of), (fundamentals, FUNDAMENTALS.year_of)):
+        if df is not None:
+            found = df.select(F.year(date).alias("year")).distinct().dropna().collect()
+            years.update(row.year for row in found)  # as many as there are calendar years
+    return sorted(years)
 
 
 def refreshed_years(
@@ -179,30 +184,54 @@ def refreshed_years(
     )
 
 
-def refresh(spark: SparkSession, config: Config, years: list[int]) -> str:
-    """Land the sources again, then recompute only ``years`` of the enriched table.
+def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) -> str:
+    """Recompute only the years that new files touch, and ``years``.
 
-    The recomputed rows are written aside and audited together with the kept years
-    before the table's partitions are replaced and new marts are published.
+    ``config.csv`` names new price and filing files; they are appended to what was
+    landed before. A changed security touches all its years: use ``run`` for that. The
+    recomputed rows are written aside and audited together with the kept years before
+    the table's partitions are replaced and new marts are published.
     """
-    lake = config.lake
-    _, path = tables.current(spark, lake, ENRICHED)
-    if path is None:
-        return run(spark, config)
-    for contract in CONTRACTS:
-        land(spark, contract, config.csv[contract.name], lake)
-
-    metrics = _Metrics()
-    aside = f"{lake}/_staging/{config.run}"
-    rows = refreshed_years(*_sources(spark, lake), years, config.filings)
-    metrics.write(ENRICHED, rows, aside, partition_by="stock_year", cluster_by=("symbol",))
-
-    fresh = spark.read.schema(rows.schema).parquet(aside)
-    kept = spark.read.parquet(path).filter(~F.col("stock_year").isin(years))
+    if SECURITIES.name in config.csv:
+        raise ValueError("changed securities need a full run")
+    enriched = tables.current_versions(spark, config.lake)[ENRICHED]
+    batch = {}
+    for contract in (PRICES, FUNDAMENTALS):
+        if contract.name in config.csv:
+            path = config.csv[contract.name]
+            land(spark, contract, path, config.lake, append=True)
+            batch[contract.name] = read_csv(spark, path, contract)
+    touched = affected_years(batch.get(PRICES.name), batch.get(FUNDAMENTALS.name))
+    stale = sorted({*years, *touched})
+
+    writer = _Writer(spark, config)
+    rows = refreshed_years(*_sources(spark, config.lake), stale, config.filings)
+    aside = f"{config.lake}/_refreshed/{config.run}"
+    fresh = writer.write(ENRICHED, rows, aside, **LAYOUTS[ENRICHED])
+
+    kept = enriched.read(spark).filter(~F.col("stock_year").isin(stale))
     staged = kept.unionByName(fresh)
-    marts = _write_marts(spark, lake, staged, metrics)
-    audit(spark, lake, config.run, staged, marts)
-    tables.replace_partitions(fresh, path, "stock_year", years)
-    tables.publish(spark, lake, marts, config.run)
-    metrics.append(spark, lake, config.run)
+    marts = {name: writer.write_version(name, df) for name, df in build_marts(staged).items()}
+    audit(spark, config, staged, marts)
+    tables.replace_partitions(fresh, enriched.path, "stock_year", stale)
+    tables.publish(spark, config.lake, list(marts.values()), config.run)
+    writer.log_metrics()
     return config.run
+
+
+def quality_history(spark: SparkSession, lake: str) -> DataFrame:
+    """Pass rate of every run's tests, per model."""
+    return quality.pass_rate(spark.read.parquet(f"{lake}/{QUALITY_LOG}"))
+
+
+def row_count_history(spark: SparkSession, lake: str) -> DataFrame:
+    """Row counts of every run against the run before, per table."""
+    return quality.row_count_anomalies(spark.read.parquet(f"{lake}/{METRICS_LOG}"))
+
+
+def reports_of(spark: SparkSession, lake: str, year: int | None = None) -> dict[str, DataFrame]:
+    """All reports over the published marts."""
+    versions = tables.current_versions(spark, lake)
+    return report_pack(
+        versions[SECTOR_MART].read(spark), versions[FUNDAMENTALS_MART].read(spark), year
+    )

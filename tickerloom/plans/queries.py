@@ -115,7 +115,7 @@ def ingest_raw(m: Market) -> DataFrame:
 def ingest_rejects(m: Market) -> DataFrame:
     cells = csv_files.read_cells(m.spark, m.malformed_price_csv(), PRICES)
     return (
-        csv_files.rejected_rows(cells, PRICES)
+        csv_files.rejected_rows(csv_files.parsed(cells, PRICES))
         .groupBy(F.array_join("bad_columns", ",").alias("bad_columns"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
@@ -192,7 +192,7 @@ _register("dq_intermediate", lambda m: quality.not_null(m.metrics, "int_stock_me
 _register("dq_mart_sector", lambda m: quality.not_null(m.sectors, "mart_sector_performance"))
 _register("dq_unique_sector", lambda m: quality.unique(m.sectors, "mart_sector_performance"))
 _register("dq_mart_fundamentals", lambda m: quality.not_null(m.mart, "mart_fundamentals_vs_return"))
-_register("dq_suite", lambda m: quality.suite(m.staged, m.metrics, m.sectors, m.mart))
+_register("dq_suite", lambda m: quality.suite(m.staged, m.sectors, m.mart))
 _register("dq_ranges", lambda m: quality.ranges(m.metrics))
 _register("dq_price_grain", lambda m: quality.duplicate_keys(m.price_rows, ["symbol", "date"]))
 _register("dq_orphans", lambda m: quality.orphans(m.yearly, m.fundamentals, m.securities))
@@ -216,12 +216,7 @@ def dq_rowcount_anomaly(m: Market) -> DataFrame:
 @query
 def dq_pass_rate(m: Market) -> DataFrame:
     """Each stock year stands for one run."""
-    checks = [
-        quality.not_null(m.staged, "stg_stocks_enriched", by="stock_year"),
-        quality.not_null(m.metrics, "int_stock_metrics", by="stock_year"),
-        quality.ranges(m.metrics, by="stock_year"),
-    ]
-    history = checks[0].unionByName(checks[1]).unionByName(checks[2])
+    history = quality.row_checks(m.staged, by="stock_year", with_ranges=True)
     return quality.pass_rate(history.withColumnRenamed("stock_year", "run"))
 
 
@@ -229,7 +224,10 @@ def dq_pass_rate(m: Market) -> DataFrame:
 
 
 _register("factor_correlation", lambda m: analysis.factor_correlation(m.metrics))
-_register("outlier_returns", lambda m: analysis.outlier_returns(m.yearly, LOW_PRICE))
+_register(
+    "outlier_returns",
+    lambda m: analysis.outlier_returns(tables.stored(m.yearly, "yearly"), LOW_PRICE),
+)
 
 
 # --- tables and pipeline ----------------------------------------------------------------
@@ -237,7 +235,7 @@ _register("outlier_returns", lambda m: analysis.outlier_returns(m.yearly, LOW_PR
 
 def _written_staging(m: Market, df: DataFrame | None = None) -> str:
     path = work_dir(m.spark, "stocks_enriched")
-    tables.write_table(df or m.staged, path, "stock_year", ("symbol",))
+    tables.write_table(df or m.staged, path, ("stock_year",), ("symbol",))
     return path
 
 
@@ -262,7 +260,9 @@ def incremental_refresh(m: Market) -> DataFrame:
     )
     path = _written_staging(m, outdated)
     years = [REFRESHED_YEAR]
-    fresh = pipeline.refreshed_years(m.prices, m.fundamentals, m.securities, years)
+    fresh = tables.stored(
+        pipeline.refreshed_years(m.prices, m.fundamentals, m.securities, years), "refreshed"
+    )
     tables.replace_partitions(fresh, path, "stock_year", years)
     return m.spark.read.parquet(path)
 

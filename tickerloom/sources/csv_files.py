@@ -33,43 +33,53 @@ def read_cells(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     )
 
 
-def _bad_columns(contract: Contract) -> Column:
-    """Names of the columns whose text is present but not of the contract's type."""
-    return F.array_compact(
+def parsed(cells: DataFrame, contract: Contract) -> DataFrame:
+    """Typed columns, plus for each malformed row the columns at fault and its text.
+
+    A row is malformed if a cell is present but not of the contract's type. Missing
+    cells are allowed. Everything is derived in one pass over the text.
+    """
+    at_fault = F.array_compact(
         F.array(
             *[
                 F.when(
-                    F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.type).isNull(),
-                    F.lit(f.name),
+                    F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.type).isNull(), f.name
                 )
                 for f in contract.fields
-                if f.type != "string"
             ]
         )
     )
+    malformed = F.size("bad_columns") > 0
+    text = F.struct(*[F.col(f"_text.{f.name}") for f in contract.fields])
+    return (
+        cells.withColumn("bad_columns", at_fault)
+        .select(
+            *[F.col(f.name).try_cast(f.type).alias(f.name) for f in contract.fields],
+            F.struct(*contract.columns).alias("_text"),
+            "bad_columns",
+            "source_file",
+        )
+        .select(
+            *contract.columns,
+            F.when(malformed, F.col("bad_columns")).alias("bad_columns"),
+            F.when(malformed, text).alias("text"),
+            F.when(malformed, F.col("source_file")).alias("source_file"),
+        )
+    )
+
+
+def typed_rows(rows: DataFrame, contract: Contract) -> DataFrame:
+    """The well-formed rows of a parsed source."""
+    return rows.filter(F.col("bad_columns").isNull()).select(*contract.columns)
 
 
-def typed_rows(cells: DataFrame, contract: Contract) -> DataFrame:
-    """Rows that meet the contract, cast to its types."""
-    well_formed = [
-        F.col(f.name).isNull() | F.col(f.name).try_cast(f.type).isNotNull()
-        for f in contract.fields
-        if f.type != "string"
-    ]
-    for condition in well_formed:
-        cells = cells.filter(condition)
-    return cells.select(*[F.col(f.name).try_cast(f.type).alias(f.name) for f in contract.fields])
-
-
-def rejected_rows(cells: DataFrame, contract: Contract) -> DataFrame:
-    """Rows with a malformed cell: the text as it was, the columns at fault, the file."""
-    if all(f.type == "string" for f in contract.fields):
-        return cells.withColumn("bad_columns", F.array().cast("array<string>")).filter(F.lit(False))
-    return cells.withColumn("bad_columns", _bad_columns(contract)).filter(
-        F.size("bad_columns") > 0
+def rejected_rows(rows: DataFrame) -> DataFrame:
+    """The malformed rows of a parsed source as text."""
+    return rows.filter(F.col("bad_columns").isNotNull()).select(
+        "text.*", "bad_columns", "source_file"
     )
 
 
 def read_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """The well-formed rows of a CSV source, typed."""
-    return typed_rows(read_cells(spark, path, contract), contract)
+    return typed_rows(parsed(read_cells(spark, path, contract), contract), contract)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.contracts import Contract
 from tickerloom.sources import tables
-from tickerloom.sources.csv_files import read_cells, rejected_rows, typed_rows
+from tickerloom.sources.csv_files import parsed, read_cells, rejected_rows
 
 
 def load_id(spark: SparkSession, path: str) -> str:
@@ -23,32 +25,56 @@ def load_id(spark: SparkSession, path: str) -> str:
     return f"{(row.digest or 0) & 0xFFFFFFFFFFFFFFFF:016x}{row.n:x}"
 
 
-def land(spark: SparkSession, contract: Contract, csv_path: str, lake: str) -> bool:
-    """Land a CSV source as ``raw_<name>`` and its rejects as ``rejects_<name>``.
+def land(
+    spark: SparkSession, contract: Contract, csv_path: str, lake: str, append: bool = False
+) -> bool:
+    """Land a CSV source as ``raw_<name>``; False if these files have been landed already.
 
-    Landing the current load again changes nothing and returns False. A new load gets a
-    new version; earlier versions stay. The header is checked before anything is written.
+    By default the files replace what was landed before, as a new version. With
+    ``append`` they are added to the current version. The header is checked before
+    anything is written. Accepted and rejected rows come from one pass over the text and
+    go to partitions of their own, the accepted ones by year, so that a refresh of some
+    years reads those only.
     """
     cells = read_cells(spark, csv_path, contract)
     tables.create_lake(spark, lake)
-    run = load_id(spark, csv_path)
-    name, rejects_name = f"raw_{contract.name}", f"rejects_{contract.name}"
-    version, path = tables.next_path(spark, lake, name)
-    is_current = (F.col("name") == name) & (F.col("version") == version - 1) & (F.col("run") == run)
-    if not tables.publications(spark, lake).filter(is_current).isEmpty():
+    run, name = load_id(spark, csv_path), f"raw_{contract.name}"
+    current = tables.current_versions(spark, lake)
+    append = append and name in current
+    if append:
+        known = tables.publications(spark, lake).filter(
+            (F.col("path") == current[name].path) & (F.col("run") == run)
+        )
+        if not known.isEmpty():
+            return False
+    elif name in current and current[name].run == run:
         return False
 
-    rows = typed_rows(cells, contract)
+    status = F.when(F.col("bad_columns").isNull(), "accepted").otherwise("rejected")
+    rows = parsed(cells, contract).withColumn("status", status)
+    partition_by = ("status",)
     if contract.year_of:
         rows = rows.withColumn(contract.year_column, F.year(contract.year_of))
-    tables.write_table(rows, path, contract.year_column, contract.cluster_by)
-    rejects_path = f"{lake}/{rejects_name}/v{version:06d}"
-    tables.write_table(rejected_rows(cells, contract), rejects_path)
-    tables.publish(
-        spark, lake, {name: (version, path), rejects_name: (version, rejects_path)}, run
-    )
+        partition_by += (contract.year_column,)
+    version = tables.next_version(lake, name, rows.schema, current)
+    if append:
+        version = replace(version, path=current[name].path)
+    mode = "append" if append else "overwrite"
+    tables.write_table(rows, version.path, partition_by, contract.cluster_by, mode)
+    tables.publish(spark, lake, [version], run)
     return True
 
 
+def _with_status(spark: SparkSession, contract: Contract, lake: str, status: str) -> DataFrame:
+    rows = tables.read_current(spark, lake, f"raw_{contract.name}")
+    return rows.filter(F.col("status") == status)
+
+
 def landed(spark: SparkSession, contract: Contract, lake: str) -> DataFrame:
-    return tables.read_current(spark, lake, f"raw_{contract.name}")
+    """Accepted rows, with the partition year where the contract has one."""
+    rows = _with_status(spark, contract, lake, "accepted")
+    return rows.drop("status", "bad_columns", "text", "source_file")
+
+
+def landing_rejects(spark: SparkSession, contract: Contract, lake: str) -> DataFrame:
+    return rejected_rows(_with_status(spark, contract, lake, "rejected"))

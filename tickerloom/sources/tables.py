@@ -2,29 +2,44 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tickerloom.session import work_dir
 
 PUBLICATIONS = "_publications"
-PUBLICATION_SCHEMA = "name string, version long, path string, run string"
+PUBLICATION_SCHEMA = "name string, number long, path string, schema string, run string"
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: str | None = None, cluster_by: tuple[str, ...] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = (),
+    cluster_by: tuple[str, ...] = (),
+    mode: str = "overwrite",
 ) -> None:
     """Write Parquet in evenly sized files, sorted inside each file by ``cluster_by``.
 
     The rebalance hint lets AQE merge small and split large write partitions, so a
-    partition value that holds a third of all rows is written by many tasks.
+    partition value that holds a third of all rows is written by many tasks. File sizes
+    follow ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
-    balanced = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
-    order = [*([partition_by] if partition_by else []), *cluster_by]
-    if order:
-        balanced = balanced.sortWithinPartitions(*order)
-    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    balanced = df.hint("rebalance", *partition_by)
+    if partition_by or cluster_by:
+        balanced = balanced.sortWithinPartitions(*partition_by, *cluster_by)
+    writer = balanced.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the working folder and read back: computed once, lineage cut."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def register_views(**frames: DataFrame) -> None:
@@ -38,6 +53,18 @@ def register_views(**frames: DataFrame) -> None:
 # tables of a run are published by one append of one file, so readers see all or none.
 
 
+@dataclass(frozen=True)
+class Version:
+    name: str
+    number: int
+    path: str
+    schema: str  # of the written frame, as JSON: reading needs no inference job
+    run: str = ""
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(StructType.fromJson(json.loads(self.schema))).parquet(self.path)
+
+
 def create_lake(spark: SparkSession, lake: str) -> None:
     """Start an empty publication log unless the lake has one."""
     empty = spark.createDataFrame([], PUBLICATION_SCHEMA)
@@ -48,27 +75,25 @@ def publications(spark: SparkSession, lake: str) -> DataFrame:
     return spark.read.schema(PUBLICATION_SCHEMA).parquet(f"{lake}/{PUBLICATIONS}")
 
 
-def current(spark: SparkSession, lake: str, name: str) -> tuple[int, str | None]:
-    """Latest published version of a table and its path; (0, None) if there is none."""
-    latest = (
-        publications(spark, lake)
-        .filter(F.col("name") == name)
-        .agg(F.max("version").alias("version"), F.max_by("path", "version").alias("path"))
-        .first()
+def current_versions(spark: SparkSession, lake: str) -> dict[str, Version]:
+    """The latest published version of each table (one row per table)."""
+    latest = publications(spark, lake).groupBy("name").agg(
+        F.max("number").alias("number"),
+        *[F.max_by(c, "number").alias(c) for c in ("path", "schema", "run")],
     )
-    return (latest.version or 0, latest.path)
+    return {row.name: Version(**row.asDict()) for row in latest.collect()}
 
 
-def next_path(spark: SparkSession, lake: str, name: str) -> tuple[int, str]:
-    version = current(spark, lake, name)[0] + 1
-    return version, f"{lake}/{name}/v{version:06d}"
+def next_version(
+    lake: str, name: str, schema: StructType, current: dict[str, Version]
+) -> Version:
+    number = current[name].number + 1 if name in current else 1
+    return Version(name, number, f"{lake}/{name}/v{number:06d}", schema.json())
 
 
-def publish(
-    spark: SparkSession, lake: str, tables: dict[str, tuple[int, str]], run: str
-) -> None:
-    """Make written versions current: ``tables`` maps a name to (version, path)."""
-    rows = [(name, version, path, run) for name, (version, path) in tables.items()]
+def publish(spark: SparkSession, lake: str, versions: list[Version], run: str) -> None:
+    """Make written versions current."""
+    rows = [(v.name, v.number, v.path, v.schema, run) for v in versions]
     (
         spark.createDataFrame(rows, PUBLICATION_SCHEMA)
         .coalesce(1)
@@ -78,25 +103,25 @@ def publish(
 
 
 def read_current(spark: SparkSession, lake: str, name: str) -> DataFrame:
-    _, path = current(spark, lake, name)
-    if path is None:
+    versions = current_versions(spark, lake)
+    if name not in versions:
         raise ValueError(f"{name} has not been published in {lake}")
-    return spark.read.parquet(path)
+    return versions[name].read(spark)
 
 
 def register_current(spark: SparkSession, lake: str, name: str, database: str = "default") -> None:
     """Point a catalog view at the current version (one catalog operation)."""
-    _, path = current(spark, lake, name)
+    path = current_versions(spark, lake)[name].path
     spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{path}`")
 
 
-# --- partition refresh ----------------------------------------------------------------
+# --- partition refresh and compaction --------------------------------------------------
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: str, values: list[int]) -> None:
     """Replace the partitions ``values`` of a table by the rows of ``df``, leaving the others.
 
-    ``df`` must hold rows of these partitions only and must not read ``path``.
+    ``df`` is a stored frame with rows of these partitions only; it must not read ``path``.
     """
     spark = df.sparkSession
     (
@@ -117,13 +142,10 @@ def compact(
     spark: SparkSession,
     source: str,
     target: str,
-    partition_by: str | None = None,
+    partition_by: tuple[str, ...] = (),
     cluster_by: tuple[str, ...] = (),
 ) -> None:
-    """Rewrite a table of many small files as a new version with even files.
-
-    The file size follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
-    """
+    """Rewrite a table of many small files as a new version with even files."""
     write_table(spark.read.parquet(source), target, partition_by, cluster_by)
 
 
