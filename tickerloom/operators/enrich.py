@@ -29,11 +29,16 @@ def latest_filings(fundamentals: DataFrame, tie_breakers: tuple[str, ...] = ())
 
 
 def join_prices_fundamentals(
-    yearly: DataFrame, fundamentals: DataFrame, hot_rows: int = HOT_ROWS
+    yearly: DataFrame,
+    fundamentals: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    check_first: bool = False,
 ) -> DataFrame:
     """Inner join on symbol and fiscal year; several filings in a year give several rows."""
     filings = fundamentals.withColumn("year", F.year("period_ending"))
-    return join_to_unique(filings, yearly, ["symbol", "year"], ["period_ending"], hot_rows)
+    return join_to_unique(
+        filings, yearly, ["symbol", "year"], ["period_ending"], hot_rows, check_first
+    )
 
 
 def stocks_enriched(
@@ -41,15 +46,18 @@ def stocks_enriched(
     fundamentals: DataFrame,
     securities: DataFrame,
     hot_rows: int = HOT_ROWS,
+    check_first: bool = False,
 ) -> DataFrame:
     """Yearly prices with filings and security attributes, 16 columns.
 
-    ``securities`` carries no broadcast hint: Spark broadcasts it below
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, where AQE can
-    split a hot symbol because both inputs are fresh shuffles.
+    ``securities`` joins the yearly prices, the smaller side, before the filings fan
+    them out. It carries no broadcast hint: Spark broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, where a symbol
+    has one row per year.
     """
-    joined = join_prices_fundamentals(yearly, fundamentals, hot_rows)
-    return joined.join(securities, "symbol", "inner").select(*ENRICHED_COLUMNS)
+    described = yearly.join(securities, "symbol", "inner")
+    joined = join_prices_fundamentals(described, fundamentals, hot_rows, check_first)
+    return joined.select(*ENRICHED_COLUMNS)
 
 
 def filings_per_year(fundamentals: DataFrame) -> DataFrame:

@@ -28,9 +28,10 @@ def sector_performance_by_counts(
     number of filings as weight. Filings are counted map-side before they are shuffled,
     so many filings under one key cost nothing, and no filing column but its date is read.
     """
+    described = yearly.join(securities.select("symbol", "sector"), "symbol", "inner")
     counted = with_price_metrics(
-        yearly.join(filings_per_year(fundamentals), ["symbol", "year"], "inner")
-    ).join(securities.select("symbol", "sector"), "symbol", "inner")
+        described.join(filings_per_year(fundamentals), ["symbol", "year"], "inner")
+    )
     weight = F.col("n_filings")
 
     def weighted_avg(name: str):

@@ -94,16 +94,20 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def unique(df: DataFrame, model: str) -> DataFrame:
-    column = UNIQUE[model]
-    return duplicate_keys(df, [column]).agg(F.count(F.lit(1)).alias("failures")).select(
+def unique_key(df: DataFrame, model: str, keys: list[str]) -> DataFrame:
+    """Number of key values that occur more than once."""
+    return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(model).alias("model"),
-        F.lit(column).alias("column_name"),
+        F.lit(",".join(keys)).alias("column_name"),
         F.lit("unique").alias("test"),
         "failures",
     )
 
 
+def unique(df: DataFrame, model: str) -> DataFrame:
+    return unique_key(df, model, [UNIQUE[model]])
+
+
 def with_status(results: DataFrame) -> DataFrame:
     """Failed not-null and unique tests are failures, values out of range warnings."""
     failed = F.when(F.col("test") == "range", "warn").otherwise("fail")

@@ -195,7 +195,10 @@ _register("dq_mart_fundamentals", lambda m: quality.not_null(m.mart, "mart_funda
 _register("dq_suite", lambda m: quality.suite(m.staged, m.sectors, m.mart))
 _register("dq_ranges", lambda m: quality.ranges(m.metrics))
 _register("dq_price_grain", lambda m: quality.duplicate_keys(m.price_rows, ["symbol", "date"]))
-_register("dq_orphans", lambda m: quality.orphans(m.yearly, m.fundamentals, m.securities))
+_register(
+    "dq_orphans",
+    lambda m: quality.orphans(tables.stored(m.yearly, "yearly"), m.fundamentals, m.securities),
+)
 
 
 @query

@@ -21,17 +21,21 @@ def write_table(
     partition_by: tuple[str, ...] = (),
     cluster_by: tuple[str, ...] = (),
     mode: str = "overwrite",
+    balance: bool = True,
 ) -> None:
-    """Write Parquet in evenly sized files, sorted inside each file by ``cluster_by``.
+    """Write Parquet partitioned by ``partition_by``, sorted inside files by ``cluster_by``.
 
-    The rebalance hint lets AQE merge small and split large write partitions, so a
-    partition value that holds a third of all rows is written by many tasks. File sizes
-    follow ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    ``balance`` shuffles the rows into evenly sized files: the rebalance hint lets AQE
+    merge small and split large write partitions, so a partition value that holds a
+    third of all rows is written by many tasks. File sizes follow
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. Leave it off for rows straight
+    from a scan, whose tasks are even already.
     """
-    balanced = df.hint("rebalance", *partition_by)
+    if balance:
+        df = df.hint("rebalance", *partition_by)
     if partition_by or cluster_by:
-        balanced = balanced.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = balanced.write.mode(mode).option("partitionOverwriteMode", "static")
+        df = df.sortWithinPartitions(*partition_by, *cluster_by)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(path)
 
 
