@@ -18,7 +18,6 @@ class Contract:
     fields: tuple[Field, ...]
     year_of: str | None = None  # date column whose year partitions the landed table
     year_column: str | None = None
-    cluster_by: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -37,7 +36,6 @@ PRICES = Contract(
     ),
     year_of="date",
     year_column="trade_year",
-    cluster_by=("symbol", "date"),
 )
 
 FUNDAMENTALS = Contract(
@@ -55,7 +53,6 @@ FUNDAMENTALS = Contract(
     ),
     year_of="period_ending",
     year_column="fiscal_year",
-    cluster_by=("symbol", "period_ending"),
 )
 
 SECURITIES = Contract(
@@ -66,7 +63,6 @@ SECURITIES = Contract(
         Field("GICS Sector", "sector", "string"),
         Field("GICS Sub Industry", "sub_industry", "string"),
     ),
-    cluster_by=("symbol",),
 )
 
 CONTRACTS = (PRICES, FUNDAMENTALS, SECURITIES)

@@ -74,8 +74,8 @@ RELATIONS = {
                avg(risk_adj_return) AS avg_risk_adj_return
         FROM metrics GROUP BY sector""",
     "ranked": """
-        SELECT row_number() OVER (ORDER BY avg_risk_adj_return DESC NULLS LAST, sector) AS position,
-               * FROM sectors""",
+        SELECT CAST(row_number() OVER (ORDER BY avg_risk_adj_return DESC NULLS LAST, sector)
+                    AS INTEGER) AS position, * FROM sectors""",
     "mart": f"SELECT {', '.join(FUNDAMENTALS_MART_COLUMNS)} FROM metrics",
     "returns": """
         SELECT symbol, date, close,
@@ -356,7 +356,7 @@ ORACLES: dict[str, str] = {
     # analysis
     "factor_correlation": statement(
         " UNION ALL ".join(
-            f"""SELECT sector, '{f}' AS factor, regr_count(yearly_return, {f}) AS n_pairs,
+            f"""SELECT sector, '{f}' AS factor, CAST(regr_count(yearly_return, {f}) AS BIGINT) AS n_pairs,
                {rounded(f'corr(yearly_return, {f})', 'correlation')},
                {rounded(f'regr_slope(yearly_return, {f})', 'slope')}
             FROM metrics GROUP BY sector"""

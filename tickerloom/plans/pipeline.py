@@ -109,10 +109,8 @@ class _Writer:
         return version
 
     def log_metrics(self) -> None:
-        rows = self.spark.createDataFrame(
-            self.measured, "run string, model string, n_rows long, seconds double"
-        )
-        rows.coalesce(1).write.mode("append").parquet(f"{self.lake}/{METRICS_LOG}")
+        schema = "run string, model string, n_rows long, seconds double"
+        tables.append_rows(self.spark, self.measured, schema, f"{self.lake}/{METRICS_LOG}")
 
 
 def audit(

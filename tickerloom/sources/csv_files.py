@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,33 +39,32 @@ def parsed(cells: DataFrame, contract: Contract) -> DataFrame:
     """Typed columns, plus for each malformed row the columns at fault and its text.
 
     A row is malformed if a cell is present but not of the contract's type. Missing
-    cells are allowed. Everything is derived in one pass over the text.
+    cells are allowed. One pass over the text; each cell is cast once.
     """
-    at_fault = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.type).isNull(), f.name
-                )
-                for f in contract.fields
-            ]
-        )
+
+    def text(field) -> Column:
+        return F.col(f"text_{field.name}")
+
+    def at_fault(field) -> Column:
+        return text(field).isNotNull() & F.col(field.name).isNull()
+
+    malformed = reduce(Column.__or__, map(at_fault, contract.fields))
+    fault_names = F.array_compact(
+        F.array(*[F.when(at_fault(f), F.lit(f.name)) for f in contract.fields])
     )
-    malformed = F.size("bad_columns") > 0
-    text = F.struct(*[F.col(f"_text.{f.name}") for f in contract.fields])
+    row_text = F.struct(*[text(f).alias(f.name) for f in contract.fields])
     return (
-        cells.withColumn("bad_columns", at_fault)
-        .select(
+        cells.select(
             *[F.col(f.name).try_cast(f.type).alias(f.name) for f in contract.fields],
-            F.struct(*contract.columns).alias("_text"),
-            "bad_columns",
+            *[F.col(f.name).alias(f"text_{f.name}") for f in contract.fields],
             "source_file",
         )
+        .withColumn("malformed", malformed)
         .select(
             *contract.columns,
-            F.when(malformed, F.col("bad_columns")).alias("bad_columns"),
-            F.when(malformed, text).alias("text"),
-            F.when(malformed, F.col("source_file")).alias("source_file"),
+            F.when(F.col("malformed"), fault_names).alias("bad_columns"),
+            F.when(F.col("malformed"), row_text).alias("text"),
+            F.when(F.col("malformed"), F.col("source_file")).alias("source_file"),
         )
     )
 

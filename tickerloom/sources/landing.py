@@ -60,8 +60,9 @@ def land(
     if append:
         version = replace(version, path=current[name].path)
     mode = "append" if append else "overwrite"
-    # No shuffle: CSV splits are even, and a task writes one file per year it holds.
-    tables.write_table(rows, version.path, partition_by, contract.cluster_by, mode, balance=False)
+    # Neither shuffled nor clustered: CSV splits are even, and a task writes one file per
+    # year it holds. ``tables.compact`` rewrites a raw table where that gives small files.
+    tables.write_table(rows, version.path, partition_by, mode=mode, balance=False)
     tables.publish(spark, lake, [version], run)
     return True
 

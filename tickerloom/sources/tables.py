@@ -33,7 +33,7 @@ def write_table(
     """
     if balance:
         df = df.hint("rebalance", *partition_by)
-    if partition_by or cluster_by:
+    if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(path)
@@ -52,6 +52,17 @@ def register_views(**frames: DataFrame) -> None:
         df.createOrReplaceTempView(name)
 
 
+def append_rows(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
+    """Append a few driver-side rows to a log as one file."""
+    fields = StructType.fromDDL(schema).fields
+    literals = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    log_rows = spark.range(1, numPartitions=1).select(F.inline(F.array(*literals)))
+    log_rows.write.mode("append").parquet(path)
+
+
 # --- versions -----------------------------------------------------------------------
 # A version is a directory nobody reads until a row for it is appended to the log. All
 # tables of a run are published by one append of one file, so readers see all or none.
@@ -98,12 +109,7 @@ def next_version(
 def publish(spark: SparkSession, lake: str, versions: list[Version], run: str) -> None:
     """Make written versions current."""
     rows = [(v.name, v.number, v.path, v.schema, run) for v in versions]
-    (
-        spark.createDataFrame(rows, PUBLICATION_SCHEMA)
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(f"{lake}/{PUBLICATIONS}")
-    )
+    append_rows(spark, rows, PUBLICATION_SCHEMA, f"{lake}/{PUBLICATIONS}")
 
 
 def read_current(spark: SparkSession, lake: str, name: str) -> DataFrame:
