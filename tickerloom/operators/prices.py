@@ -7,7 +7,7 @@ rows per calendar year however the symbols are distributed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 TRADING_DAYS = 252  # fixed value: trading days per year, to annualise
@@ -23,6 +23,7 @@ def prices_yearly(prices: DataFrame) -> DataFrame:
     ``min_by``/``max_by`` aggregate map-side, so the shuffle carries one row per
     symbol-year and map task instead of every price row, and nothing is sorted. A null
     close on the first day stays null, as the first value of the ordered year would.
+    Rows without a date have no first or last; no filing joins them.
     """
     return prices.groupBy("symbol", F.year("date").alias("year")).agg(
         F.min_by("close", "date").alias("first_close"),
@@ -45,7 +46,7 @@ def prices_yearly_sql(spark: SparkSession) -> DataFrame:
     )
 
 
-def _year_of_symbol():
+def _year_of_symbol() -> WindowSpec:
     return Window.partitionBy("symbol", F.year("date")).orderBy("date")
 
 
@@ -72,8 +73,8 @@ def prices_yearly_windowed(prices: DataFrame) -> DataFrame:
     )
 
 
-def _days_of_symbol():
-    return Window.partitionBy("symbol").orderBy("date")
+def _days_of_symbol() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy(F.col("date").asc_nulls_last())
 
 
 def daily_returns(prices: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def rolling_volatility(prices: DataFrame, days: int = 20) -> DataFrame:
     """Sample standard deviation of the last ``days`` daily returns, NULL until there are that many."""
     recent = _days_of_symbol().rowsBetween(1 - days, 0)
     observed = F.count("daily_return").over(recent)
-    sigma: Column = F.stddev_samp("daily_return").over(recent)
+    sigma = F.stddev_samp("daily_return").over(recent)
     return daily_returns(prices).select(
         "symbol", "date", "daily_return", F.when(observed == days, sigma).alias("rolling_sigma")
     )

@@ -322,17 +322,19 @@ ORACLES: dict[str, str] = {
     ),
     "dq_price_grain": statement(
         """SELECT symbol, CAST(date AS VARCHAR) AS date, count(*) AS n_rows FROM price_rows
-        GROUP BY ALL HAVING count(*) > 1"""
+        WHERE symbol IS NOT NULL AND date IS NOT NULL GROUP BY ALL HAVING count(*) > 1"""
     ),
     "dq_orphans": statement(
         """SELECT 'filing without prices' AS problem, symbol,
                CAST(year(period_ending) AS INTEGER) AS year, count(*) AS n_rows
-        FROM fundamentals WHERE (symbol, year(period_ending)) NOT IN (SELECT (symbol, year) FROM yearly)
+        FROM fundamentals AS f
+        WHERE NOT EXISTS (FROM yearly AS y WHERE y.symbol = f.symbol AND y.year = year(f.period_ending))
         GROUP BY ALL
-        UNION ALL SELECT 'prices without filing', symbol, year, 1 FROM yearly
-        WHERE (symbol, year) NOT IN (SELECT (symbol, year(period_ending)) FROM fundamentals)
-        UNION ALL SELECT 'prices without security', symbol, year, 1 FROM yearly
-        WHERE symbol NOT IN (SELECT symbol FROM securities)"""
+        UNION ALL SELECT 'prices without filing', symbol, year, 1 FROM yearly AS y
+        WHERE NOT EXISTS (FROM fundamentals AS f
+                          WHERE f.symbol = y.symbol AND year(f.period_ending) = y.year)
+        UNION ALL SELECT 'prices without security', symbol, year, 1 FROM yearly AS y
+        WHERE NOT EXISTS (FROM securities AS s WHERE s.symbol = y.symbol)"""
     ),
     "dq_freshness": statement(
         f"""SELECT source, CAST(latest AS VARCHAR) AS latest,

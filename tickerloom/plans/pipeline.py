@@ -16,7 +16,7 @@ from tickerloom.operators.metrics import staging, stock_metrics
 from tickerloom.operators.prices import prices_yearly
 from tickerloom.operators.reports import report_pack
 from tickerloom.sources import tables
-from tickerloom.sources.csv_files import read_csv
+from tickerloom.sources.csv_files import read_cells, read_csv
 from tickerloom.sources.landing import land, landed
 
 ENRICHED = "stocks_enriched"
@@ -75,6 +75,8 @@ def build_marts(staged: DataFrame) -> dict[str, DataFrame]:
 
 
 def _land_all(spark: SparkSession, config: Config) -> None:
+    for contract in CONTRACTS:  # all headers, before the first source is landed
+        read_cells(spark, config.csv[contract.name], contract)
     for contract in CONTRACTS:
         land(spark, contract, config.csv[contract.name], config.lake)
 
@@ -238,6 +240,17 @@ def row_count_history(spark: SparkSession, lake: str) -> DataFrame:
     return quality.row_count_anomalies(spark.read.parquet(f"{lake}/{METRICS_LOG}"))
 
 
+def register_models(spark: SparkSession, lake: str) -> None:
+    """Temporary views of the published models: staging and metrics lazy, marts as stored."""
+    versions = tables.current_versions(spark, lake)
+    staged = versions[ENRICHED].read(spark)
+    tables.register_views(
+        stg_stocks_enriched=staged,
+        int_stock_metrics=stock_metrics(staged),
+        **{name: versions[name].read(spark) for name in (SECTOR_MART, FUNDAMENTALS_MART)},
+    )
+
+
 def reports_of(spark: SparkSession, lake: str, year: int | None = None) -> dict[str, DataFrame]:
     """All reports over the published marts."""
     versions = tables.current_versions(spark, lake)

@@ -171,7 +171,14 @@ def flagship_sector_ranking(m: Market) -> DataFrame:
 # --- reports ----------------------------------------------------------------------------
 
 
-_register("report_kpis", lambda m: reports.kpis(m.sectors, m.mart))
+@query
+def report_kpis(m: Market) -> DataFrame:
+    """Both marts from one computation of the metrics, of which five columns are needed."""
+    needed = ["sector", "company_name", "yearly_return", "volatility", "risk_adj_return"]
+    built = tables.stored(m.metrics.select(*needed), "metrics")
+    return reports.kpis(marts.sector_performance(built), built)
+
+
 _register("report_sector_ranking", lambda m: reports.sector_ranking(m.sectors))
 _register("report_sector_table", lambda m: reports.sector_table(m.sectors))
 _register("report_fundamentals", lambda m: reports.fundamentals_listing(m.mart))
@@ -192,7 +199,6 @@ _register("dq_intermediate", lambda m: quality.not_null(m.metrics, "int_stock_me
 _register("dq_mart_sector", lambda m: quality.not_null(m.sectors, "mart_sector_performance"))
 _register("dq_unique_sector", lambda m: quality.unique(m.sectors, "mart_sector_performance"))
 _register("dq_mart_fundamentals", lambda m: quality.not_null(m.mart, "mart_fundamentals_vs_return"))
-_register("dq_suite", lambda m: quality.suite(m.staged, m.sectors, m.mart))
 _register("dq_ranges", lambda m: quality.ranges(m.metrics))
 _register("dq_price_grain", lambda m: quality.duplicate_keys(m.price_rows, ["symbol", "date"]))
 _register(
@@ -201,6 +207,15 @@ _register(
 )
 
 
+@query
+def dq_suite(m: Market) -> DataFrame:
+    staged = tables.stored(m.staged, "staged")
+    built = metrics.stock_metrics(staged)
+    return quality.suite(
+        staged, marts.sector_performance(built), marts.fundamentals_vs_return(built)
+    )
+
+
 @query
 def dq_freshness(m: Market) -> DataFrame:
     sources = {"prices": (m.prices, "date"), "fundamentals": (m.fundamentals, "period_ending")}
