@@ -36,9 +36,8 @@ def join_prices_fundamentals(
 ) -> DataFrame:
     """Inner join on symbol and fiscal year; several filings in a year give several rows."""
     filings = fundamentals.withColumn("year", F.year("period_ending"))
-    return join_to_unique(
-        filings, yearly, ["symbol", "year"], ["period_ending"], hot_rows, check_first
-    )
+    spread_by = ["period_ending", "total_revenue"]
+    return join_to_unique(filings, yearly, ["symbol", "year"], spread_by, hot_rows, check_first)
 
 
 def stocks_enriched(
