@@ -21,12 +21,15 @@ def _quoted(name: str) -> Column:
 def read_cells(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """The contract's columns as text, renamed, with the file each row came from.
 
-    Columns are found by header name, others are skipped. There is no inference pass.
+    Columns are found by header name, whose case matters only if the session says so;
+    others are skipped. There is no inference pass.
     With ``enforceSchema`` off, a file whose header order differs from the first file's
     fails the job instead of shifting its values into other columns.
     """
     raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    missing = [f.source for f in contract.fields if f.source not in raw.columns]
+    folded = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    present = {folded(column) for column in raw.columns}
+    missing = [f.source for f in contract.fields if folded(f.source) not in present]
     if missing:
         raise ContractError(f"{contract.name}: missing columns {missing} in {path}")
     return raw.select(

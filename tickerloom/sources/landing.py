@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickerloom.contracts import Contract
 from tickerloom.sources import tables
@@ -31,23 +32,22 @@ def land(
     """Land a CSV source as ``raw_<name>``; False if these files have been landed already.
 
     By default the files replace what was landed before, as a new version. With
-    ``append`` they are added to the current version. The header is checked before
-    anything is written. Accepted and rejected rows come from one pass over the text and
-    go to partitions of their own, the accepted ones by year, so that a refresh of some
-    years reads those only.
+    ``append`` they are added to the current version. Either way a load has a folder of
+    its own, named by its identity, which readers see once it is published: landing
+    again after a crash overwrites it and repeats no row.
+
+    The header is checked before anything is written. Accepted and rejected rows come
+    from one pass over the text and go to partitions of their own, the accepted ones by
+    year, so that a refresh of some years reads those only.
     """
     cells = read_cells(spark, csv_path, contract)
     tables.create_lake(spark, lake)
     run, name = load_id(spark, csv_path), f"raw_{contract.name}"
     current = tables.current_versions(spark, lake)
     append = append and name in current
-    if append:
-        known = tables.publications(spark, lake).filter(
-            (F.col("path") == current[name].path) & (F.col("run") == run)
-        )
-        if not known.isEmpty():
-            return False
-    elif name in current and current[name].run == run:
+    if append and run in _loads(spark, lake, current[name]):
+        return False
+    if not append and name in current and current[name].run == run:
         return False
 
     status = F.when(F.col("bad_columns").isNull(), "accepted").otherwise("rejected")
@@ -56,26 +56,34 @@ def land(
     if contract.year_of:
         rows = rows.withColumn(contract.year_column, F.year(contract.year_of))
         partition_by += (contract.year_column,)
-    version = tables.next_version(lake, name, rows.schema, current)
+    schema = StructType(rows.schema.fields).add("load", "string")
+    version = tables.next_version(lake, name, schema, current)
     if append:
         version = replace(version, path=current[name].path)
-    mode = "append" if append else "overwrite"
     # Neither shuffled nor clustered: CSV splits are even, and a task writes one file per
     # year it holds. ``tables.compact`` rewrites a raw table where that gives small files.
-    tables.write_table(rows, version.path, partition_by, mode=mode, balance=False)
+    tables.write_table(rows, f"{version.path}/load={run}", partition_by, balance=False)
     tables.publish(spark, lake, [version], run)
     return True
 
 
+def _loads(spark: SparkSession, lake: str, version: tables.Version) -> list[str]:
+    """The published loads of a raw table (one row per landing)."""
+    published = tables.publications(spark, lake).filter(F.col("path") == version.path)
+    return [row.run for row in published.select("run").distinct().collect()]
+
+
 def _with_status(spark: SparkSession, contract: Contract, lake: str, status: str) -> DataFrame:
-    rows = tables.read_current(spark, lake, f"raw_{contract.name}")
-    return rows.filter(F.col("status") == status)
+    version = tables.current_version(spark, lake, f"raw_{contract.name}")
+    loads = _loads(spark, lake, version)
+    rows = version.read(spark).filter((F.col("status") == status) & F.col("load").isin(loads))
+    return rows.drop("load", "status")
 
 
 def landed(spark: SparkSession, contract: Contract, lake: str) -> DataFrame:
     """Accepted rows, with the partition year where the contract has one."""
     rows = _with_status(spark, contract, lake, "accepted")
-    return rows.drop("status", "bad_columns", "text", "source_file")
+    return rows.drop("bad_columns", "text", "source_file")
 
 
 def landing_rejects(spark: SparkSession, contract: Contract, lake: str) -> DataFrame:

@@ -20,7 +20,6 @@ def write_table(
     path: str,
     partition_by: tuple[str, ...] = (),
     cluster_by: tuple[str, ...] = (),
-    mode: str = "overwrite",
     balance: bool = True,
 ) -> None:
     """Write Parquet partitioned by ``partition_by``, sorted inside files by ``cluster_by``.
@@ -35,7 +34,7 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(path)
 
 
@@ -112,16 +111,20 @@ def publish(spark: SparkSession, lake: str, versions: list[Version], run: str) -
     append_rows(spark, rows, PUBLICATION_SCHEMA, f"{lake}/{PUBLICATIONS}")
 
 
-def read_current(spark: SparkSession, lake: str, name: str) -> DataFrame:
+def current_version(spark: SparkSession, lake: str, name: str) -> Version:
     versions = current_versions(spark, lake)
     if name not in versions:
         raise ValueError(f"{name} has not been published in {lake}")
-    return versions[name].read(spark)
+    return versions[name]
+
+
+def read_current(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    return current_version(spark, lake, name).read(spark)
 
 
 def register_current(spark: SparkSession, lake: str, name: str, database: str = "default") -> None:
     """Point a catalog view at the current version (one catalog operation)."""
-    path = current_versions(spark, lake)[name].path
+    path = current_version(spark, lake, name).path
     spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{path}`")
 
 
