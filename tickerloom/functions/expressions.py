@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,3 +38,9 @@ def percent(value: Column, digits: int = 1) -> Column:
 
 def nulls_last(*names: str) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in names]
+
+
+def in_years(date: Column, years: list[int]) -> Column:
+    """Dates of the given years as date ranges, which Parquet statistics can skip by."""
+    ranges = [date.between(dt.date(y, 1, 1), dt.date(y, 12, 31)) for y in years]
+    return reduce(Column.__or__, ranges, F.lit(False))

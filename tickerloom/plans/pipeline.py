@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.contracts import CONTRACTS, FUNDAMENTALS, PRICES, SECURITIES
+from tickerloom.functions.expressions import in_years
 from tickerloom.operators import quality
 from tickerloom.operators.enrich import latest_filings, stocks_enriched
 from tickerloom.operators.marts import fundamentals_vs_return, sector_performance
@@ -106,7 +107,7 @@ class _Writer:
         return written
 
     def write_version(self, name: str, df: DataFrame) -> tables.Version:
-        version = tables.next_version(self.lake, name, df.schema, self.current)
+        version = tables.next_version(self.lake, name, df.schema, self.current, self.run)
         self.write(name, df, version.path, **LAYOUTS[name])
         return version
 
@@ -148,6 +149,7 @@ def audit(
 def run(spark: SparkSession, config: Config) -> str:
     """Run everything for the configured sources; return the run id.
 
+    The sources replace what was landed before, files appended by ``refresh`` included.
     The enriched table is written once and read back: models, marts and tests are then
     narrow scans of it, and a lost executor does not recompute the joins.
     """
@@ -159,7 +161,7 @@ def run(spark: SparkSession, config: Config) -> str:
     staged = enriched.read(spark)
     marts = {name: writer.write_version(name, df) for name, df in build_marts(staged).items()}
     audit(spark, config, staged, marts)
-    tables.publish(spark, config.lake, [enriched, *marts.values()], config.run)
+    tables.publish(spark, config.lake, [enriched, *marts.values()])
     writer.log_metrics()
     return config.run
 
@@ -184,7 +186,7 @@ def refreshed_years(
     """Enriched rows of the given years only, from the sources' partitions of these years."""
 
     def of_years(df: DataFrame, date: str, partition: str) -> DataFrame:
-        df = df.filter(F.year(date).isin(years))
+        df = df.filter(in_years(F.col(date), years))
         return df.filter(F.col(partition).isin(years)) if partition in df.columns else df
 
     return build_enriched(
@@ -225,7 +227,7 @@ def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) ->
     marts = {name: writer.write_version(name, df) for name, df in build_marts(staged).items()}
     audit(spark, config, staged, marts)
     tables.replace_partitions(fresh, enriched.path, "stock_year", stale)
-    tables.publish(spark, config.lake, list(marts.values()), config.run)
+    tables.publish(spark, config.lake, list(marts.values()))
     writer.log_metrics()
     return config.run
 

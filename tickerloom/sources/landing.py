@@ -57,20 +57,42 @@ def land(
         rows = rows.withColumn(contract.year_column, F.year(contract.year_of))
         partition_by += (contract.year_column,)
     schema = StructType(rows.schema.fields).add("load", "string")
-    version = tables.next_version(lake, name, schema, current)
+    version = tables.next_version(lake, name, schema, current, run)
     if append:
         version = replace(version, path=current[name].path)
-    # Neither shuffled nor clustered: CSV splits are even, and a task writes one file per
-    # year it holds. ``tables.compact`` rewrites a raw table where that gives small files.
+    # Not shuffled: CSV splits are even, and a task writes one file per year it holds.
+    # ``compact_landed`` merges them where they are small.
     tables.write_table(rows, f"{version.path}/load={run}", partition_by, balance=False)
-    tables.publish(spark, lake, [version], run)
+    tables.publish(spark, lake, [version])
     return True
 
 
+def compact_landed(spark: SparkSession, contract: Contract, lake: str) -> None:
+    """Merge the files of all loads into a new version; the loads stay known as landed."""
+    current = tables.current_versions(spark, lake)
+    version = current[f"raw_{contract.name}"]
+    rows = version.read(spark)
+    loads = _loads(spark, lake, version)
+    merged = tables.next_version(lake, version.name, rows.schema, current, "")
+    merged = replace(merged, run=f"merged{merged.number}")
+    partition_by = ("status",) + ((contract.year_column,) if contract.year_column else ())
+    tables.write_table(
+        rows.filter(F.col("load").isin(loads)).drop("load"),
+        f"{merged.path}/load={merged.run}",
+        partition_by,
+        contract.columns[:1],
+    )
+    known = [
+        replace(merged, run=load, number=merged.number + 1 + i) for i, load in enumerate(loads)
+    ]
+    tables.publish(spark, lake, [merged, *known])
+
+
 def _loads(spark: SparkSession, lake: str, version: tables.Version) -> list[str]:
-    """The published loads of a raw table (one row per landing)."""
+    """The published loads of a raw table, oldest first (one row per landing)."""
     published = tables.publications(spark, lake).filter(F.col("path") == version.path)
-    return [row.run for row in published.select("run").distinct().collect()]
+    by_run = published.groupBy("run").agg(F.max("number").alias("number"))
+    return [row.run for row in by_run.orderBy("number").collect()]
 
 
 def _with_status(spark: SparkSession, contract: Contract, lake: str, status: str) -> DataFrame:

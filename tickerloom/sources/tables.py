@@ -19,7 +19,7 @@ def write_table(
     df: DataFrame,
     path: str,
     partition_by: tuple[str, ...] = (),
-    cluster_by: tuple[str, ...] = (),
+    cluster_by: tuple[str, ...] | list[str] = (),
     balance: bool = True,
 ) -> None:
     """Write Parquet partitioned by ``partition_by``, sorted inside files by ``cluster_by``.
@@ -73,7 +73,7 @@ class Version:
     number: int
     path: str
     schema: str  # of the written frame, as JSON: reading needs no inference job
-    run: str = ""
+    run: str  # pipeline run or load that wrote it
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(StructType.fromJson(json.loads(self.schema))).parquet(self.path)
@@ -99,15 +99,15 @@ def current_versions(spark: SparkSession, lake: str) -> dict[str, Version]:
 
 
 def next_version(
-    lake: str, name: str, schema: StructType, current: dict[str, Version]
+    lake: str, name: str, schema: StructType, current: dict[str, Version], run: str
 ) -> Version:
     number = current[name].number + 1 if name in current else 1
-    return Version(name, number, f"{lake}/{name}/v{number:06d}", schema.json())
+    return Version(name, number, f"{lake}/{name}/v{number:06d}", schema.json(), run)
 
 
-def publish(spark: SparkSession, lake: str, versions: list[Version], run: str) -> None:
+def publish(spark: SparkSession, lake: str, versions: list[Version]) -> None:
     """Make written versions current."""
-    rows = [(v.name, v.number, v.path, v.schema, run) for v in versions]
+    rows = [(v.name, v.number, v.path, v.schema, v.run) for v in versions]
     append_rows(spark, rows, PUBLICATION_SCHEMA, f"{lake}/{PUBLICATIONS}")
 
 
