@@ -98,19 +98,18 @@ class _Writer:
         self.current = tables.current_versions(spark, config.lake)
         self.measured: list[tuple[str, str, int, float]] = []
 
-    def write(self, name: str, df: DataFrame, path: str, **layout) -> DataFrame:
-        started = time.monotonic()
-        tables.write_table(df, path, **layout)
-        seconds = time.monotonic() - started
-        written = self.spark.read.schema(df.schema).parquet(path)
-        self.measured.append((self.run, name, written.count(), seconds))
-        return written
-
     def write_version(self, name: str, df: DataFrame) -> tables.Version:
         version = tables.next_version(self.lake, name, df.schema, self.current, self.run)
-        self.write(name, df, version.path, **LAYOUTS[name])
+        started = time.monotonic()
+        tables.write_table(df, version.path, **LAYOUTS[name])
+        self.measure(version, started)
         return version
 
+    def measure(self, version: tables.Version, started: float) -> None:
+        seconds = time.monotonic() - started
+        n_rows = version.read(self.spark).count()
+        self.measured.append((self.run, version.name, n_rows, seconds))
+
     def log_metrics(self) -> None:
         schema = "run string, model string, n_rows long, seconds double"
         tables.append_rows(self.spark, self.measured, schema, f"{self.lake}/{METRICS_LOG}")
@@ -217,16 +216,18 @@ def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) ->
     touched = affected_years(batch.get(PRICES.name), batch.get(FUNDAMENTALS.name))
     stale = sorted({*years, *touched})
 
-    writer = _Writer(spark, config)
+    writer, started = _Writer(spark, config), time.monotonic()
     rows = refreshed_years(*_sources(spark, config.lake), stale, config.filings)
     aside = f"{config.lake}/_refreshed/{config.run}"
-    fresh = writer.write(ENRICHED, rows, aside, **LAYOUTS[ENRICHED])
+    tables.write_table(rows, aside, **LAYOUTS[ENRICHED])
+    fresh = spark.read.schema(rows.schema).parquet(aside)
 
     kept = enriched.read(spark).filter(~F.col("stock_year").isin(stale))
     staged = kept.unionByName(fresh)
     marts = {name: writer.write_version(name, df) for name, df in build_marts(staged).items()}
     audit(spark, config, staged, marts)
     tables.replace_partitions(fresh, enriched.path, "stock_year", stale)
+    writer.measure(enriched, started)
     tables.publish(spark, config.lake, list(marts.values()))
     writer.log_metrics()
     return config.run

@@ -65,7 +65,8 @@ class Market(MarketFixture):
 
     @property
     def sectors(self) -> DataFrame:
-        return marts.sector_performance(self.metrics)
+        """The sector mart the short way; ``mart_sector_performance`` takes the models' way."""
+        return marts.sector_performance_by_counts(self.yearly, self.fundamentals, self.securities)
 
     @property
     def mart(self) -> DataFrame:
@@ -150,7 +151,7 @@ _register(
 _register("stocks_enriched", lambda m: m.enriched)
 _register("stg_stocks_enriched", lambda m: m.staged)
 _register("int_stock_metrics", lambda m: m.metrics)
-_register("mart_sector_performance", lambda m: m.sectors)
+_register("mart_sector_performance", lambda m: marts.sector_performance(m.metrics))
 _register("mart_fundamentals_vs_return", lambda m: m.mart)
 _register("fundamentals_latest_per_year", lambda m: m.latest)
 
@@ -163,9 +164,7 @@ def mart_sector_performance_dedup(m: Market) -> DataFrame:
 
 @query
 def flagship_sector_ranking(m: Market) -> DataFrame:
-    return reports.sector_ranking(
-        marts.sector_performance_by_counts(m.yearly, m.fundamentals, m.securities)
-    )
+    return reports.sector_ranking(m.sectors)
 
 
 # --- reports ----------------------------------------------------------------------------
@@ -179,7 +178,10 @@ def report_kpis(m: Market) -> DataFrame:
     return reports.kpis(marts.sector_performance(built), built)
 
 
-_register("report_sector_ranking", lambda m: reports.sector_ranking(m.sectors))
+_register(
+    "report_sector_ranking",
+    lambda m: reports.sector_ranking(marts.sector_performance(m.metrics)),
+)
 _register("report_sector_table", lambda m: reports.sector_table(m.sectors))
 _register("report_fundamentals", lambda m: reports.fundamentals_listing(m.mart))
 _register("report_years", lambda m: reports.years(m.mart))
@@ -218,7 +220,7 @@ def dq_suite(m: Market) -> DataFrame:
 
 @query
 def dq_freshness(m: Market) -> DataFrame:
-    sources = {"prices": (m.prices, "date"), "fundamentals": (m.fundamentals, "period_ending")}
+    sources = {"prices": (m.price_rows, "date"), "fundamentals": (m.fundamentals, "period_ending")}
     return quality.freshness(sources, FRESH_AS_OF, FRESH_DAYS)
 
 
