@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
+NO_DATE = "9999-12-31"  # stands for a missing date where rows are ordered by date
 TRADING_DAYS = 252  # fixed value: trading days per year, to annualise
 
 
@@ -23,11 +24,12 @@ def prices_yearly(prices: DataFrame) -> DataFrame:
     ``min_by``/``max_by`` aggregate map-side, so the shuffle carries one row per
     symbol-year and map task instead of every price row, and nothing is sorted. A null
     close on the first day stays null, as the first value of the ordered year would.
-    Rows without a date have no first or last; no filing joins them.
+    A row without a date belongs to a null year, which no filing joins.
     """
+    day = F.coalesce("date", F.lit(NO_DATE).cast("date"))  # a null order key would be skipped
     return prices.groupBy("symbol", F.year("date").alias("year")).agg(
-        F.min_by("close", "date").alias("first_close"),
-        F.max_by("close", "date").alias("last_close"),
+        F.min_by("close", day).alias("first_close"),
+        F.max_by("close", day).alias("last_close"),
         F.avg(F.col("high") - F.col("low")).alias("avg_daily_range"),
     )
 
@@ -35,10 +37,10 @@ def prices_yearly(prices: DataFrame) -> DataFrame:
 def prices_yearly_sql(spark: SparkSession) -> DataFrame:
     """The same roll-up through ``spark.sql`` over a registered ``prices`` view."""
     return spark.sql(
-        """
+        f"""
         SELECT symbol, year(date) AS year,
-               min_by(close, date) AS first_close,
-               max_by(close, date) AS last_close,
+               min_by(close, coalesce(date, DATE '{NO_DATE}')) AS first_close,
+               max_by(close, coalesce(date, DATE '{NO_DATE}')) AS last_close,
                avg(high - low) AS avg_daily_range
         FROM prices
         GROUP BY symbol, year(date)

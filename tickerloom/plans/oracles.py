@@ -48,7 +48,8 @@ RELATIONS = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "yearly": """
         SELECT symbol, CAST(year(date) AS INTEGER) AS year,
-               arg_min_null(close, date) AS first_close, arg_max_null(close, date) AS last_close,
+               arg_min_null(close, coalesce(date, DATE '9999-12-31')) AS first_close,
+               arg_max_null(close, coalesce(date, DATE '9999-12-31')) AS last_close,
                avg(high - low) AS avg_daily_range
         FROM prices GROUP BY ALL""",
     "latest": """
