@@ -1,7 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
 A block is a line; its tokens are its distinct words. Tokens are ordered by how many documents
-hold them, rarest first. A block contains a template if it holds at least 80 % of its tokens.
+hold them, rarest first. A block contains a template if it holds at least 90 % of its tokens.
 Such a block must hold one of the template's first tokens in that order (prefix filter), must have as many tokens as are
 needed (length filter), and behind the first shared token the template must have enough tokens
 left (positional filter). What passes is counted exactly.
@@ -41,7 +41,7 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
     "public-domain": "This work has been dedicated to the public domain.",
 }
-THRESHOLD = 0.8
+THRESHOLD = 0.9
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
