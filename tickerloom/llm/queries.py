@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import license_scan, mixing, quality, sharding
+from tickerloom.llm import license_scan, mixing, quality, sharding, simhash
 from tickerloom.llm.text import documents
 
 
@@ -12,6 +12,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
@@ -26,6 +30,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_simhash": op3_simhash,
     "op5_license_scans": op5_license_scans,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
