@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickerloom.llm import license_scan, mixing, quality, sharding, simhash
+from tickerloom.llm import license_scan, mixing, quality, sharding, simhash, substring_dedup
 from tickerloom.llm.text import documents
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
@@ -29,6 +35,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op3_simhash": op3_simhash,
     "op5_license_scans": op5_license_scans,
