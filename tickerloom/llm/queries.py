@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import license_scan, mixing, quality, sharding, simhash, substring_dedup
+from tickerloom.llm import decontaminate, license_scan, mixing, quality, sharding, simhash, substring_dedup, toxicity
 from tickerloom.llm.text import documents
 
 
@@ -26,6 +26,12 @@ def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.severity(docs, model)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
@@ -34,11 +40,19 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("n_copies")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    index = decontaminate.fit(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.contaminated(docs, index)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op3_simhash": op3_simhash,
     "op5_license_scans": op5_license_scans,
+    "op6_toxicity": op6_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
+    "op10_decontamination": op10_decontamination,
 }

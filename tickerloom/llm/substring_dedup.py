@@ -47,14 +47,16 @@ class Batch:
         lists = [split[k].split() for k in self.keys]
         counts = np.array([len(w) for w in lists], np.int64)
         self.joined = b"".join([b" ".join(w) + b" " for w in lists if w])
-        self.starts, self.ends = split_words(self.joined)
+        data = np.frombuffer(self.joined, np.uint8)
+        self.starts, self.ends = split_words(data)
+        self.words = word_hashes(data, self.starts)
         self.first = np.concatenate([[0], np.cumsum(counts)])
         self.doc = np.repeat(np.arange(len(lists)), counts)
         self.window = window
 
     def super_kmers(self, gram: int):
         """(document, place, windows, hash of the minimiser) of each run; places count from the batch's first word."""
-        h = grams(word_hashes(self.joined, self.starts, self.ends), gram)
+        h = grams(self.words, gram)
         at = leftmost_minima(h, self.window - gram + 1)
         n = len(at)
         whole = np.flatnonzero(self.doc[:n] == self.doc[self.window - 1 :][:n])
@@ -123,7 +125,7 @@ def packed(rows: DataFrame, window: int, gram: int, buckets: int, hot: set[int])
                 sizes = np.where(alone, 1, sizes[each])
                 order = np.argsort(places, kind="stable")
                 alone, docs, places, sizes, minis = (x[order] for x in (alone, docs, places, sizes, minis))
-                wide = grams(word_hashes(batch.joined, batch.starts, batch.ends), window)
+                wide = grams(batch.words, window)
                 minis = np.where(alone, wide[places], minis)
             strings = [batch.text(p, n) for p, n in zip(places.tolist(), sizes.tolist())]
             seen: dict[bytes, int] = {}

@@ -17,27 +17,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 BYTE = mixed(np.arange(1, 257, dtype=U))
+BYTE[32] = 0  # spaces add nothing
 PLACE = mixed(np.arange(1001, 1257, dtype=U)) | U(1)
 
 
-def split_words(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of words in a text whose words are each followed by one space."""
-    ends = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    starts = np.empty_like(ends)
-    if len(ends):
-        starts[0] = 0
-        starts[1:] = ends[:-1] + 1
-    return starts, ends
+def split_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in bytes that end with a space and have no other separator."""
+    inside = data != 32
+    before = np.empty_like(inside)
+    before[:1] = False
+    before[1:] = inside[:-1]
+    return np.flatnonzero(inside & ~before), np.flatnonzero(before & ~inside)
 
 
-def word_hashes(joined: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A 64-bit hash per word: equal words have equal hashes."""
     if not len(starts):
         return np.zeros(0, U)
-    data = np.frombuffer(joined, np.uint8)
-    place = np.arange(len(data)) - np.repeat(starts, ends - starts + 1)
+    data = data[starts[0] :]
+    starts = starts - starts[0]
+    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
     terms = BYTE[data] * PLACE[place & 255]
-    terms = terms ^ (terms >> U(32))
+    terms ^= terms >> U(32)
     return mixed(np.add.reduceat(terms, starts))
 
 
