@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import decontaminate, license_scan, mixing, quality, sharding, simhash, substring_dedup, toxicity
+from tickerloom.llm import (
+    decontaminate,
+    html_extract,
+    license_scan,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from tickerloom.llm.text import documents
 
 
@@ -22,6 +33,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
@@ -32,6 +47,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, model)
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = secrets.scan(docs, secrets.train(docs))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
@@ -50,8 +73,10 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op3_simhash": op3_simhash,
+    "op4_html_extraction": op4_html_extraction,
     "op5_license_scans": op5_license_scans,
     "op6_toxicity": op6_toxicity,
+    "op7_secret_scans": op7_secret_scans,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
