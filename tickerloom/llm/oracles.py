@@ -1,3 +1,169 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from tickerloom.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, needed, template_tokens
+from tickerloom.llm.mixing import BITS, CLOSING, MOST_COPIES, SLICES, WEIGHTS
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+SUBSTRING_DEDUP = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS a FROM d),
+r AS (
+  SELECT doc_id, a,
+    row_number() OVER (PARTITION BY array_to_string(w[a:a+19], ' ') ORDER BY doc_id, a) AS n
+  FROM s),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(a, a + 19)) AS i FROM r WHERE n > 1),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM d),
+kept AS (
+  SELECT e.doc_id, count(g.i) AS n_removed,
+    string_agg(CASE WHEN g.i IS NULL THEN e.word END, ' ' ORDER BY e.i) AS kept
+  FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+def _scan_words(text: str) -> str:
+    low = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _license_scan() -> str:
+    at = {}
+    for label, phrase in PHRASES.items():
+        hit = " AND ".join(f"w[i + {k}] = '{t}'" for k, t in enumerate(phrase))
+        at[label] = f"[i - 1 for i in generate_series(1, len(w)) if {hit}]"
+    starts = "list_sort(" + " || ".join(f"({x})" for x in at.values()) + ")"
+    labels = ", ".join(f"CASE WHEN len({x}) > 0 THEN '{k}' END" for k, x in at.items())
+    base = f"[x for x in [{labels}] if x IS NOT NULL]"
+    rows = ", ".join(
+        f"('{label}', {tokens!r}, {needed(len(tokens), THRESHOLD)})"
+        for label, tokens in template_tokens(TEMPLATES).items()
+    )
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+b AS (SELECT doc_id, {_scan_words("t")} AS w FROM d),
+base AS (SELECT doc_id, len(w) AS n_words, {starts} AS starts, {base} AS base FROM b),
+templates(label, tokens, need) AS (VALUES {rows}),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+blocks AS (SELECT doc_id, list_distinct({_scan_words("line")}) AS block FROM lines),
+found AS (
+  SELECT doc_id, label, len(list_intersect(block, tokens)) / len(tokens) AS share
+  FROM blocks, templates WHERE len(list_intersect(block, tokens)) >= need),
+best AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM found GROUP BY doc_id)
+SELECT doc_id, n_words::BIGINT AS n_words, len(starts)::BIGINT AS n_base,
+  starts[1]::BIGINT AS first_word, starts[len(starts)]::BIGINT AS last_word,
+  array_to_string(list_sort(base), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(base || coalesce(labels, []))), ',') AS labels,
+  CASE WHEN len(base) > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM base LEFT JOIN best USING (doc_id)
+"""
+
+
+QUALITY = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+l AS (
+  SELECT doc_id, t, w,
+    [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM d),
+s AS (SELECT doc_id, unnest(generate_series(1, len(w) - 2)) AS a, w FROM d),
+r AS (SELECT doc_id, a, count(*) OVER (PARTITION BY doc_id, w[a], w[a + 1], w[a + 2]) AS n FROM s),
+p AS (SELECT DISTINCT doc_id, unnest(generate_series(a, a + 2)) AS i FROM r WHERE n > 1),
+q AS (SELECT doc_id, count(*) AS n FROM p GROUP BY doc_id),
+c AS (
+  SELECT l.doc_id, t AS text, len(w) AS n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(q.n, 0) AS n_repeat_words, len(lines) AS n_lines
+  FROM l LEFT JOIN q USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT (base_failed
+    OR 100 * n_symbols > 30 * n_words
+    OR 100 * length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) > 50 * word_chars
+    OR 100 * n_dup_lines > 50 * n_lines
+    OR word_chars > 25 * n_words
+    OR word_chars < 2 * n_words
+    OR 100 * length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) < 40 * word_chars) AS kept
+FROM f
+"""
+
+
+def _mixing(seed: int = 42) -> str:
+    cycle = "[" + ", ".join(f"{w}.0" for w in WEIGHTS) + "]"
+    closing = []
+    for turn in range(CLOSING):
+        fits = "" if turn == CLOSING - 1 else "AND r.size <= g.gap"
+        closing.append(f"""
+best{turn} AS (
+  SELECT g.source, min((abs(r.size - g.gap), r.draw, r.size)) AS b
+  FROM rows r JOIN gap{turn} g ON r.source IS NOT DISTINCT FROM g.source
+  WHERE g.open AND g.gap > 0 AND abs(r.size - g.gap) < g.gap {fits} AND r.draw > g.last
+    AND NOT list_contains(g.closing, r.draw)
+  GROUP BY g.source),
+gap{turn + 1} AS (
+  SELECT g.* EXCLUDE (gap, closing), g.gap - coalesce(b.b[3], 0) AS gap,
+    CASE WHEN b.b IS NULL THEN g.closing ELSE list_append(g.closing, b.b[2]) END AS closing
+  FROM gap{turn} g LEFT JOIN best{turn} b ON b.source IS NOT DISTINCT FROM g.source)""")
+    closing = ",".join(closing)
+    return rf"""
+WITH sized AS (SELECT doc_id, text, source, len({WORDS})::BIGINT AS size FROM documents),
+rows AS (
+  SELECT doc_id, source, size,
+    ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) || ':' || size), 1, {BITS // 4}))::BIGINT AS draw
+  FROM sized),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source),
+weighed AS (
+  SELECT *, source_size * {MOST_COPIES}.0::DOUBLE AS ceiling,
+    ({cycle}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1])::DOUBLE AS weight
+  FROM sources),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY ceiling / weight, source NULLS LAST) AS place,
+    (sum(source_size) OVER ()
+      - coalesce(sum(ceiling) OVER (ORDER BY ceiling / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / (sum(weight) OVER ()
+      - coalesce(sum(weight) OVER (ORDER BY ceiling / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS rate
+  FROM weighed),
+free AS (SELECT min_by(rate, place) AS rate, min(place) AS place FROM placed WHERE weight * rate <= ceiling),
+goals AS (
+  SELECT p.source, p.source_size,
+    CASE WHEN p.place < f.place THEN ceiling ELSE least(ceiling, weight * f.rate) END AS target
+  FROM placed p, free f),
+parts AS (
+  SELECT *, floor(coalesce(target / nullif(source_size, 0), 0))::BIGINT AS whole,
+    target - floor(coalesce(target / nullif(source_size, 0), 0)) * source_size AS budget
+  FROM goals),
+upto AS (
+  SELECT source, draw, sum(size) OVER (PARTITION BY source ORDER BY draw) AS words FROM rows),
+lasts AS (
+  SELECT p.source, max(u.draw) AS last, max(u.words) AS words
+  FROM parts p JOIN upto u ON u.source IS NOT DISTINCT FROM p.source
+  WHERE u.words <= p.budget GROUP BY p.source),
+over AS (
+  SELECT p.source, min(u.draw) >> {BITS - SLICES} AS slice
+  FROM parts p JOIN upto u ON u.source IS NOT DISTINCT FROM p.source
+  WHERE u.words > p.budget GROUP BY p.source),
+gap0 AS (
+  SELECT p.*,
+    CASE WHEN budget <= 0 THEN -1
+      ELSE greatest(coalesce(l.last, -1), coalesce((o.slice << {BITS - SLICES}) - 1, (1::BIGINT << {BITS}) - 1)) END AS last,
+    budget - coalesce(l.words, 0) AS gap, o.slice IS NOT NULL AS open, []::BIGINT[] AS closing
+  FROM parts p LEFT JOIN lasts l ON l.source IS NOT DISTINCT FROM p.source
+    LEFT JOIN over o ON o.source IS NOT DISTINCT FROM p.source),{closing}
+SELECT r.doc_id, r.size, g.source_size, g.target,
+  r.size * (g.whole + (r.draw <= g.last OR list_contains(g.closing, r.draw))::BIGINT) AS taken
+FROM rows r JOIN gap{CLOSING} g ON r.source IS NOT DISTINCT FROM g.source
+"""
+
+
+ORACLES = {
+    "op1_substring_dedup": SUBSTRING_DEDUP,
+    "op5_license_scans": _license_scan(),
+    "op8_quality_rules": QUALITY,
+    "op9_mixing": _mixing(),
+}
