@@ -10,6 +10,7 @@ class Field:
     source: str  # header in the landed file
     name: str  # column name in this package
     type: str  # Spark SQL type
+    required: bool = False  # a row without it is rejected
 
 
 @dataclass(frozen=True)
@@ -28,8 +29,8 @@ class Contract:
 PRICES = Contract(
     "prices",
     (
-        Field("symbol", "symbol", "string"),
-        Field("date", "date", "date"),
+        Field("symbol", "symbol", "string", required=True),
+        Field("date", "date", "date", required=True),
         Field("close", "close", "double"),
         Field("high", "high", "double"),
         Field("low", "low", "double"),
@@ -41,8 +42,8 @@ PRICES = Contract(
 FUNDAMENTALS = Contract(
     "fundamentals",
     (
-        Field("Ticker Symbol", "symbol", "string"),
-        Field("Period Ending", "period_ending", "date"),
+        Field("Ticker Symbol", "symbol", "string", required=True),
+        Field("Period Ending", "period_ending", "date", required=True),
         Field("Total Revenue", "total_revenue", "double"),
         Field("Net Income", "net_income", "double"),
         Field("Gross Margin", "gross_margin", "double"),
@@ -58,7 +59,7 @@ FUNDAMENTALS = Contract(
 SECURITIES = Contract(
     "securities",
     (
-        Field("Ticker Symbol", "symbol", "string"),
+        Field("Ticker Symbol", "symbol", "string", required=True),
         Field("Security", "company_name", "string"),
         Field("GICS Sector", "sector", "string"),
         Field("GICS Sub Industry", "sub_industry", "string"),

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators.metrics import with_price_metrics
 from tickerloom.operators.ranking import percent_ranks
-from tickerloom.operators.skew import join_to_unique
 
 FACTORS = ("eps", "gross_margin", "debt_to_equity")
 
 
-def factor_correlation(metrics: DataFrame, by: str = "sector") -> DataFrame:
-    """Correlation and regression slope of yearly return on each factor, per group.
+def factor_correlation(metrics: DataFrame, by: str | None = "sector") -> DataFrame:
+    """Correlation and regression slope of yearly return on each factor, per group or overall.
 
     One pass over the rows; the statistics aggregate map-side.
     """
@@ -24,7 +23,8 @@ def factor_correlation(metrics: DataFrame, by: str = "sector") -> DataFrame:
             F.regr_slope("yearly_return", factor).alias(f"{factor}|slope"),
             F.regr_count("yearly_return", factor).alias(f"{factor}|n"),
         ]
-    wide = metrics.groupBy(by).agg(*columns)
+    keys = [by] if by else []
+    wide = metrics.groupBy(*keys).agg(*columns)
     per_factor = [
         F.struct(
             F.lit(factor).alias("factor"),
@@ -34,7 +34,7 @@ def factor_correlation(metrics: DataFrame, by: str = "sector") -> DataFrame:
         )
         for factor in FACTORS
     ]
-    return wide.select(by, F.inline(F.array(*per_factor)))
+    return wide.select(*keys, F.inline(F.array(*per_factor)))
 
 
 def outlier_returns(
@@ -42,13 +42,14 @@ def outlier_returns(
 ) -> DataFrame:
     """Symbol-years whose low first close goes with an extreme return, with its percent rank.
 
-    The rank counts all symbols of the year; only flagged rows are joined to it.
+    The rank counts all symbols of the year; only flagged rows are joined to it. ``yearly`` is
+    a stored roll-up.
     """
     returns = with_price_metrics(yearly)
     ranks = percent_ranks(returns, "year", "yearly_return")
     flagged = returns.filter(
         (F.col("first_close") < low_price) & (F.col("yearly_return") >= extreme_return)
     )
-    return join_to_unique(flagged, ranks, ["year", "yearly_return"], ["symbol"]).select(
+    return flagged.join(ranks, ["year", "yearly_return"]).select(
         "symbol", "year", "first_close", "yearly_return", "percent_rank"
     )

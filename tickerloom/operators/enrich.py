@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerloom.contracts import ENRICHED_COLUMNS
-from tickerloom.operators.skew import HOT_ROWS, join_to_unique
+from tickerloom.sources.tables import stored
 
 
 def latest_filings(fundamentals: DataFrame, tie_breakers: tuple[str, ...] = ()) -> DataFrame:
@@ -28,24 +28,19 @@ def latest_filings(fundamentals: DataFrame, tie_breakers: tuple[str, ...] = ())
     )
 
 
-def join_prices_fundamentals(
-    yearly: DataFrame,
-    fundamentals: DataFrame,
-    hot_rows: int = HOT_ROWS,
-    check_first: bool = False,
-) -> DataFrame:
-    """Inner join on symbol and fiscal year; several filings in a year give several rows."""
+def join_prices_fundamentals(yearly: DataFrame, fundamentals: DataFrame) -> DataFrame:
+    """Inner join on symbol and fiscal year; several filings in a year give several rows.
+
+    The roll-up is small (a row per symbol-year) and is written first. Both inputs of a shuffled join then come
+    straight from a scan, which is what lets AQE split a symbol-year that holds a large share of the filings.
+    """
+    keys = ["symbol", "year"]
     filings = fundamentals.withColumn("year", F.year("period_ending"))
-    spread_by = ["period_ending", "total_revenue"]
-    return join_to_unique(filings, yearly, ["symbol", "year"], spread_by, hot_rows, check_first)
+    return filings.join(stored(yearly, "yearly"), keys, "inner")
 
 
 def stocks_enriched(
-    yearly: DataFrame,
-    fundamentals: DataFrame,
-    securities: DataFrame,
-    hot_rows: int = HOT_ROWS,
-    check_first: bool = False,
+    yearly: DataFrame, fundamentals: DataFrame, securities: DataFrame
 ) -> DataFrame:
     """Yearly prices with filings and security attributes, 16 columns.
 
@@ -55,8 +50,7 @@ def stocks_enriched(
     has one row per year.
     """
     described = yearly.join(securities, "symbol", "inner")
-    joined = join_prices_fundamentals(described, fundamentals, hot_rows, check_first)
-    return joined.select(*ENRICHED_COLUMNS)
+    return join_prices_fundamentals(described, fundamentals).select(*ENRICHED_COLUMNS)
 
 
 def filings_per_year(fundamentals: DataFrame) -> DataFrame:

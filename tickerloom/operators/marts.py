@@ -19,6 +19,25 @@ def sector_performance(metrics: DataFrame) -> DataFrame:
     )
 
 
+AVERAGED = ("yearly_return", "volatility", "risk_adj_return")
+
+
+def sector_years(metrics: DataFrame) -> DataFrame:
+    """Sums and counts per sector and year, from which the sector mart follows.
+
+    A few rows a year: a refresh replaces those of the years it touches.
+    """
+    parts = [f(c).alias(f"{n}_{c}") for c in AVERAGED for f, n in ((F.sum, "sum"), (F.count, "n"))]
+    return metrics.groupBy("sector", "stock_year").agg(*parts)
+
+
+def sector_performance_of_years(years: DataFrame) -> DataFrame:
+    """``sector_performance`` from the sums and counts of all years."""
+    return years.groupBy("sector").agg(
+        *[F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}")).alias(f"avg_{c}") for c in AVERAGED]
+    )
+
+
 def sector_performance_by_counts(
     yearly: DataFrame, fundamentals: DataFrame, securities: DataFrame
 ) -> DataFrame:

@@ -108,9 +108,13 @@ def unique(df: DataFrame, model: str) -> DataFrame:
     return unique_key(df, model, [UNIQUE[model]])
 
 
+# Tests whose failures are reported and do not stop a publication.
+WARNINGS = ("range", "orphan", "fresh", "row_count")
+
+
 def with_status(results: DataFrame) -> DataFrame:
-    """Failed not-null and unique tests are failures, values out of range warnings."""
-    failed = F.when(F.col("test") == "range", "warn").otherwise("fail")
+    """Failed not-null and unique tests are failures; ranges, orphans, age and row counts warn."""
+    failed = F.when(F.col("test").isin(*WARNINGS), "warn").otherwise("fail")
     return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(failed))
 
 
@@ -138,6 +142,7 @@ def orphans(yearly: DataFrame, fundamentals: DataFrame, securities: DataFrame) -
     )
     price_years = yearly.select("symbol", "year", F.lit(1).cast("bigint").alias("n_rows"))
     known = securities.select("symbol").distinct()
+    listed = known.select("symbol", F.lit(None).cast("int").alias("year"), F.lit(1).cast("bigint").alias("n_rows"))
 
     def unmatched(left: DataFrame, right: DataFrame, keys: list[str], problem: str) -> DataFrame:
         return left.join(right, keys, "left_anti").select(
@@ -150,10 +155,49 @@ def orphans(yearly: DataFrame, fundamentals: DataFrame, securities: DataFrame) -
             unmatched(filings, price_years, keys, "filing without prices"),
             unmatched(price_years, filings, keys, "prices without filing"),
             unmatched(price_years, known, ["symbol"], "prices without security"),
+            unmatched(filings, known, ["symbol"], "filing without security"),
+            unmatched(listed, filings, ["symbol"], "security without filing"),
         ]
     )
 
 
+def orphan_checks(found: DataFrame) -> DataFrame:
+    """Orphaned rows per problem, as test results."""
+    counted = found.groupBy("problem").agg(F.sum("n_rows").alias("failures"))
+    return _result("sources", F.col("problem"), "orphan", F.col("failures"), counted)
+
+
+def freshness_checks(found: DataFrame) -> DataFrame:
+    """Sources too old, as test results."""
+    late = (F.col("status") != "pass").cast("long")
+    return _result("sources", F.col("source"), "fresh", F.coalesce(late, F.lit(1)), found)
+
+
+def row_count_checks(found: DataFrame, run: str) -> DataFrame:
+    """Tables of a run that shrank, as test results."""
+    shrunk = (F.col("status") != "pass").cast("long")
+    return _result(F.col("model"), "", "row_count", F.coalesce(shrunk, F.lit(0)), found.filter(F.col("run") == run))
+
+
+def _result(model, column, test: str, failures: Column, rows: DataFrame) -> DataFrame:
+    value = lambda x: F.lit(x) if isinstance(x, str) else x
+    return rows.select(
+        value(model).alias("model"),
+        value(column).alias("column_name"),
+        F.lit(test).alias("test"),
+        failures.cast("long").alias("failures"),
+    )
+
+
+def grain(yearly: DataFrame) -> DataFrame:
+    """Symbol-years with repeated price days, from the roll-up's own counts."""
+    bad = F.count_if(F.col("symbol").isNotNull() & (F.col("n_rows") > F.col("n_days")))
+    return yearly.agg(bad.alias("failures")).select(
+        F.lit("raw_prices").alias("model"), F.lit("symbol,date").alias("column_name"),
+        F.lit("unique").alias("test"), "failures",
+    )
+
+
 def freshness(sources: dict[str, tuple[DataFrame, str]], as_of: str, max_days: int) -> DataFrame:
     """Latest date of each source and whether it is at most ``max_days`` before ``as_of``."""
     latest = [

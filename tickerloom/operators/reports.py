@@ -123,12 +123,20 @@ def _top_order() -> list[Column]:
 
 
 def top_performers(mart: DataFrame, year: int | None = None, n: int = TOP_N) -> DataFrame:
-    """The ``n`` best yearly returns of one year, by default the latest, for display."""
-    chosen = F.lit(year) if year is not None else mart.agg(F.max("stock_year")).scalar()
+    """The ``n`` best yearly returns of one year, by default the latest, for display.
+
+    The latest year comes first in the order of the top list, so the mart is planned once.
+    """
+    if year is None:
+        year_order, wanted = [F.col("stock_year").desc()], F.col("stock_year").isNotNull()
+    else:
+        year_order, wanted = [], F.col("stock_year") == F.lit(year)
     return (
-        mart.filter(F.col("stock_year") == chosen)
-        .orderBy(*_top_order())
+        mart.filter(wanted)
+        .orderBy(*year_order, *_top_order())
         .limit(n)
+        .withColumn("_latest", F.max("stock_year").over(Window.partitionBy()))  # of n rows
+        .filter(F.col("stock_year") == F.col("_latest"))
         .select(
             F.col("company_name").alias("Company"),
             percent(F.col("yearly_return")).alias("Yearly Return"),

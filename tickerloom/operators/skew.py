@@ -1,67 +1,10 @@
-"""Joins and sorts that stay balanced when one key holds a large share of the rows."""
+"""A total order that stays balanced when one value holds a large share of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.sources.tables import stored
-
-# A key is hot above this many rows. At most rows / HOT_ROWS keys can be hot, so the
-# broadcast list of hot keys is bounded: 10^12 rows give at most 10^6 small entries.
-HOT_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the number of slices each is cut into."""
-    rows = F.col("_rows")
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(rows > hot_rows)
-        .select(*keys, F.ceil(rows / F.lit(hot_rows)).cast("int").alias("_slices"))
-    )
-
-
-def join_to_unique(
-    many: DataFrame,
-    unique: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    hot_rows: int = HOT_ROWS,
-    check_first: bool = False,
-) -> DataFrame:
-    """Inner join of ``many`` with ``unique`` (one row per key), hot keys cut into slices.
-
-    AQE splits skewed partitions only where both join inputs come straight from a
-    shuffle. Here ``unique`` is an aggregate's output, so hot keys are salted instead:
-    a row's slice depends on its input partition and ``spread_by``, which a re-run task
-    reproduces and which also separates exact copies. Cold keys have one slice, so the
-    ``unique`` side grows only for hot keys.
-
-    By default everything stays lazy; joins with an empty hot list are removed by AQE,
-    but ``unique`` is shuffled once more for the slice. With ``check_first`` the hot keys
-    are counted and written right away, and without any the join is a plain one that
-    reuses the aggregate's partitioning: for jobs over large data.
-    """
-    many = many.dropna(subset=keys)
-    unique = unique.dropna(subset=keys)
-    hot = hot_keys(many, keys, hot_rows)
-    if check_first:
-        hot = stored(hot, "hot-keys")
-        if hot.isEmpty():
-            return many.join(unique, keys, "inner")
-    hot = F.broadcast(hot)
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
-    slice_of_row = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), slices).cast("int")
-    sliced_many = many.join(hot, keys, "left").withColumn("_slice", slice_of_row).drop("_slices")
-    sliced_unique = (
-        unique.join(hot, keys, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-        .drop("_slices")
-    )
-    return sliced_many.join(sliced_unique, [*keys, "_slice"], "inner").drop("_slice")
-
 
 def sort_globally(df: DataFrame, *order: Column) -> DataFrame:
     """Total order by ``order``; exact ties may lie in several range partitions.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tickerloom.contracts import (
     ENRICHED_COLUMNS,
     FUNDAMENTALS,
@@ -24,7 +26,7 @@ RELATIONS = {
     "price_rows": """
         SELECT o_custkey AS symbol, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS close,
                l_extendedprice * (1 + l_tax) AS high, l_extendedprice * (1 - l_discount) AS low,
-               l_returnflag, l_linestatus
+               l_returnflag, l_linestatus, l_linenumber
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "prices": """
         SELECT symbol, date, max(close) AS close, max(high) AS high, min(low) AS low
@@ -173,46 +175,110 @@ def _close_of_year(function: str, alias: str) -> str:
     )
 
 
-def _tests_per_year(model: str, failing: list[str]) -> str:
-    passed = " + ".join(f"CAST(count(*) FILTER (WHERE {f}) = 0 AS INTEGER)" for f in failing)
-    return f"""SELECT stock_year AS run, '{model}' AS model, CAST({len(failing)} AS BIGINT) AS n_tests,
-               CAST({passed} AS BIGINT) AS n_passed
-        FROM {MODEL_RELATIONS[model]} GROUP BY stock_year"""
+def _correlation(by: str | None) -> str:
+    key, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    return statement(
+        " UNION ALL ".join(
+            f"""SELECT {key}'{f}' AS factor, CAST(regr_count(yearly_return, {f}) AS BIGINT) AS n_pairs,
+               {rounded(f'corr(yearly_return, {f})', 'correlation')},
+               {rounded(f'regr_slope(yearly_return, {f})', 'slope')}
+            FROM metrics{group}"""
+            for f in _FACTORS
+        )
+    )
 
 
 _RANGE_FAILURES = {
     "gross_margin": "gross_margin < 0 OR gross_margin > 100 OR isnan(gross_margin)",
     "debt_to_equity": "debt_to_equity < 0 OR isnan(debt_to_equity)",
 }
-_PASSES = " UNION ALL ".join(
-    [
-        _tests_per_year(
-            "stg_stocks_enriched",
-            [f"{c} IS NULL" for c in quality.NOT_NULL["stg_stocks_enriched"]],
-        ),
-        _tests_per_year(
-            "int_stock_metrics",
-            [f"{c} IS NULL" for c in quality.NOT_NULL["int_stock_metrics"]]
-            + list(_RANGE_FAILURES.values()),
-        ),
-    ]
-)
+_LATEST_JOINED = RELATIONS["joined"].replace("JOIN fundamentals", "JOIN latest AS fundamentals")
+
+
+def _two_runs(sql: str, second: str) -> str:
+    """``sql`` over the relations of a run with all filings, and of one with the latest ones."""
+    relations = RELATIONS | {
+        f"{name}2": _renamed(text, name) for name, text in (RELATIONS | {"joined": _LATEST_JOINED}).items()
+        if name in _BUILT
+    }
+    ctes = ",\n".join(f"{n} AS ({text})" for n, text in relations.items())
+    return f"WITH {ctes}\n{sql} UNION ALL {second}"
+
+
+_BUILT = ("joined", "enriched", "staged", "metrics", "sectors", "mart")
+
+
+def _renamed(text: str, name: str) -> str:
+    for built in _BUILT:
+        text = re.sub(rf"\b(FROM|JOIN) {built}\b", rf"\1 {built}2", text)
+    return text.replace("joined.", "joined2.")
+
+
+def _counts(run: str, suffix: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{run}' AS run, '{model}' AS model, count(*) AS n_rows FROM {relation}{suffix}"
+        for model, relation in (
+            ("stocks_enriched", "enriched"),
+            ("mart_sector_performance", "sectors"),
+            ("mart_fundamentals_vs_return", "mart"),
+        )
+    )
+
+
+def _passes(run: str, suffix: str) -> str:
+    """Tests and passes of each model in a run, orphan problems counted where they occur."""
+    rows = []
+    for model, relation in MODEL_RELATIONS.items():
+        failing = [f"{c} IS NULL" for c in quality.NOT_NULL[model]]
+        if model == "int_stock_metrics":
+            failing += list(_RANGE_FAILURES.values())
+        passed = " + ".join(f"CAST(count(*) FILTER (WHERE {f}) = 0 AS INTEGER)" for f in failing)
+        more = 1 if model == "mart_sector_performance" else 0  # a sector is unique by grouping
+        shrunk = {"mart_sector_performance": "sectors", "mart_fundamentals_vs_return": "mart"}.get(model)
+        if shrunk:  # and the row count against the run before
+            fine = "1" if not suffix else (
+                f"CAST((SELECT count(*) FROM {shrunk}2) >= 0.8 * (SELECT count(*) FROM {shrunk}) AS INTEGER)"
+            )
+            passed, more = f"{passed} + {fine}", more + 1
+        unique = " + 1" if model == "mart_sector_performance" else ""
+        rows.append(
+            f"SELECT '{run}' AS run, '{model}' AS model, CAST({len(failing) + more} AS BIGINT) AS n_tests, "
+            f"CAST({passed}{unique} AS BIGINT) AS n_passed FROM {relation}{suffix}"
+        )
+    fine = "1" if not suffix else (
+        "CAST((SELECT count(*) FROM enriched2) >= 0.8 * (SELECT count(*) FROM enriched) AS INTEGER)"
+    )
+    rows.append(f"SELECT '{run}', 'stocks_enriched', CAST(1 AS BIGINT), CAST({fine} AS BIGINT)")
+    rows.append(f"SELECT '{run}', 'raw_prices', CAST(1 AS BIGINT), CAST(1 AS BIGINT)")
+    rows.append(
+        f"""SELECT * FROM (SELECT '{run}', 'sources', CAST(
+            (SELECT CAST(count(*) > 0 AS INTEGER) FROM fundamentals f
+             WHERE NOT EXISTS (FROM yearly y WHERE y.symbol = f.symbol AND y.year = year(f.period_ending)))
+            + (SELECT CAST(count(*) > 0 AS INTEGER) FROM yearly y WHERE NOT EXISTS (
+               FROM fundamentals f WHERE f.symbol = y.symbol AND year(f.period_ending) = y.year))
+            + (SELECT CAST(count(*) > 0 AS INTEGER) FROM yearly y
+               WHERE NOT EXISTS (FROM securities s WHERE s.symbol = y.symbol))
+            + (SELECT CAST(count(*) > 0 AS INTEGER) FROM securities s
+               WHERE NOT EXISTS (FROM fundamentals f WHERE f.symbol = s.symbol)) AS BIGINT) AS n,
+            CAST(0 AS BIGINT)) WHERE n > 0"""
+    )
+    return " UNION ALL ".join(rows)
+
 
 ORACLES: dict[str, str] = {
     # sources
     "scan_prices": _scan("prices", PRICES),
     "scan_fundamentals": _scan("fundamentals", FUNDAMENTALS),
     "scan_securities": _scan("securities", SECURITIES),
-    "ingest_raw": statement(
-        "SELECT 'prices' AS source, count(*) AS n_rows FROM prices "
-        "UNION ALL SELECT 'fundamentals', count(*) FROM fundamentals "
-        "UNION ALL SELECT 'securities', count(*) FROM securities"
-    ),
+    "ingest_raw": _scan("prices", PRICES),
     "ingest_rejects": statement(
-        """SELECT concat_ws(',', CASE WHEN l_returnflag = 'R' THEN 'date' END,
-                     CASE WHEN l_linestatus = 'O' THEN 'close' END) AS bad_columns,
+        """SELECT CASE WHEN l_linenumber IN (1, 2) THEN 'row' ELSE concat_ws(',',
+                     CASE WHEN l_linenumber = 3 THEN 'symbol' END,
+                     CASE WHEN l_returnflag = 'R' THEN 'date' END,
+                     CASE WHEN l_linestatus = 'O' THEN 'close' END) END AS bad_columns,
                count(*) AS n_rows
-        FROM price_rows WHERE l_returnflag = 'R' OR l_linestatus = 'O' GROUP BY 1"""
+        FROM price_rows WHERE l_linenumber <= 3 OR l_returnflag = 'R' OR l_linestatus = 'O'
+        GROUP BY 1"""
     ),
     # prices
     "daily_range": statement(
@@ -245,6 +311,7 @@ ORACLES: dict[str, str] = {
     "stg_stocks_enriched": select(STAGING_COLUMNS, "staged"),
     "int_stock_metrics": select(METRIC_COLUMNS, "metrics"),
     "mart_sector_performance": select(SECTOR_COLUMNS, "sectors"),
+    "mart_sector_by_counts": select(SECTOR_COLUMNS, "sectors"),
     "mart_fundamentals_vs_return": select(FUNDAMENTALS_MART_COLUMNS, "mart"),
     "fundamentals_latest_per_year": select(["filing_id", *FUNDAMENTALS.columns], "latest"),
     "mart_sector_performance_dedup": statement(
@@ -335,7 +402,13 @@ ORACLES: dict[str, str] = {
         WHERE NOT EXISTS (FROM fundamentals AS f
                           WHERE f.symbol = y.symbol AND year(f.period_ending) = y.year)
         UNION ALL SELECT 'prices without security', symbol, year, 1 FROM yearly AS y
-        WHERE NOT EXISTS (FROM securities AS s WHERE s.symbol = y.symbol)"""
+        WHERE NOT EXISTS (FROM securities AS s WHERE s.symbol = y.symbol)
+        UNION ALL SELECT 'filing without security', symbol,
+               CAST(year(period_ending) AS INTEGER), count(*) FROM fundamentals AS f
+        WHERE NOT EXISTS (FROM securities AS s WHERE s.symbol = f.symbol)
+        GROUP BY ALL
+        UNION ALL SELECT 'security without filing', symbol, NULL, 1 FROM securities AS s
+        WHERE NOT EXISTS (FROM fundamentals AS f WHERE f.symbol = s.symbol)"""
     ),
     "dq_freshness": statement(
         f"""SELECT source, CAST(latest AS VARCHAR) AS latest,
@@ -345,27 +418,21 @@ ORACLES: dict[str, str] = {
         FROM (SELECT 'prices' AS source, max(date) AS latest FROM prices
               UNION ALL SELECT 'fundamentals', max(period_ending) FROM fundamentals) AS newest"""
     ),
-    "dq_rowcount_anomaly": statement(
-        """SELECT run, n_rows, model, previous_rows,
-               CASE WHEN n_rows < 0.8 * previous_rows THEN 'fail' ELSE 'pass' END AS status
-        FROM (SELECT stock_year AS run, count(*) AS n_rows, 'int_stock_metrics' AS model,
-                     lag(count(*)) OVER (ORDER BY stock_year) AS previous_rows
-              FROM metrics GROUP BY stock_year) AS runs"""
+    "dq_rowcount_anomaly": _two_runs(
+        "SELECT run, model, n_rows, CAST(NULL AS BIGINT) AS previous_rows, 'pass' AS status "
+        f"FROM ({_counts('1', '')}) AS first",
+        "SELECT b.run, b.model, b.n_rows, a.n_rows, "
+        "CASE WHEN b.n_rows < 0.8 * a.n_rows THEN 'fail' ELSE 'pass' END "
+        f"FROM ({_counts('1', '')}) AS a JOIN ({_counts('2', '2')}) AS b USING (model)",
     ),
-    "dq_pass_rate": statement(
-        f"""SELECT run, model, n_tests, n_passed, round(n_passed / n_tests + 1e-9, 6) AS pass_rate
-        FROM ({_PASSES}) AS passes"""
+    "dq_pass_rate": _two_runs(
+        f"SELECT run, model, n_tests, n_passed, {rounded('n_passed / n_tests', 'pass_rate')} FROM ({_passes('1', '')}) AS a",
+        f"SELECT run, model, n_tests, n_passed, {rounded('n_passed / n_tests', 'pass_rate')} FROM ({_passes('2', '2')}) AS b",
     ),
     # analysis
-    "factor_correlation": statement(
-        " UNION ALL ".join(
-            f"""SELECT sector, '{f}' AS factor, CAST(regr_count(yearly_return, {f}) AS BIGINT) AS n_pairs,
-               {rounded(f'corr(yearly_return, {f})', 'correlation')},
-               {rounded(f'regr_slope(yearly_return, {f})', 'slope')}
-            FROM metrics GROUP BY sector"""
-            for f in _FACTORS
-        )
-    ),
+    "factor_correlation": _correlation("sector"),
+    "factor_correlation_overall": _correlation(None),
+    "factor_correlation_by_year": _correlation("stock_year"),
     "outlier_returns": statement(
         f"""SELECT {shown(['symbol', 'year', 'first_close', 'yearly_return', 'percent_rank'])}
         FROM (SELECT *, percent_rank() OVER (PARTITION BY year ORDER BY yearly_return) AS percent_rank

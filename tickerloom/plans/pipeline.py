@@ -12,15 +12,16 @@ from tickerloom.contracts import CONTRACTS, FUNDAMENTALS, PRICES, SECURITIES
 from tickerloom.functions.expressions import in_years
 from tickerloom.operators import quality
 from tickerloom.operators.enrich import latest_filings, stocks_enriched
-from tickerloom.operators.marts import fundamentals_vs_return, sector_performance
+from tickerloom.operators.marts import fundamentals_vs_return, sector_performance_of_years, sector_years
 from tickerloom.operators.metrics import staging, stock_metrics
-from tickerloom.operators.prices import prices_yearly
+from tickerloom.operators.prices import prices_yearly, prices_yearly_with_grain
 from tickerloom.operators.reports import report_pack
 from tickerloom.sources import tables
-from tickerloom.sources.csv_files import read_cells, read_csv
-from tickerloom.sources.landing import land, landed
+from tickerloom.sources.csv_files import read_cells
+from tickerloom.sources.landing import landed, prepare, years_of
 
 ENRICHED = "stocks_enriched"
+SECTOR_YEARS = "sector_years"
 SECTOR_MART = "mart_sector_performance"
 FUNDAMENTALS_MART = "mart_fundamentals_vs_return"
 QUALITY_LOG = "_quality"
@@ -34,6 +35,7 @@ LAYOUTS = {
         "partition_by": ("stock_year",), "cluster_by": ("company_name",), "balance": False,
     },
 }
+BY_YEAR = (ENRICHED, FUNDAMENTALS_MART)
 
 
 class AuditFailed(RuntimeError):
@@ -52,8 +54,11 @@ class Config:
 
     csv: dict[str, str]  # contract name -> file, folder or glob
     lake: str
-    filings: str = "all"  # or "latest": one filing per company-year
-    check_grain: bool = False  # also fail on several price rows of a symbol and day
+    filings: str | None = None  # "all" (a run's default) or "latest": one filing per company-year
+    check_grain: bool = True  # fail on several price rows of a symbol and day
+    as_of: str | None = None  # with max_age_days: warn of sources older than that
+    max_age_days: int | None = None
+    ordered_by_date: bool = False  # CSV files are in the order of their dates: land without a shuffle
     run: str = field(default_factory=lambda: f"{time.time_ns():020d}")
 
 
@@ -61,29 +66,15 @@ def build_enriched(
     prices: DataFrame, fundamentals: DataFrame, securities: DataFrame, filings: str = "all"
 ) -> DataFrame:
     """The staged enriched table from the three sources."""
-    if filings == "latest":
-        fundamentals = latest_filings(fundamentals)
-    yearly = prices_yearly(prices)
-    return staging(stocks_enriched(yearly, fundamentals, securities, check_first=True))
-
-
-def build_marts(staged: DataFrame) -> dict[str, DataFrame]:
-    metrics = stock_metrics(staged)
-    return {
-        SECTOR_MART: sector_performance(metrics),
-        FUNDAMENTALS_MART: fundamentals_vs_return(metrics),
-    }
+    return enriched_of(prices_yearly(prices), fundamentals, securities, filings)
 
 
-def _land_all(spark: SparkSession, config: Config) -> None:
-    for contract in CONTRACTS:  # all headers, before the first source is landed
-        read_cells(spark, config.csv[contract.name], contract)
-    for contract in CONTRACTS:
-        land(spark, contract, config.csv[contract.name], config.lake)
-
-
-def _sources(spark: SparkSession, lake: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return tuple(landed(spark, c, lake) for c in (PRICES, FUNDAMENTALS, SECURITIES))
+def enriched_of(
+    yearly: DataFrame, fundamentals: DataFrame, securities: DataFrame, filings: str
+) -> DataFrame:
+    if filings == "latest":
+        fundamentals = latest_filings(fundamentals)
+    return staging(stocks_enriched(yearly, fundamentals, securities))
 
 
 class _Writer:
@@ -98,17 +89,18 @@ class _Writer:
         self.current = tables.current_versions(spark, config.lake)
         self.measured: list[tuple[str, str, int, float]] = []
 
-    def write_version(self, name: str, df: DataFrame) -> tables.Version:
-        version = tables.next_version(self.lake, name, df.schema, self.current, self.run)
+    def write(self, name: str, df: DataFrame, years: list[int] | None = None, **notes) -> tuple[tables.Version, DataFrame]:
+        """A new version (with ``years``: of these partitions only) and the rows just written."""
         started = time.monotonic()
-        tables.write_table(df, version.path, **LAYOUTS[name])
-        self.measure(version, started)
-        return version
-
-    def measure(self, version: tables.Version, started: float) -> None:
+        written = tables.next_version(self.lake, name, df.schema, self.current, self.run, **notes)
+        tables.write_table(df, written.path, **LAYOUTS.get(name, {}))
+        version = written
+        if years is not None:
+            version = self.current[name].with_partitions("stock_year", years, written.path, self.run)
         seconds = time.monotonic() - started
-        n_rows = version.read(self.spark).count()
-        self.measured.append((self.run, version.name, n_rows, seconds))
+        if name in LAYOUTS:
+            self.measured.append((self.run, name, version.read(self.spark).count(), seconds))
+        return version, written.read(self.spark)
 
     def log_metrics(self) -> None:
         schema = "run string, model string, n_rows long, seconds double"
@@ -119,60 +111,104 @@ def audit(
     spark: SparkSession,
     config: Config,
     staged: DataFrame,
-    marts: dict[str, tables.Version],
+    sectors: DataFrame,
+    mart: DataFrame,
+    yearly: DataFrame,
+    fundamentals: DataFrame,
+    securities: DataFrame,
+    measured: list[tuple],
 ) -> None:
-    """Run the 21 tests on written data, log the results, raise if one failed.
+    """Run the 21 tests and the grain test on written rows, log the results, raise if one failed.
 
-    Values out of range are logged as warnings. The price grain is tested on request,
-    as that shuffles all price rows: with repeated days, which close counts as a year's
-    first or last is not determined.
+    Values out of range, orphaned rows, old sources and tables that shrank are logged as
+    warnings. The grain comes with the roll-up: with repeated days, which close counts as a
+    year's first or last is not determined.
     """
-    results = quality.suite(
-        staged, marts[SECTOR_MART].read(spark), marts[FUNDAMENTALS_MART].read(spark), True
-    )
+    results = quality.suite(staged, sectors, mart, True)
+    more = [quality.orphan_checks(quality.orphans(yearly, fundamentals, securities))]
     if config.check_grain:
-        prices = landed(spark, PRICES, config.lake)
-        grain = quality.unique_key(prices, "raw_prices", ["symbol", "date"])
-        results = results.unionByName(quality.with_status(grain))
-    results = results.select(F.lit(config.run).alias("run"), "*")
-    log = f"{config.lake}/{QUALITY_LOG}"
-    results.coalesce(1).write.mode("append").parquet(log)
-    failed = spark.read.schema(results.schema).parquet(log).filter(
-        (F.col("run") == config.run) & (F.col("status") == "fail")
-    )
-    failures = failed.collect()  # at most one row per test
+        more.append(quality.grain(yearly))
+    if config.as_of and config.max_age_days is not None:
+        dates = {"fundamentals": (fundamentals, "period_ending"), "prices": (yearly, "last_day")}
+        more.append(quality.freshness_checks(quality.freshness(dates, config.as_of, config.max_age_days)))
+    more.append(quality.row_count_checks(_row_counts(spark, config, measured), config.run))
+    for rows in more:
+        results = results.unionByName(quality.with_status(rows))
+    results = tables.stored(results.select(F.lit(config.run).alias("run"), "*").coalesce(1), "audit")
+    results.write.mode("append").parquet(f"{config.lake}/{QUALITY_LOG}")
+    failures = results.filter("status = 'fail'").collect()  # at most one row per test
     if failures:
         raise AuditFailed(failures)
 
 
-def run(spark: SparkSession, config: Config) -> str:
-    """Run everything for the configured sources; return the run id.
+def _row_counts(spark: SparkSession, config: Config, measured: list[tuple]) -> DataFrame:
+    """This run's row counts beside those of the last published run."""
+    schema = "run string, model string, n_rows long, seconds double"
+    tables.append_rows(spark, [], schema, f"{config.lake}/{METRICS_LOG}")
+    history = spark.read.schema(schema).parquet(f"{config.lake}/{METRICS_LOG}")
+    last = history.groupBy("model").agg(F.max_by(F.struct("run", "n_rows"), "run").alias("l"))
+    now = spark.createDataFrame(measured, schema)
+    return quality.row_count_anomalies(
+        last.select("l.run", "model", "l.n_rows").unionByName(now.select("run", "model", "n_rows"))
+    )
 
-    The sources replace what was landed before, files appended by ``refresh`` included.
-    The enriched table is written once and read back: models, marts and tests are then
-    narrow scans of it, and a lost executor does not recompute the joins.
+
+def _build(
+    spark: SparkSession, config: Config, raw: dict[str, tables.Version | None], filings: str, years: list[int] | None
+) -> str:
+    """Build, audit and publish: everything, or the partitions of ``years``, in one append.
+
+    The enriched rows are written once and read back: models, marts and tests are then
+    narrow scans of them, and a lost executor does not recompute the joins.
     """
-    _land_all(spark, config)
     writer = _Writer(spark, config)
-    enriched = writer.write_version(
-        ENRICHED, build_enriched(*_sources(spark, config.lake), filings=config.filings)
+    prices, fundamentals, securities = (
+        landed(spark, c, config.lake, raw.get(c.name)) for c in (PRICES, FUNDAMENTALS, SECURITIES)
+    )
+    if years is not None:
+        prices = of_years(prices, PRICES, years)
+        fundamentals = of_years(fundamentals, FUNDAMENTALS, years)
+    yearly = tables.stored(prices_yearly_with_grain(prices), "yearly")
+    rows = enriched_of(yearly.drop("n_rows", "n_days", "last_day"), fundamentals, securities, filings)
+    enriched, staged = writer.write(ENRICHED, rows, years, filings=filings)
+    metrics = stock_metrics(staged)
+    mart_version, mart = writer.write(FUNDAMENTALS_MART, fundamentals_vs_return(metrics), years)
+    sums = sector_years(metrics)
+    if years is not None:
+        kept = writer.current[SECTOR_YEARS].read(spark)
+        sums = kept.filter(~F.col("stock_year").isin(years)).unionByName(sums)
+    sums_version, sums = writer.write(SECTOR_YEARS, sums)
+    sectors_version, sectors = writer.write(SECTOR_MART, sector_performance_of_years(sums))
+    audit(
+        spark, config, staged, sectors, mart, yearly, fundamentals, securities, writer.measured
+    )
+    published = [v for v in raw.values() if v is not None]
+    tables.publish(
+        spark, config.lake, [*published, enriched, mart_version, sums_version, sectors_version]
     )
-    staged = enriched.read(spark)
-    marts = {name: writer.write_version(name, df) for name, df in build_marts(staged).items()}
-    audit(spark, config, staged, marts)
-    tables.publish(spark, config.lake, [enriched, *marts.values()])
     writer.log_metrics()
     return config.run
 
 
-def affected_years(prices: DataFrame | None, fundamentals: DataFrame | None) -> list[int]:
-    """Calendar years that the given price rows or filings fall into."""
-    years: set[int] = set()
-    for df, date in ((prices, PRICES.year_of), (fundamentals, FUNDAMENTALS.year_of)):
-        if df is not None:
-            found = df.select(F.year(date).alias("year")).distinct().dropna().collect()
-            years.update(row.year for row in found)  # as many as there are calendar years
-    return sorted(years)
+def run(spark: SparkSession, config: Config) -> str:
+    """Run everything for the configured sources; return the run id.
+
+    The sources replace what was landed before, files appended by ``refresh`` included.
+    Raw loads, models and marts become current together, and only after the audit passed.
+    """
+    for contract in CONTRACTS:  # all headers, before the first source is landed
+        read_cells(spark, config.csv[contract.name], contract)
+    raw = {
+        c.name: prepare(spark, c, config.csv[c.name], config.lake, ordered_by_date=config.ordered_by_date)
+        for c in CONTRACTS
+    }
+    return _build(spark, config, raw, config.filings or "all", None)
+
+
+def of_years(df: DataFrame, contract, years: list[int]) -> DataFrame:
+    """Rows of the given calendar years, from the table's partitions of these where it has them."""
+    df = df.filter(in_years(F.col(contract.year_of), years))
+    return df.filter(F.col(contract.year_column).isin(years)) if contract.year_column in df.columns else df
 
 
 def refreshed_years(
@@ -183,16 +219,8 @@ def refreshed_years(
     filings: str = "all",
 ) -> DataFrame:
     """Enriched rows of the given years only, from the sources' partitions of these years."""
-
-    def of_years(df: DataFrame, date: str, partition: str) -> DataFrame:
-        df = df.filter(in_years(F.col(date), years))
-        return df.filter(F.col(partition).isin(years)) if partition in df.columns else df
-
     return build_enriched(
-        of_years(prices, PRICES.year_of, PRICES.year_column),
-        of_years(fundamentals, FUNDAMENTALS.year_of, FUNDAMENTALS.year_column),
-        securities,
-        filings,
+        of_years(prices, PRICES, years), of_years(fundamentals, FUNDAMENTALS, years), securities, filings
     )
 
 
@@ -200,37 +228,27 @@ def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) ->
     """Recompute only the years that new files touch, and ``years``.
 
     ``config.csv`` names new price and filing files; they are appended to what was
-    landed before. A changed security touches all its years: use ``run`` for that. The
-    recomputed rows are written aside and audited together with the kept years before
-    the table's partitions are replaced and new marts are published.
+    landed before. A changed security touches all its years: use ``run`` for that. Filings are
+    treated as the published table was built ("all" or "latest"); asking for the other mode is an
+    error. Recomputed partitions are written aside and audited; new raw loads, partitions and marts
+    are then published together. Files that were landed before change nothing.
     """
     if SECURITIES.name in config.csv:
         raise ValueError("changed securities need a full run")
     enriched = tables.current_versions(spark, config.lake)[ENRICHED]
-    batch = {}
+    filings = enriched.notes["filings"]
+    if config.filings not in (None, filings):
+        raise ValueError(f"the table holds {filings} filings: {config.filings} need a full run")
+    raw, stale = {}, set(years)
     for contract in (PRICES, FUNDAMENTALS):
         if contract.name in config.csv:
             path = config.csv[contract.name]
-            land(spark, contract, path, config.lake, append=True)
-            batch[contract.name] = read_csv(spark, path, contract)
-    touched = affected_years(batch.get(PRICES.name), batch.get(FUNDAMENTALS.name))
-    stale = sorted({*years, *touched})
-
-    writer, started = _Writer(spark, config), time.monotonic()
-    rows = refreshed_years(*_sources(spark, config.lake), stale, config.filings)
-    aside = f"{config.lake}/_refreshed/{config.run}"
-    tables.write_table(rows, aside, **LAYOUTS[ENRICHED])
-    fresh = spark.read.schema(rows.schema).parquet(aside)
-
-    kept = enriched.read(spark).filter(~F.col("stock_year").isin(stale))
-    staged = kept.unionByName(fresh)
-    marts = {name: writer.write_version(name, df) for name, df in build_marts(staged).items()}
-    audit(spark, config, staged, marts)
-    tables.replace_partitions(fresh, enriched.path, "stock_year", stale)
-    writer.measure(enriched, started)
-    tables.publish(spark, config.lake, list(marts.values()))
-    writer.log_metrics()
-    return config.run
+            version = prepare(
+                spark, contract, path, config.lake, append=True, ordered_by_date=config.ordered_by_date
+            )
+            raw[contract.name] = version
+            stale.update(years_of(spark, contract, version) if version is not None else ())
+    return _build(spark, config, raw, filings, sorted(stale))
 
 
 def quality_history(spark: SparkSession, lake: str) -> DataFrame:

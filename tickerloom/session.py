@@ -37,11 +37,11 @@ def get_spark(app: str = "tickerloom", master: str | None = None, **conf: str) -
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20) -> int:
     """Initial shuffle partitions for an input size.
 
-    AQE merges small partitions but never adds any to an ordinary shuffle, so the
-    initial number must be high enough: 100 TB at 128 MB gives about 800,000 map
-    outputs, which the 50,000 ceiling turns into 2 GB reduce inputs (they spill).
+    AQE merges small partitions but never adds any to an ordinary shuffle, so the initial
+    number must be high enough for the largest shuffle. What jobs here shuffle is mostly aggregated
+    before, so a caller may pass the bytes that are left then.
     """
-    return max(8, min(50_000, -(-input_bytes // target_bytes)))
+    return max(8, -(-input_bytes // target_bytes))
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

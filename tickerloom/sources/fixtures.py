@@ -38,6 +38,7 @@ class MarketFixture:
             (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("low"),
             "l_returnflag",
             "l_linestatus",
+            "l_linenumber",
         )
 
     @cached_property
@@ -113,13 +114,24 @@ class MarketFixture:
         }
 
     def malformed_price_csv(self) -> str:
-        """All price observations as CSV, with unreadable dates or closes in some line classes."""
+        """All price observations as CSV, malformed by line class.
+
+        Dates or closes that cannot be read, lines with too few or too many cells, no symbol.
+        """
         returned, still_open = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
-        rows = self.price_rows.select(
-            "symbol",
-            F.when(returned, "soon").otherwise(F.col("date").cast("string")).alias("date"),
-            F.when(still_open, "n/a").otherwise(F.col("close").cast("string")).alias("close"),
-            "high",
-            "low",
+        line = F.col("l_linenumber")
+        cells = [
+            F.when(line == 3, "").otherwise(F.col("symbol").cast("string")),
+            F.when(returned, "soon").otherwise(F.col("date").cast("string")),
+            F.when(still_open, "n/a").otherwise(F.col("close").cast("string")),
+            F.col("high").cast("string"),
+            F.col("low").cast("string"),
+        ]
+        text = F.when(line == 1, F.concat_ws(",", *cells[:3])).when(
+            line == 2, F.concat_ws(",", *cells, F.lit("more"))
         )
-        return self.write_csv(PRICES, rows)
+        header = ",".join(f.source for f in PRICES.fields)
+        path = work_dir(self.spark, "csv-malformed")
+        lines = self.price_rows.select(text.otherwise(F.concat_ws(",", *cells)).alias(header))
+        lines.write.option("header", True).option("sep", "\u0001").csv(path)  # one cell a line
+        return path

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,43 +14,47 @@ from tickerloom.contracts import Contract
 from tickerloom.sources import tables
 from tickerloom.sources.csv_files import parsed, read_cells, rejected_rows
 
+MERGED = "merged"  # content of loads that compaction wrote
 
-def load_id(spark: SparkSession, path: str) -> str:
-    """Identity of a source: a digest of its files' names, sizes and modification times.
 
-    Only the listing is used; the files' content column is pruned and never read.
-    """
-    files = spark.read.format("binaryFile").load(path)
-    digest = F.xxhash64(
-        F.element_at(F.split("path", "/"), -1), F.col("length"), F.col("modificationTime")
-    )
-    row = files.agg(F.bit_xor(digest).alias("digest"), F.count("path").alias("n")).first()
-    return f"{(row.digest or 0) & 0xFFFFFFFFFFFFFFFF:016x}{row.n:x}"
+def content_of(rows: DataFrame) -> str:
+    """A digest of rows as a bag: two sums of row hashes and the count; no order, no cancelling.
 
-
-def land(
-    spark: SparkSession, contract: Contract, csv_path: str, lake: str, append: bool = False
-) -> bool:
-    """Land a CSV source as ``raw_<name>``; False if these files have been landed already.
+    Which cells are null is hashed too, as a null alone leaves a hash unchanged.
+    """
+    cells = [F.col(c) for c in rows.columns if c != "source_file"]
+    cells += [c.isNull() for c in cells]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")) for seed in (1, 2)]
+    first, second, n = rows.agg(*sums, F.count(F.lit(1))).first()
+    return f"{int(first or 0):x}_{int(second or 0):x}_{n:x}"
+
+
+def prepare(
+    spark: SparkSession,
+    contract: Contract,
+    csv_path: str,
+    lake: str,
+    append: bool = False,
+    ordered_by_date: bool = False,
+) -> tables.Version | None:
+    """Write a CSV source as a load that becomes visible once its version is published.
 
     By default the files replace what was landed before, as a new version. With
-    ``append`` they are added to the current version. Either way a load has a folder of
-    its own, named by its identity, which readers see once it is published: landing
-    again after a crash overwrites it and repeats no row.
+    ``append`` they are added to the current version. The load is written to a folder of its own,
+    and its written rows identify it, whatever their files' names, sizes and times. None
+    if the table already holds exactly this content (``append``: holds it among others).
 
     The header is checked before anything is written. Accepted and rejected rows come
     from one pass over the text and go to partitions of their own, the accepted ones by
-    year, so that a refresh of some years reads those only.
+    year, so that a refresh of some years reads those only. Rows are rebalanced on these
+    partitions, so their files are even however many tasks read the text; files in the order of their
+    dates need no shuffle.
     """
     cells = read_cells(spark, csv_path, contract)
     tables.create_lake(spark, lake)
-    run, name = load_id(spark, csv_path), f"raw_{contract.name}"
+    name, load = f"raw_{contract.name}", uuid.uuid4().hex
     current = tables.current_versions(spark, lake)
     append = append and name in current
-    if append and run in _loads(spark, lake, current[name]):
-        return False
-    if not append and name in current and current[name].run == run:
-        return False
 
     status = F.when(F.col("bad_columns").isNull(), "accepted").otherwise("rejected")
     rows = parsed(cells, contract).withColumn("status", status)
@@ -57,56 +63,88 @@ def land(
         rows = rows.withColumn(contract.year_column, F.year(contract.year_of))
         partition_by += (contract.year_column,)
     schema = StructType(rows.schema.fields).add("load", "string")
-    version = tables.next_version(lake, name, schema, current, run)
+    version = tables.next_version(lake, name, schema, current, "")
     if append:
-        version = replace(version, path=current[name].path)
-    # Not shuffled: CSV splits are even, and a task writes one file per year it holds.
-    # ``compact_landed`` merges them where they are small.
-    tables.write_table(rows, f"{version.path}/load={run}", partition_by, balance=False)
-    tables.publish(spark, lake, [version])
-    return True
+        version = replace(version, path=current[name].path, info=current[name].info)
+    folder = f"{version.path}/load={load}"
+    tables.write_table(rows, folder, partition_by, balance=not ordered_by_date)
+    content = content_of(spark.read.schema(rows.schema).parquet(folder))
+    if name in current and _is_landed(spark, lake, current[name], content, append):
+        return None
+    return replace(version, run=f"{content}.{load}")
+
+
+def land(spark: SparkSession, contract: Contract, csv_path: str, lake: str, append: bool = False, **options) -> bool:
+    """Land a CSV source as ``raw_<name>``; False if this content has been landed already."""
+    version = prepare(spark, contract, csv_path, lake, append, **options)
+    if version is not None:
+        tables.publish(spark, lake, [version])
+    return version is not None
 
 
 def compact_landed(spark: SparkSession, contract: Contract, lake: str) -> None:
     """Merge the files of all loads into a new version; the loads stay known as landed."""
     current = tables.current_versions(spark, lake)
     version = current[f"raw_{contract.name}"]
-    rows = version.read(spark)
-    loads = _loads(spark, lake, version)
-    merged = tables.next_version(lake, version.name, rows.schema, current, "")
-    merged = replace(merged, run=f"merged{merged.number}")
+    load = uuid.uuid4().hex
+    rows = _loaded(spark, lake, version).drop("load")
+    schema = StructType(rows.schema.fields).add("load", "string")
+    merged = tables.next_version(lake, version.name, schema, current, f"{MERGED}.{load}")
+    merged = replace(merged, info=json.dumps({"merges": [*version.notes.get("merges", []), version.path]}))
     partition_by = ("status",) + ((contract.year_column,) if contract.year_column else ())
-    tables.write_table(
-        rows.filter(F.col("load").isin(loads)).drop("load"),
-        f"{merged.path}/load={merged.run}",
-        partition_by,
-        contract.columns[:1],
+    tables.write_table(rows, f"{merged.path}/load={load}", partition_by, contract.columns[:1])
+    tables.publish(spark, lake, [merged])
+
+
+def _published(spark: SparkSession, lake: str, version: tables.Version) -> DataFrame:
+    """(path, content, load) of the loads of a raw table and of the versions merged into it."""
+    paths = [version.path, *version.notes.get("merges", [])]  # one per compaction
+    run = F.split("run", r"\.")
+    return (
+        tables.publications(spark, lake)
+        .filter(F.col("path").isin(paths))
+        .select("path", run[0].alias("content"), run[1].alias("load"))
+        .distinct()
     )
-    known = [
-        replace(merged, run=load, number=merged.number + 1 + i) for i, load in enumerate(loads)
-    ]
-    tables.publish(spark, lake, [merged, *known])
 
 
-def _loads(spark: SparkSession, lake: str, version: tables.Version) -> list[str]:
-    """The published loads of a raw table, oldest first (one row per landing)."""
-    published = tables.publications(spark, lake).filter(F.col("path") == version.path)
-    by_run = published.groupBy("run").agg(F.max("number").alias("number"))
-    return [row.run for row in by_run.orderBy("number").collect()]
+def _is_landed(spark: SparkSession, lake: str, version: tables.Version, content: str, append: bool) -> bool:
+    loads = _published(spark, lake, version).filter(F.col("content") != MERGED)
+    found, others = loads.agg(
+        F.count_if(F.col("content") == content), F.count_if(F.col("content") != content)
+    ).first()
+    return found > 0 and (append or others == 0 and found == 1)
 
 
-def _with_status(spark: SparkSession, contract: Contract, lake: str, status: str) -> DataFrame:
-    version = tables.current_version(spark, lake, f"raw_{contract.name}")
-    loads = _loads(spark, lake, version)
-    rows = version.read(spark).filter((F.col("status") == status) & F.col("load").isin(loads))
-    return rows.drop("load", "status")
+def _loaded(spark: SparkSession, lake: str, version: tables.Version) -> DataFrame:
+    """Rows of the version's published loads, and of its own load before that is published."""
+    loads = _published(spark, lake, version).filter(F.col("path") == version.path).select("load")
+    own = spark.range(1).select(F.lit(version.run.split(".")[1]).alias("load"))
+    return version.read(spark).join(loads.union(own), "load", "left_semi")
 
 
-def landed(spark: SparkSession, contract: Contract, lake: str) -> DataFrame:
-    """Accepted rows, with the partition year where the contract has one."""
-    rows = _with_status(spark, contract, lake, "accepted")
+def _with_status(spark: SparkSession, contract: Contract, lake: str, status: str, version) -> DataFrame:
+    version = version or tables.current_version(spark, lake, f"raw_{contract.name}")
+    rows = _loaded(spark, lake, version)
+    return rows.filter(F.col("status") == status).drop("load", "status")
+
+
+def landed(spark: SparkSession, contract: Contract, lake: str, version: tables.Version | None = None) -> DataFrame:
+    """Accepted rows, with the partition year where the contract has one.
+
+    ``version`` adds a prepared load that is not published yet.
+    """
+    rows = _with_status(spark, contract, lake, "accepted", version)
     return rows.drop("bad_columns", "text", "source_file")
 
 
 def landing_rejects(spark: SparkSession, contract: Contract, lake: str) -> DataFrame:
-    return rejected_rows(_with_status(spark, contract, lake, "rejected"))
+    return rejected_rows(_with_status(spark, contract, lake, "rejected", None))
+
+
+def years_of(spark: SparkSession, contract: Contract, version: tables.Version) -> list[int]:
+    """Calendar years of the accepted rows of a prepared load, from its partitions alone."""
+    folder = f"{version.path}/load={version.run.split('.')[1]}"
+    schema = StructType([f for f in StructType.fromJson(json.loads(version.schema)) if f.name != "load"])
+    rows = spark.read.schema(schema).parquet(folder).filter("status = 'accepted'")
+    return sorted(r[0] for r in rows.select(contract.year_column).distinct().collect() if r[0] is not None)

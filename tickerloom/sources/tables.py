@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql.types import StructType
 from tickerloom.session import work_dir
 
 PUBLICATIONS = "_publications"
-PUBLICATION_SCHEMA = "name string, number long, path string, schema string, run string"
+PUBLICATION_SCHEMA = "name string, number long, path string, schema string, run string, info string"
 
 
 def write_table(
@@ -58,6 +59,9 @@ def append_rows(spark: SparkSession, rows: list[tuple], schema: str, path: str)
         F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
         for row in rows
     ]
+    if not rows:  # start the log
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        return
     log_rows = spark.range(1, numPartitions=1).select(F.inline(F.array(*literals)))
     log_rows.write.mode("append").parquet(path)
 
@@ -74,9 +78,36 @@ class Version:
     path: str
     schema: str  # of the written frame, as JSON: reading needs no inference job
     run: str  # pipeline run or load that wrote it
+    info: str = "{}"  # JSON: partitions that lie elsewhere, settings of the run that built it
+
+    @property
+    def notes(self) -> dict:
+        return json.loads(self.info)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(StructType.fromJson(json.loads(self.schema))).parquet(self.path)
+        """The table: its folder, and the folders of partitions replaced since it was written.
+
+        The number of those is bounded by the partition values (calendar years).
+        """
+        reader = spark.read.schema(StructType.fromJson(json.loads(self.schema)))
+        moved = self.notes.get("moved", {})
+        if not moved:
+            return reader.parquet(self.path)
+        column = F.col(moved["by"])
+        folders: dict[str, list[int]] = {}
+        for value, folder in moved["folders"].items():
+            folders.setdefault(folder, []).append(int(value))
+        gone = [v for values in folders.values() for v in values]
+        df = reader.parquet(self.path).filter(~column.isin(gone) | column.isNull())
+        for folder, values in folders.items():
+            df = df.unionByName(reader.parquet(folder).filter(column.isin(values)))
+        return df
+
+    def with_partitions(self, by: str, values: list[int], folder: str, run: str) -> Version:
+        """The next version: partitions ``values`` are read from ``folder``, all others as before."""
+        folders = self.notes.get("moved", {}).get("folders", {}) | {str(v): folder for v in values}
+        info = self.notes | {"moved": {"by": by, "folders": folders}}
+        return replace(self, number=self.number + 1, run=run, info=json.dumps(info, sort_keys=True))
 
 
 def create_lake(spark: SparkSession, lake: str) -> None:
@@ -93,21 +124,23 @@ def current_versions(spark: SparkSession, lake: str) -> dict[str, Version]:
     """The latest published version of each table (one row per table)."""
     latest = publications(spark, lake).groupBy("name").agg(
         F.max("number").alias("number"),
-        *[F.max_by(c, "number").alias(c) for c in ("path", "schema", "run")],
+        *[F.max_by(c, "number").alias(c) for c in ("path", "schema", "run", "info")],
     )
     return {row.name: Version(**row.asDict()) for row in latest.collect()}
 
 
 def next_version(
-    lake: str, name: str, schema: StructType, current: dict[str, Version], run: str
+    lake: str, name: str, schema: StructType, current: dict[str, Version], run: str, **notes
 ) -> Version:
+    """A version in a folder of its own: runs at the same time never share one."""
     number = current[name].number + 1 if name in current else 1
-    return Version(name, number, f"{lake}/{name}/v{number:06d}", schema.json(), run)
+    path = f"{lake}/{name}/v{number:06d}-{uuid.uuid4().hex}"
+    return Version(name, number, path, schema.json(), run, json.dumps(notes, sort_keys=True))
 
 
 def publish(spark: SparkSession, lake: str, versions: list[Version]) -> None:
     """Make written versions current."""
-    rows = [(v.name, v.number, v.path, v.schema, v.run) for v in versions]
+    rows = [(v.name, v.number, v.path, v.schema, v.run, v.info) for v in versions]
     append_rows(spark, rows, PUBLICATION_SCHEMA, f"{lake}/{PUBLICATIONS}")
 
 
@@ -124,31 +157,23 @@ def read_current(spark: SparkSession, lake: str, name: str) -> DataFrame:
 
 def register_current(spark: SparkSession, lake: str, name: str, database: str = "default") -> None:
     """Point a catalog view at the current version (one catalog operation)."""
-    path = current_version(spark, lake, name).path
-    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{path}`")
-
-
-# --- partition refresh and compaction --------------------------------------------------
-
+    version = current_version(spark, lake, name)
+    moved = version.notes.get("moved")
+    if moved is None:
+        rest, parts = "", []
+    else:
+        parts = sorted((folder, int(value)) for value, folder in moved["folders"].items())
+        gone = ", ".join(str(value) for _, value in parts)
+        rest = f" WHERE {moved['by']} NOT IN ({gone}) OR {moved['by']} IS NULL"
+    names = ", ".join(f"`{c}`" for c in StructType.fromJson(json.loads(version.schema)).names)
+    queries = [f"SELECT {names} FROM parquet.`{version.path}`{rest}"]
+    queries += [
+        f"SELECT {names} FROM parquet.`{folder}` WHERE {moved['by']} = {value}" for folder, value in parts
+    ]
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {' UNION ALL '.join(queries)}")
 
-def replace_partitions(df: DataFrame, path: str, partition_by: str, values: list[int]) -> None:
-    """Replace the partitions ``values`` of a table by the rows of ``df``, leaving the others.
 
-    ``df`` is a stored frame with rows of these partitions only; it must not read ``path``.
-    """
-    spark = df.sparkSession
-    (
-        df.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-    # A dynamic overwrite leaves a partition alone that received no row: empty it.
-    present = {row[0] for row in df.select(partition_by).distinct().collect()}  # calendar years
-    empty = spark.createDataFrame([], df.drop(partition_by).schema)
-    for value in sorted(set(values) - present):
-        empty.write.mode("overwrite").parquet(f"{path}/{partition_by}={value}")
+# --- compaction --------------------------------------------------------------------------
 
 
 def compact(
