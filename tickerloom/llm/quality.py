@@ -17,7 +17,7 @@ import time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.text import kept_table, sealed, words
+from tickerloom.llm.text import bounded_sample, kept_table, sealed, words
 
 SYMBOLS = "#*$%&|<>"
 SAMPLE = 2000  # documents on which rules are weighed
@@ -102,12 +102,8 @@ def base_failed() -> Column:
 def cascade_order(docs: DataFrame, rules=RULES, sample=SAMPLE, **names) -> list[str]:
     """Rules by rejections per second on a sample of documents, the best first."""
     id_col, text_col = names.get("id_col", "doc_id"), names.get("text_col", "text")
-    some = (
-        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        .orderBy(F.xxhash64("doc_id", "text"))
-        .limit(sample)
-        .repartition(8)
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    some = bounded_sample(rows, sample, "doc_id", "text").repartition(8)
     some = kept_table(counted(some).where(~base_failed()), "quality-sample")
     gains = {}
     for name, rule in rules.items():
