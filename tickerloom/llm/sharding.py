@@ -45,10 +45,16 @@ def _structs(keys) -> str:
     return "array(" + ",".join(f"struct(bigint('{h}') h, bigint('{d}') d)" for h, d in keys) + ")"
 
 
-def sampled_boundaries(rows: DataFrame, seed: int) -> list[tuple[int, int]]:
-    """At most 1023 keys that cut the bytes into even ranges, from a size-weighted sample."""
+def sampled_boundaries(rows: DataFrame, total: int, seed: int) -> list[tuple[int, int]]:
+    """At most 1023 keys that cut the bytes into even ranges, from a size-weighted sample.
+
+    A record's turn is exponential with its size as rate; the first SAMPLE turns are the sample. Turns beyond
+    twice the expected last one are dropped before the ordering.
+    """
     u = (F.pmod(F.xxhash64("h", "d", "rid", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    drawn = rows.orderBy(-F.log(u) / F.col("size"), "rid").limit(SAMPLE).select("h", "d").collect()
+    turns = rows.select("h", "d", "rid", (-F.log(u) / F.col("size")).alias("turn"))
+    turns = turns.where(F.col("turn") * F.lit(float(max(1, total))) < 2.0 * SAMPLE)
+    drawn = turns.orderBy("turn", "rid").limit(SAMPLE).select("h", "d").collect()
     keys = sorted((r.h, r.d) for r in drawn)
     n = SIDE * SIDE
     return sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
@@ -96,7 +102,7 @@ def shard(docs: DataFrame, n_shards=16, id_col="doc_id", text_col="text", seed=4
     room = _levels(loads, total - sum(loads))
     ends = list(accumulate(room))
 
-    head, place = range_of(sampled_boundaries(light, seed))
+    head, place = range_of(sampled_boundaries(light, total - sum(loads), seed))
     light = light.withColumn("_head", head).withColumn("range", place.cast("int")).drop("_head")
     light = kept_table(light, "shard-ranges")
     filled = {r["range"]: r["n"] for r in light.groupBy("range").agg(F.count("*").alias("n")).collect()}
