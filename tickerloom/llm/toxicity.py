@@ -30,8 +30,10 @@ from tickerloom.llm.text import bounded_batches, kept_table
 SAMPLE = 3000  # labelled documents of each class
 FEATURES = 4000
 LEAST_TEXTS = 3  # labelled documents that a feature must occur in
+LEAST_CONTRAST = 4.5  # standard errors between a feature's shares in the two classes
+ALWAYS = 20  # the most telling features are taken whatever their contrast
 PREFIXES = (4, 5)
-LIMIT = 0.5  # expected severity from which a document is toxic
+LIMIT = 0.4  # expected severity from which a document is toxic
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -135,10 +137,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", sa
         .groupBy("f")
         .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
         .where(F.col("n1") + F.col("n0") >= LEAST_TEXTS)
-        .orderBy(F.desc(contrast), "f")
+        .withColumn("contrast", contrast)
+        .orderBy(F.desc("contrast"), "f")
         .limit(FEATURES)
         .collect()
     )
+    vocabulary = [r for i, r in enumerate(vocabulary) if i < ALWAYS or r.contrast >= LEAST_CONTRAST]
     names = [r.f for r in vocabulary]
     telling = {i for i, r in enumerate(vocabulary) if (r.n1 + 0.5) / n1 > 5 * (r.n0 + 0.5) / n0}
     held = F.array_intersect("features", F.split(F.lit(" ".join(names)), " "))
