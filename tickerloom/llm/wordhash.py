@@ -30,16 +30,19 @@ def split_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(inside & ~before), np.flatnonzero(before & ~inside)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per word: equal words have equal hashes."""
-    if not len(starts):
-        return np.zeros(0, U)
-    data = data[starts[0] :]
-    starts = starts - starts[0]
-    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
-    terms = BYTE[data] * PLACE[place & 255]
-    terms ^= terms >> U(32)
-    return mixed(np.add.reduceat(terms, starts))
+def word_hashes(data: np.ndarray, starts: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """A 64-bit hash per word: equal words have equal hashes. Worked in parts, to bound memory."""
+    out = np.empty(len(starts), U)
+    edges = np.append(starts, len(data))
+    for a in range(0, len(starts), step):
+        part = edges[a : a + step + 1]
+        begins = part[:-1] - part[0]
+        text = data[part[0] : part[-1]]
+        place = np.arange(len(text)) - np.repeat(begins, np.diff(part))
+        terms = BYTE[text] * PLACE[place & 255]
+        terms ^= terms >> U(32)
+        out[a : a + step] = np.add.reduceat(terms, begins)
+    return mixed(out)
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:
