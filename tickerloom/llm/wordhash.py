@@ -38,8 +38,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, step: int = 1 << 16) -> np
         part = edges[a : a + step + 1]
         begins = part[:-1] - part[0]
         text = data[part[0] : part[-1]]
-        place = np.arange(len(text)) - np.repeat(begins, np.diff(part))
-        terms = BYTE[text] * PLACE[place & 255]
+        place = np.arange(len(text), dtype=np.int32) - np.repeat(begins.astype(np.int32), np.diff(part))
+        terms = BYTE.take(text) * PLACE.take(place.astype(np.uint8))
         terms ^= terms >> U(32)
         out[a : a + step] = np.add.reduceat(terms, begins)
     return mixed(out)
