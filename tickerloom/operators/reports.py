@@ -15,6 +15,19 @@ from tickerloom.operators.skew import sort_globally
 EPS_LIMITS = (-50, 50)
 DEBT_TO_EQUITY_LIMITS = (0, 5)
 TOP_N = 10
+# Labels shown to the user.
+LABELS = {
+    "sector": "Sector",
+    "avg_yearly_return": "Avg Yearly Return",
+    "avg_volatility": "Avg Volatility",
+    "avg_risk_adj_return": "Risk-Adj Return",
+    "company_name": "Company",
+    "yearly_return": "Yearly Return",
+    "eps": "EPS",
+    "gross_margin": "Gross Margin",
+    "debt_to_equity": "Debt/Equity",
+}
+SHARPE_SUFFIX = " Sharpe proxy"
 
 
 def _ranking() -> list[Column]:
@@ -61,7 +74,7 @@ def kpis(sectors: DataFrame, mart: DataFrame) -> DataFrame:
         F.count("company_name").alias("_companies"),
     ).select(
         "best_sector",
-        F.concat(fixed(F.col("_best_risk"), 2), F.lit(" Sharpe proxy")).alias("best_sector_value"),
+        F.concat(fixed(F.col("_best_risk"), 2), F.lit(SHARPE_SUFFIX)).alias("best_sector_value"),
         "worst_sector",
         percent(F.col("_best_return")).alias("best_return"),
         "best_return_sector",
@@ -84,10 +97,10 @@ def return_vs_volatility(sectors: DataFrame) -> DataFrame:
 def sector_table(sectors: DataFrame) -> DataFrame:
     """The sector ranking as display strings under display labels."""
     return sectors.orderBy(*_ranking()).select(
-        F.col("sector").alias("Sector"),
-        percent(F.col("avg_yearly_return")).alias("Avg Yearly Return"),
-        fixed(F.col("avg_volatility"), 2).alias("Avg Volatility"),
-        fixed(F.col("avg_risk_adj_return"), 3).alias("Risk-Adj Return"),
+        F.col("sector").alias(LABELS["sector"]),
+        percent(F.col("avg_yearly_return")).alias(LABELS["avg_yearly_return"]),
+        fixed(F.col("avg_volatility"), 2).alias(LABELS["avg_volatility"]),
+        fixed(F.col("avg_risk_adj_return"), 3).alias(LABELS["avg_risk_adj_return"]),
     )
 
 
@@ -138,11 +151,11 @@ def top_performers(mart: DataFrame, year: int | None = None, n: int = TOP_N) ->
         .withColumn("_latest", F.max("stock_year").over(Window.partitionBy()))  # of n rows
         .filter(F.col("stock_year") == F.col("_latest"))
         .select(
-            F.col("company_name").alias("Company"),
-            percent(F.col("yearly_return")).alias("Yearly Return"),
-            F.col("eps").alias("EPS"),
-            F.col("gross_margin").alias("Gross Margin"),
-            F.col("debt_to_equity").alias("Debt/Equity"),
+            F.col("company_name").alias(LABELS["company_name"]),
+            percent(F.col("yearly_return")).alias(LABELS["yearly_return"]),
+            F.col("eps").alias(LABELS["eps"]),
+            F.col("gross_margin").alias(LABELS["gross_margin"]),
+            F.col("debt_to_equity").alias(LABELS["debt_to_equity"]),
         )
     )
 
