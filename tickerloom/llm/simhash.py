@@ -118,9 +118,9 @@ def shard_links(fps: DataFrame, radius: int, most: int) -> DataFrame:
         shard, members, large = None, [], False
 
         def close():
-            if len(members) < 2:
-                return []
-            return [(v, None) for v in members] if large else linked(members, radius)
+            if large:  # what was passed on before may be a neighbour of a single last member
+                return [(v, None) for v in members]
+            return linked(members, radius) if len(members) > 1 else []
 
         for batch in batches:
             out = []
@@ -133,7 +133,7 @@ def shard_links(fps: DataFrame, radius: int, most: int) -> DataFrame:
                     members, large = [], True
                 members.append(fp)
             yield _pairs(out)
-        yield _pairs(close() if not large else [(v, None) for v in members])
+        yield _pairs(close())
 
     def _pairs(out):
         a, b = zip(*out) if out else ((), ())
