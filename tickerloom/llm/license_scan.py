@@ -3,8 +3,8 @@
 A block is a line; its tokens are its distinct words. Tokens are ordered by how many documents
 hold them, rarest first. A block contains a template if it holds at least 90 % of its tokens.
 Such a block must hold one of the template's first tokens in that order (prefix filter), must have as many tokens as are
-needed (length filter), and behind the first shared token the template must have enough tokens
-left (positional filter). What passes is counted exactly.
+needed (length filter), and from the first shared token on the block must have enough tokens
+of templates left in that order (positional filter). What passes is counted exactly.
 
 Edge cases: a null text is empty: no words, no labels, score 0; equal rows get equal results;
 templates with equal tokens each give their label; an empty table gives an empty result; other
@@ -69,41 +69,49 @@ def frequencies(docs: DataFrame, tokens: set[str], text_col="text") -> dict[str,
     return {r.t: r.n for r in counts.collect()}
 
 
-def matches(docs: DataFrame, templates=TEMPLATES, threshold=THRESHOLD, id_col="doc_id", text_col="text") -> DataFrame:
-    """(_id, _hash, label, containment) for every line and template above the threshold."""
+def candidates(docs: DataFrame, templates=TEMPLATES, threshold=THRESHOLD, id_col="doc_id", text_col="text") -> DataFrame:
+    """(_id, _hash, label, tokens, need, held) for lines that pass the filters; held: the line's template tokens, in order."""
     spark = docs.sparkSession
     tokens = template_tokens(templates)
-    held = frequencies(docs, set().union(*tokens.values()), text_col)
-    order = lambda t: (held.get(t, 0), t)
+    vocabulary = set().union(*tokens.values())
+    counts = frequencies(docs, vocabulary, text_col)
+    order = lambda t: (counts.get(t, 0), t)
     index, full = [], []
     for label, found in tokens.items():
         ranked, need = sorted(found, key=order), needed(len(found), threshold)
         full.append((label, ranked, need))
         for i, t in enumerate(ranked[: len(ranked) - need + 1]):
-            index.append((t, label, len(ranked) - i - need))  # spare: tokens left beyond the need
+            index.append((t, label, i))
     prefix = F.array(*[F.lit(t) for t in sorted({t for t, _, _ in index})])
-    index = spark.createDataFrame(index, "token string, label string, spare int")
+    index = spark.createDataFrame(index, "token string, label string, place int")
     full = spark.createDataFrame(full, "label string, tokens array<string>, need int")
     lines = docs.select(
         *row_key(id_col, text_col), F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line")
     )
     blocks = lines.select("_id", "_hash", F.array_distinct(scan_words(F.col("line"))).alias("block"))
-    first = F.array_intersect("block", prefix)
+    # No other token of a line can be shared; an intersection keeps the order of its first array.
+    held = F.array_intersect(F.array(*[F.lit(t) for t in sorted(vocabulary, key=order)]), "block")
+    first = F.array_intersect("held", prefix)
     # The templates are few and fixed: both small tables are bounded.
-    candidates = (
+    found = (
         blocks.where(F.arrays_overlap("block", prefix))
-        .select("_id", "_hash", "block", F.explode(first).alias("token"))
+        .select("_id", "_hash", F.size("block").alias("n"), held.alias("held"))
+        .select("*", F.explode(first).alias("token"))
         .join(F.broadcast(index), "token")
-        .where("spare >= 0")
         .join(F.broadcast(full), "label")
-        .where(F.size("block") >= F.col("need"))
+        .where(F.col("n") >= F.col("need"))
+        .where(F.size("held") - F.array_position("held", F.col("token")) + 1 >= F.col("need"))
     )
     # A pair counts at its first shared prefix token only.
-    earlier = F.slice("tokens", F.lit(1), F.size("tokens") - F.col("need") - F.col("spare"))
-    shared = F.size(F.array_intersect("tokens", "block"))
+    earlier = F.slice("tokens", F.lit(1), F.col("place"))
+    return found.where(~F.arrays_overlap("held", earlier)).select("_id", "_hash", "label", "tokens", "need", "held")
+
+
+def matches(docs: DataFrame, templates=TEMPLATES, threshold=THRESHOLD, id_col="doc_id", text_col="text") -> DataFrame:
+    """(_id, _hash, label, containment) for every line and template above the threshold."""
+    found = candidates(docs, templates, threshold, id_col, text_col)
     return (
-        candidates.where(~F.arrays_overlap("block", earlier))
-        .withColumn("shared", shared)
+        found.withColumn("shared", F.size(F.array_intersect("tokens", "held")))
         .where("shared >= need")
         .select("_id", "_hash", "label", (F.col("shared") / F.size("tokens")).alias("containment"))
     )
