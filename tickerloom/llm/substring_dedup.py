@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.text import LAST_ID, bounded_batches, bounded_sample, kept_table
+from tickerloom.llm.text import bounded_batches, bounded_sample, kept_table, row_key
 from tickerloom.llm.wordhash import U, grams, leftmost_minima, mixed, split_words, word_hashes
 
 WINDOW = 20
@@ -121,7 +121,7 @@ def packed(rows: DataFrame, window: int, gram: int, buckets: int, hot: set[int])
         batch = Batch(texts, window)
         docs, places, sizes, minis = batch.super_kmers(gram)
         ids, ties = (np.array(x) for x in zip(*batch.keys))
-        ids, ties = ids.astype(np.int64), ties.astype(np.int32)
+        ids, ties = ids.astype(np.int64), ties.astype(np.int64)
         if len(hot_array) and len(minis):
             alone = np.isin(minis, hot_array)
             times = np.where(alone, sizes, 1)
@@ -215,7 +215,7 @@ def spans(loads: DataFrame, window: int) -> DataFrame:
 
     def table(out):
         columns = list(zip(*out)) or [(), (), (), ()]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        types = [pa.int64()] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["_id", "_hash", "a", "b"])
 
     def run(batches):
@@ -237,7 +237,7 @@ def spans(loads: DataFrame, window: int) -> DataFrame:
     # Settled spans go anywhere, the others to their bucket.
     place = F.when(F.col("bucket") < 0, F.xxhash64("load")).otherwise(F.xxhash64("bucket"))
     dealt = loads.repartition(place).sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "_id long, _hash int, a long, b long")
+    return dealt.mapInArrow(run, "_id long, _hash long, a long, b long")
 
 
 def _kept(text: bytes, removed) -> tuple[int, int, bytes]:
@@ -254,7 +254,7 @@ def dedup(docs: DataFrame, id_col="doc_id", text_col="text", window=WINDOW, gram
     """doc_id, n_words, n_removed and kept (the words that stay, joined by spaces) of every row."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"), F.hash(F.col(text_col)).alias("_hash")]
+    key = row_key(id_col, text_col)
     rows = docs.select(*key, F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
@@ -292,7 +292,7 @@ def dedup(docs: DataFrame, id_col="doc_id", text_col="text", window=WINDOW, gram
             yield result(batch.column(0), batch.column(1), batch.column(2).to_pylist())
 
     kept = "doc_id long, n_words long, n_removed long, kept string"
-    others = texts.mapInArrow(suspected, "doc_id long, text string, _id long, _hash int")
+    others = texts.mapInArrow(suspected, "doc_id long, text string, _id long, _hash long")
     others = others.join(removed, ["_id", "_hash"], "left").select("doc_id", "text", "removed")
     return texts.mapInArrow(untouched, kept).union(others.mapInArrow(cut, kept))
 
