@@ -161,9 +161,125 @@ FROM rows r JOIN gap{CLOSING} g ON r.source IS NOT DISTINCT FROM g.source
 """
 
 
+COLLOCATIONS = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+places AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM p),
+counted AS (
+  SELECT lang, w[i : i + k - 1] AS g, count(*) AS f
+  FROM places, (VALUES (1), (2), (3), (4)) AS lengths(k) WHERE i + k - 1 <= len(w)
+  GROUP BY 1, 2 HAVING count(*) >= 30),
+cuts AS (
+  SELECT lang, g, f AS a, unnest(generate_series(1, len(g) - 1)) AS k FROM counted WHERE len(g) > 1),
+scored AS (
+  SELECT c.lang, c.g, c.a, c.k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f) AS score
+  FROM cuts c JOIN counted l ON l.lang = c.lang AND l.g = c.g[1 : c.k]
+    JOIN counted r ON r.lang = c.lang AND r.g = c.g[c.k + 1 : len(c.g)]),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, f, g, unnest(generate_series(1, len(g) - 1)) AS i FROM counted WHERE len(g) > 2),
+parts AS (
+  SELECT lang, f, g[i : i + m - 1] AS g
+  FROM inner_parts, (VALUES (2), (3)) AS lengths(m) WHERE m < len(g) AND i + m - 1 <= len(g)),
+around AS (SELECT lang, g, max(f) AS longer FROM parts GROUP BY lang, g),
+kept AS (
+  SELECT w.lang, array_to_string(w.g, ' ') AS phrase, a, l, r, score
+  FROM weakest w LEFT JOIN around o ON o.lang = w.lang AND o.g = w.g
+  WHERE o.longer IS NULL OR 100::HUGEINT * o.longer < 80::HUGEINT * w.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT r.lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked r JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+def _conversations() -> str:
+    line = "role || ':' || text"
+    more = "CASE WHEN cut THEN 3 ELSE 0 END"
+
+    def way(after: str, cost: str, letter: str, line: str = "") -> str:
+        lines = f"list_prepend({line}, {after}.t)" if line else f"{after}.t"
+        return f"{{'c': {after}.c + {cost}, 'a': '{letter}' || {after}.a, 't': {lines}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def insert(after: str, role: str) -> str:
+        return way(after, "3", "I", f"'{role}:'")
+
+    def row(state: int, after: int) -> str:
+        """The best way from a state through a row; ``after`` is where the next turn leads."""
+        role = "assistant" if state == 2 else "user"
+        ways = [
+            way(f"e{state}", "4", "D"),
+            f"CASE WHEN NOT gone THEN {way(f'e{after}', more + ' + 3', 'R', f"'{role}:' || text")} END",
+            f"CASE WHEN NOT gone AND role[1] = '{role[0]}' THEN {way(f'e{after}', more, 'K', line)} END",
+        ]
+        if state == 0:
+            ways.append(f"CASE WHEN NOT gone AND role[1] = 's' THEN {way('e1', more, 'K', line)} END")
+        return least(*ways)
+
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    [ascii(x) for x in string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')] AS bytes
+  FROM conversations),
+dealt AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::UBIGINT, bytes::UBIGINT[]), lambda c, b:
+    list_reduce(list_prepend(xor(c, b), [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[]), lambda v, i:
+      CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END)), 4294967295::UBIGINT) % 20 AS kind
+  FROM keyed),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM dealt WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER w AS i, lag(role[1]) OVER w AS before,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+judged AS (
+  SELECT *, trimmed = '' AS blank, trimmed <> '' AND again AS duplicate,
+    trimmed <> '' AND NOT again AND trimmed[-1] NOT IN ('.', '!', '?') AS cut,
+    trimmed = '' OR again AS gone
+  FROM placed),
+counted AS (
+  SELECT conv_id, count(*) AS n,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count_if(blank)::BIGINT AS blank, count_if(duplicate)::BIGINT AS duplicate, count_if(cut)::BIGINT AS truncated,
+    count_if(i > 1 AND before || role[1] NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal
+  FROM judged GROUP BY conv_id),
+ways(conv_id, i, e0, e1, e2, e3) AS (
+  SELECT conv_id, n + 1, {{'c': 0, 'a': '', 't': []::VARCHAR[]}}, {{'c': 6, 'a': 'II', 't': ['user:', 'assistant:']}},
+    {{'c': 3, 'a': 'I', 't': ['assistant:']}}, {{'c': 0, 'a': '', 't': []::VARCHAR[]}}
+  FROM counted
+  UNION ALL
+  SELECT conv_id, i, {least('f0', insert('g2', 'user'))}, {least('f1', insert('g2', 'user'))}, g2, {least('f3', insert('g2', 'user'))}
+  FROM (
+    SELECT *, {least('f2', insert('f3', 'assistant'))} AS g2
+    FROM (
+      SELECT w.conv_id, j.i, {row(0, 2)} AS f0, {row(1, 2)} AS f1, {row(2, 3)} AS f2, {row(3, 2)} AS f3
+      FROM ways w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i - 1))),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT s.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+  coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(w.e0.c, 0)::BIGINT AS cost,
+  coalesce(w.e0.a, '') AS audit, sha256(coalesce(array_to_string(w.e0.t, chr(10)), '')) AS repaired_sha256
+FROM ids s LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+  LEFT JOIN ways w ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.i = 1
+"""
+
+
 ORACLES = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op5_license_scans": _license_scan(),
     "op8_quality_rules": QUALITY,
     "op9_mixing": _mixing(),
+    "op11_collocations": COLLOCATIONS,
+    "op13_conversation_repair": _conversations(),
 }

@@ -1,4 +1,4 @@
-"""Queries of the ten operators, over whole tables."""
+"""Queries of the operators, over whole tables."""
 
 from __future__ import annotations
 
@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.llm import (
+    collocations,
+    conversations,
     decontaminate,
     html_extract,
+    lattice,
     license_scan,
     mixing,
     quality,
@@ -69,6 +72,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, index)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
+def op12_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return lattice.score(docs, lattice.fit(docs))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repair(conversations.damaged(rows), rows)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
@@ -80,4 +97,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
+    "op12_lattice_scores": op12_lattice_scores,
+    "op13_conversation_repair": op13_conversation_repair,
 }
