@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-WINDOW = 8 << 20  # bytes of text worked on at once
-HELD = 1 << 20  # rows of counts a task holds before it hands them on
+WINDOW = 4 << 20  # bytes of text worked on at once
+HELD = 1 << 18  # rows of counts a task holds before it hands them on
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
