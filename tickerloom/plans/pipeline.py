@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tickerloom.sources import tables
 from tickerloom.sources.csv_files import read_cells
 from tickerloom.sources.landing import landed, prepare, years_of
 
+YEARLY = "prices_yearly"
 ENRICHED = "stocks_enriched"
 SECTOR_YEARS = "sector_years"
 SECTOR_MART = "mart_sector_performance"
@@ -35,6 +37,7 @@ LAYOUTS = {
         "partition_by": ("stock_year",), "cluster_by": ("company_name",), "balance": False,
     },
 }
+ROLL_UP_LAYOUT = {"partition_by": ("year",), "cluster_by": ("symbol",)}
 BY_YEAR = (ENRICHED, FUNDAMENTALS_MART)
 
 
@@ -77,6 +80,10 @@ def enriched_of(
     return staging(stocks_enriched(yearly, fundamentals, securities))
 
 
+def _year_of(name: str) -> str:
+    return "year" if name == YEARLY else "stock_year"
+
+
 class _Writer:
     """Writes the tables of one run, times them and counts their rows.
 
@@ -93,10 +100,11 @@ class _Writer:
         """A new version (with ``years``: of these partitions only) and the rows just written."""
         started = time.monotonic()
         written = tables.next_version(self.lake, name, df.schema, self.current, self.run, **notes)
-        tables.write_table(df, written.path, **LAYOUTS.get(name, {}))
+        layout = ROLL_UP_LAYOUT if name == YEARLY else LAYOUTS.get(name, {})
+        tables.write_table(df, written.path, **layout)
         version = written
         if years is not None:
-            version = self.current[name].with_partitions("stock_year", years, written.path, self.run)
+            version = self.current[name].with_partitions(_year_of(name), years, written.path, self.run)
         seconds = time.monotonic() - started
         if name in LAYOUTS:
             self.measured.append((self.run, name, version.read(self.spark).count(), seconds))
@@ -114,6 +122,7 @@ def audit(
     sectors: DataFrame,
     mart: DataFrame,
     yearly: DataFrame,
+    all_years: DataFrame,
     fundamentals: DataFrame,
     securities: DataFrame,
     measured: list[tuple],
@@ -122,18 +131,29 @@ def audit(
 
     Values out of range, orphaned rows, old sources and tables that shrank are logged as
     warnings. The grain comes with the roll-up: with repeated days, which close counts as a
-    year's first or last is not determined.
+    year's first or last is not determined. ``yearly`` has the years just built, ``all_years`` all of them.
     """
     results = quality.suite(staged, sectors, mart, True)
-    more = [quality.orphan_checks(quality.orphans(yearly, fundamentals, securities))]
+    more = [quality.orphan_checks(quality.orphans(all_years, fundamentals, securities))]
     if config.check_grain:
         more.append(quality.grain(yearly))
     if config.as_of and config.max_age_days is not None:
-        dates = {"fundamentals": (fundamentals, "period_ending"), "prices": (yearly, "last_day")}
+        dates = {"fundamentals": (fundamentals, "period_ending"), "prices": (all_years, "last_day")}
         more.append(quality.freshness_checks(quality.freshness(dates, config.as_of, config.max_age_days)))
     more.append(quality.row_count_checks(_row_counts(spark, config, measured), config.run))
     for rows in more:
         results = results.unionByName(quality.with_status(rows))
+    _judge(config, results)
+
+
+def _audit_sectors(spark: SparkSession, config: Config, sectors: DataFrame) -> None:
+    """The tests of the sector mart alone, as it was built anew over what others published."""
+    rows = quality.not_null(sectors, SECTOR_MART).unionByName(quality.unique(sectors, SECTOR_MART))
+    _judge(config, quality.with_status(rows))
+
+
+def _judge(config: Config, results: DataFrame) -> None:
+    """Log test results; raise if one failed."""
     results = tables.stored(results.select(F.lit(config.run).alias("run"), "*").coalesce(1), "audit")
     results.write.mode("append").parquet(f"{config.lake}/{QUALITY_LOG}")
     failures = results.filter("status = 'fail'").collect()  # at most one row per test
@@ -154,42 +174,79 @@ def _row_counts(spark: SparkSession, config: Config, measured: list[tuple]) -> D
 
 
 def _build(
-    spark: SparkSession, config: Config, raw: dict[str, tables.Version | None], filings: str, years: list[int] | None
+    spark: SparkSession, config: Config, raw: dict[str, tables.Version | None], filings: str, years: list[int] | None, seen: int
 ) -> str:
-    """Build, audit and publish: everything, or the partitions of ``years``, in one append.
+    """Build, audit and publish: everything, or the partitions of ``years``, in one commit.
 
-    The enriched rows are written once and read back: models, marts and tests are then
-    narrow scans of them, and a lost executor does not recompute the joins.
+    The roll-up and the enriched rows are written once and read back: models, marts and tests are then
+    narrow scans of them, and a lost executor does not recompute the joins. Orphans and ages are those of the whole
+    tables, also where only some years were built: the roll-up of the others is read as published. ``seen`` is the last commit
+    before anything was read.
     """
     writer = _Writer(spark, config)
     prices, fundamentals, securities = (
         landed(spark, c, config.lake, raw.get(c.name)) for c in (PRICES, FUNDAMENTALS, SECURITIES)
     )
+    all_filings = fundamentals
     if years is not None:
         prices = of_years(prices, PRICES, years)
         fundamentals = of_years(fundamentals, FUNDAMENTALS, years)
-    yearly = tables.stored(prices_yearly_with_grain(prices), "yearly")
+    yearly_version, yearly = writer.write(YEARLY, prices_yearly_with_grain(prices), years)
     rows = enriched_of(yearly.drop("n_rows", "n_days", "last_day"), fundamentals, securities, filings)
     enriched, staged = writer.write(ENRICHED, rows, years, filings=filings)
     metrics = stock_metrics(staged)
     mart_version, mart = writer.write(FUNDAMENTALS_MART, fundamentals_vs_return(metrics), years)
-    sums = sector_years(metrics)
-    if years is not None:
-        kept = writer.current[SECTOR_YEARS].read(spark)
-        sums = kept.filter(~F.col("stock_year").isin(years)).unionByName(sums)
-    sums_version, sums = writer.write(SECTOR_YEARS, sums)
-    sectors_version, sectors = writer.write(SECTOR_MART, sector_performance_of_years(sums))
+    own_sums = sector_years(metrics)
+    sums_version, sectors_version, sectors = _sector_tables(writer, own_sums, years)
     audit(
-        spark, config, staged, sectors, mart, yearly, fundamentals, securities, writer.measured
-    )
-    published = [v for v in raw.values() if v is not None]
-    tables.publish(
-        spark, config.lake, [*published, enriched, mart_version, sums_version, sectors_version]
+        spark, config, staged, sectors, mart, yearly, yearly_version.read(spark), all_filings, securities, writer.measured
     )
+    landed_now = [v for v in raw.values() if v is not None]
+    by_year = [yearly_version, enriched, mart_version]
+    while True:
+        try:
+            tables.publish(spark, config.lake, [*landed_now, *by_year, sums_version, sectors_version], seen)
+            break
+        except tables.Overtaken as overtaken:
+            others = [v for v in overtaken.others if v.name not in (SECTOR_YEARS, SECTOR_MART)]
+            touched = tables.Overtaken(others).touched()
+            if years is None or touched is None or touched & set(years):
+                raise
+            writer.current = tables.current_versions(spark, config.lake)
+            seen = tables.last_commit(writer.current)
+            landed_now = [_after(v, writer.current.get(v.name), overtaken) for v in landed_now]
+            by_year = [_after(v, writer.current[v.name], overtaken) for v in by_year]
+            sums_version, sectors_version, sectors = _sector_tables(writer, own_sums, years)
+            _audit_sectors(spark, config, sectors)
     writer.log_metrics()
     return config.run
 
 
+def _sector_tables(writer: _Writer, own_sums: DataFrame, years: list[int] | None) -> tuple[tables.Version, tables.Version, DataFrame]:
+    """The sums per sector and year with those of the years just built, and the sector mart over them."""
+    sums = own_sums
+    if years is not None:
+        kept = writer.current[SECTOR_YEARS].read(writer.spark)
+        sums = kept.filter(~F.col("stock_year").isin(years)).unionByName(sums)
+    sums_version, sums = writer.write(SECTOR_YEARS, sums)
+    sectors_version, sectors = writer.write(SECTOR_MART, sector_performance_of_years(sums))
+    return sums_version, sectors_version, sectors
+
+
+def _after(version: tables.Version, current: tables.Version | None, overtaken: tables.Overtaken) -> tables.Version:
+    """A refreshed version on top of what others published of its table, whose partitions differ from its own."""
+    touched = version.notes["touched"]
+    if current is None:
+        raise overtaken
+    if "moved" not in version.notes:  # a landed load
+        if current.path != version.path:
+            raise overtaken
+        return replace(version, info=json.dumps(current.notes | {"touched": touched}, sort_keys=True))
+    folders = version.notes["moved"]["folders"]
+    folder = folders[str(touched[0])] if touched else version.path
+    return current.with_partitions(_year_of(version.name), touched, folder, version.run)
+
+
 def run(spark: SparkSession, config: Config) -> str:
     """Run everything for the configured sources; return the run id.
 
@@ -198,11 +255,13 @@ def run(spark: SparkSession, config: Config) -> str:
     """
     for contract in CONTRACTS:  # all headers, before the first source is landed
         read_cells(spark, config.csv[contract.name], contract)
+    tables.create_lake(spark, config.lake)
+    seen = tables.last_commit(tables.current_versions(spark, config.lake))
     raw = {
         c.name: prepare(spark, c, config.csv[c.name], config.lake, ordered_by_date=config.ordered_by_date)
         for c in CONTRACTS
     }
-    return _build(spark, config, raw, config.filings or "all", None)
+    return _build(spark, config, raw, config.filings or "all", None, seen)
 
 
 def of_years(df: DataFrame, contract, years: list[int]) -> DataFrame:
@@ -231,11 +290,14 @@ def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) ->
     landed before. A changed security touches all its years: use ``run`` for that. Filings are
     treated as the published table was built ("all" or "latest"); asking for the other mode is an
     error. Recomputed partitions are written aside and audited; new raw loads, partitions and marts
-    are then published together. Files that were landed before change nothing.
+    are then published together. Files that were landed before change nothing. If another refresh published
+    other years meanwhile, both stand; if it touched a year of this one, Overtaken is raised, nothing is published, and the
+    refresh can be run again.
     """
     if SECURITIES.name in config.csv:
         raise ValueError("changed securities need a full run")
-    enriched = tables.current_versions(spark, config.lake)[ENRICHED]
+    current = tables.current_versions(spark, config.lake)
+    enriched, seen = current[ENRICHED], tables.last_commit(current)
     filings = enriched.notes["filings"]
     if config.filings not in (None, filings):
         raise ValueError(f"the table holds {filings} filings: {config.filings} need a full run")
@@ -248,7 +310,7 @@ def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) ->
             )
             raw[contract.name] = version
             stale.update(years_of(spark, contract, version) if version is not None else ())
-    return _build(spark, config, raw, filings, sorted(stale))
+    return _build(spark, config, raw, filings, sorted(stale), seen)
 
 
 def quality_history(spark: SparkSession, lake: str) -> DataFrame:

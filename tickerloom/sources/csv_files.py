@@ -71,7 +71,7 @@ def read_cells(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
 
 
 def parsed(cells: DataFrame, contract: Contract) -> DataFrame:
-    """Typed columns, plus for each malformed row the columns at fault and its text.
+    """Typed columns and a number for the file, plus for each malformed row the columns at fault and its text.
 
     A row is malformed if it has too few or too many cells, if a required cell is missing, or if a
     cell is present but not of the contract's type. Other missing cells are allowed. One
@@ -97,6 +97,7 @@ def parsed(cells: DataFrame, contract: Contract) -> DataFrame:
             *[F.col(f.name).alias(f"text_{f.name}") for f in contract.fields],
             "raw_row",
             "source_file",
+            F.xxhash64("source_file").alias("file"),
         )
         .withColumn("malformed", malformed)
         .select(
@@ -104,6 +105,7 @@ def parsed(cells: DataFrame, contract: Contract) -> DataFrame:
             F.when(F.col("malformed"), fault_names).alias("bad_columns"),
             F.when(F.col("malformed"), row_text).alias("text"),
             F.when(F.col("malformed"), F.col("source_file")).alias("source_file"),
+            "file",
         )
     )
 

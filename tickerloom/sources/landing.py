@@ -6,7 +6,7 @@ import json
 import uuid
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,18 +15,29 @@ from tickerloom.sources import tables
 from tickerloom.sources.csv_files import parsed, read_cells, rejected_rows
 
 MERGED = "merged"  # content of loads that compaction wrote
+FILES = "_files"  # digests of the files of each load
+APART = ("source_file", "file")  # columns that say where a row came from
+DIGEST = ("first", "second", "n")
 
 
-def content_of(rows: DataFrame) -> str:
+def digest(rows: DataFrame) -> list[Column]:
     """A digest of rows as a bag: two sums of row hashes and the count; no order, no cancelling.
 
     Which cells are null is hashed too, as a null alone leaves a hash unchanged.
     """
-    cells = [F.col(c) for c in rows.columns if c != "source_file"]
+    cells = [F.col(c) for c in rows.columns if c not in APART]
     cells += [c.isNull() for c in cells]
     sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")) for seed in (1, 2)]
-    first, second, n = rows.agg(*sums, F.count(F.lit(1))).first()
-    return f"{int(first or 0):x}_{int(second or 0):x}_{n:x}"
+    return [s.alias(name) for s, name in zip([*sums, F.count(F.lit(1))], DIGEST)]
+
+
+def _content(sums) -> str:
+    first, second, n = sums
+    return f"{int(first or 0):x}_{int(second or 0):x}_{int(n or 0):x}"
+
+
+def content_of(rows: DataFrame) -> str:
+    return _content(rows.agg(*digest(rows)).first())
 
 
 def prepare(
@@ -40,19 +51,19 @@ def prepare(
     """Write a CSV source as a load that becomes visible once its version is published.
 
     By default the files replace what was landed before, as a new version. With
-    ``append`` they are added to the current version. The load is written to a folder of its own,
-    and its written rows identify it, whatever their files' names, sizes and times. None
-    if the table already holds exactly this content (``append``: holds it among others).
+    ``append`` they are added to the current version, without those files whose rows it holds already: files are known
+    by the digests of their written rows, whatever their names, sizes and times. None
+    if the table already holds exactly this content (``append``: no file is new).
 
     The header is checked before anything is written. Accepted and rejected rows come
     from one pass over the text and go to partitions of their own, the accepted ones by
     year, so that a refresh of some years reads those only. Rows are rebalanced on these
     partitions, so their files are even however many tasks read the text; files in the order of their
-    dates need no shuffle.
+    dates need no shuffle. Only if some files are known and others new, the new ones' rows are written once more.
     """
     cells = read_cells(spark, csv_path, contract)
     tables.create_lake(spark, lake)
-    name, load = f"raw_{contract.name}", uuid.uuid4().hex
+    name = f"raw_{contract.name}"
     current = tables.current_versions(spark, lake)
     append = append and name in current
 
@@ -66,20 +77,61 @@ def prepare(
     version = tables.next_version(lake, name, schema, current, "")
     if append:
         version = replace(version, path=current[name].path, info=current[name].info)
-    folder = f"{version.path}/load={load}"
-    tables.write_table(rows, folder, partition_by, balance=not ordered_by_date)
-    content = content_of(spark.read.schema(rows.schema).parquet(folder))
+
+    def write(df: DataFrame, balance: bool) -> tuple[str, DataFrame, DataFrame]:
+        """Rows in a load of their own, and the digests of its files."""
+        load = uuid.uuid4().hex
+        tables.write_table(df, f"{version.path}/load={load}", partition_by, balance=balance)
+        written = spark.read.schema(rows.schema).parquet(f"{version.path}/load={load}")
+        written.groupBy("file").agg(*digest(written)).write.parquet(f"{_ledger(lake, name)}/load={load}")
+        return load, written, spark.read.parquet(f"{_ledger(lake, name)}/load={load}")
+
+    load, written, files = write(rows, not ordered_by_date)
+    content = _load_content(files)
     if name in current and _is_landed(spark, lake, current[name], content, append):
         return None
-    return replace(version, run=f"{content}.{load}")
+    if append:
+        loads = _published(spark, lake, current[name]).select("load")
+        known = spark.read.parquet(_ledger(lake, name)).join(loads, "load", "left_semi").select(*DIGEST).distinct()
+        new = files.join(known, list(DIGEST), "left_anti").select("file")
+        n_files, n_new = files.count(), new.count()
+        if n_files and not n_new:
+            return None
+        if n_new < n_files:
+            load, written, files = write(written.join(new, "file", "left_semi").select(*rows.columns), True)
+            content = _load_content(files)
+    version = replace(version, run=f"{content}.{load}")
+    if append and contract.year_of:
+        notes = version.notes | {"touched": years_of(spark, contract, version)}
+        version = replace(version, info=json.dumps(notes, sort_keys=True))
+    return version
+
+
+def _ledger(lake: str, name: str) -> str:
+    return f"{lake}/{FILES}/{name}"
+
+
+def _load_content(files: DataFrame) -> str:
+    """The digest of a load from those of its files, as sums add up."""
+    return _content(files.agg(*[F.sum(F.col(c).cast("decimal(38,0)")) for c in DIGEST]).first())
 
 
 def land(spark: SparkSession, contract: Contract, csv_path: str, lake: str, append: bool = False, **options) -> bool:
-    """Land a CSV source as ``raw_<name>``; False if this content has been landed already."""
-    version = prepare(spark, contract, csv_path, lake, append, **options)
-    if version is not None:
-        tables.publish(spark, lake, [version])
-    return version is not None
+    """Land a CSV source as ``raw_<name>``; False if this content has been landed already.
+
+    If another writer landed files of this source meanwhile, what is new is found out again.
+    """
+    while True:
+        tables.create_lake(spark, lake)
+        seen = tables.last_commit(tables.current_versions(spark, lake))
+        version = prepare(spark, contract, csv_path, lake, append, **options)
+        if version is None:
+            return False
+        try:
+            tables.publish(spark, lake, [version], seen)
+        except tables.Overtaken:
+            continue
+        return True
 
 
 def compact_landed(spark: SparkSession, contract: Contract, lake: str) -> None:
@@ -93,7 +145,7 @@ def compact_landed(spark: SparkSession, contract: Contract, lake: str) -> None:
     merged = replace(merged, info=json.dumps({"merges": [*version.notes.get("merges", []), version.path]}))
     partition_by = ("status",) + ((contract.year_column,) if contract.year_column else ())
     tables.write_table(rows, f"{merged.path}/load={load}", partition_by, contract.columns[:1])
-    tables.publish(spark, lake, [merged])
+    tables.publish(spark, lake, [merged], tables.last_commit(current))
 
 
 def _published(spark: SparkSession, lake: str, version: tables.Version) -> DataFrame:
@@ -135,7 +187,7 @@ def landed(spark: SparkSession, contract: Contract, lake: str, version: tables.V
     ``version`` adds a prepared load that is not published yet.
     """
     rows = _with_status(spark, contract, lake, "accepted", version)
-    return rows.drop("bad_columns", "text", "source_file")
+    return rows.drop("bad_columns", "text", *APART)
 
 
 def landing_rejects(spark: SparkSession, contract: Contract, lake: str) -> DataFrame:

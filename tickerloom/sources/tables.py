@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,7 +14,7 @@ from pyspark.sql.types import StructType
 from tickerloom.session import work_dir
 
 PUBLICATIONS = "_publications"
-PUBLICATION_SCHEMA = "name string, number long, path string, schema string, run string, info string"
+PUBLICATION_SCHEMA = "commit long, name string, number long, path string, schema string, run string, info string"
 
 
 def write_table(
@@ -67,8 +68,22 @@ def append_rows(spark: SparkSession, rows: list[tuple], schema: str, path: str)
 
 
 # --- versions -----------------------------------------------------------------------
-# A version is a directory nobody reads until a row for it is appended to the log. All
-# tables of a run are published by one append of one file, so readers see all or none.
+# A version is a directory nobody reads until a row for it stands in the log. A commit is
+# one file of the log, named by its number and created only if no other writer has that number, so
+# readers see all tables of a run or none, and writers see what was published since they began to read.
+
+
+class Overtaken(RuntimeError):
+    """Others published some of the same tables after a writer had read them; nothing was published."""
+
+    def __init__(self, others: list[Version]):
+        self.others = others
+        super().__init__(", ".join(f"{v.name} by {v.run}" for v in others))
+
+    def touched(self, by: str = "touched") -> set | None:
+        """The partitions that the others replaced or added to; None if one of them replaced a whole table."""
+        parts = [v.notes.get(by) for v in self.others]
+        return None if None in parts else {value for values in parts for value in values}
 
 
 @dataclass(frozen=True)
@@ -79,6 +94,7 @@ class Version:
     schema: str  # of the written frame, as JSON: reading needs no inference job
     run: str  # pipeline run or load that wrote it
     info: str = "{}"  # JSON: partitions that lie elsewhere, settings of the run that built it
+    commit: int = 0  # that published it
 
     @property
     def notes(self) -> dict:
@@ -106,27 +122,67 @@ class Version:
     def with_partitions(self, by: str, values: list[int], folder: str, run: str) -> Version:
         """The next version: partitions ``values`` are read from ``folder``, all others as before."""
         folders = self.notes.get("moved", {}).get("folders", {}) | {str(v): folder for v in values}
-        info = self.notes | {"moved": {"by": by, "folders": folders}}
+        info = self.notes | {"moved": {"by": by, "folders": folders}, "touched": values}
         return replace(self, number=self.number + 1, run=run, info=json.dumps(info, sort_keys=True))
 
 
+def _create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, unless one of that name is there: written aside, then renamed.
+
+    The rename fails if the name is taken, in one step on HDFS; on a local disk a link does the same.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    system = target.getFileSystem(conf)
+    target = system.makeQualified(target)
+    aside = hadoop.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    out = system.create(aside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    try:
+        if target.toUri().getScheme() == "file":
+            paths = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, aside)]
+            spark._jvm.java.nio.file.Files.createLink(*paths)
+        else:
+            keep = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+            hadoop.FileContext.getFileContext(target.toUri(), conf).rename(aside, target, keep)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        system.delete(aside, False)
+    return True
+
+
 def create_lake(spark: SparkSession, lake: str) -> None:
     """Start an empty publication log unless the lake has one."""
-    empty = spark.createDataFrame([], PUBLICATION_SCHEMA)
-    empty.write.mode("ignore").parquet(f"{lake}/{PUBLICATIONS}")
+    _create_if_absent(spark, _commit_path(lake, 0), "")
+
+
+def _commit_path(lake: str, commit: int) -> str:
+    return f"{lake}/{PUBLICATIONS}/{commit:012d}.json"
 
 
 def publications(spark: SparkSession, lake: str) -> DataFrame:
-    return spark.read.schema(PUBLICATION_SCHEMA).parquet(f"{lake}/{PUBLICATIONS}")
+    return spark.read.schema(PUBLICATION_SCHEMA).json(f"{lake}/{PUBLICATIONS}")
+
+
+def _versions(rows: DataFrame) -> list[Version]:
+    return [Version(**row.asDict()) for row in rows.collect()]
 
 
 def current_versions(spark: SparkSession, lake: str) -> dict[str, Version]:
     """The latest published version of each table (one row per table)."""
     latest = publications(spark, lake).groupBy("name").agg(
         F.max("number").alias("number"),
-        *[F.max_by(c, "number").alias(c) for c in ("path", "schema", "run", "info")],
+        *[F.max_by(c, "number").alias(c) for c in ("path", "schema", "run", "info", "commit")],
     )
-    return {row.name: Version(**row.asDict()) for row in latest.collect()}
+    return {v.name: v for v in _versions(latest)}
+
+
+def last_commit(current: dict[str, Version]) -> int:
+    return max((v.commit for v in current.values()), default=0)
 
 
 def next_version(
@@ -138,10 +194,27 @@ def next_version(
     return Version(name, number, path, schema.json(), run, json.dumps(notes, sort_keys=True))
 
 
-def publish(spark: SparkSession, lake: str, versions: list[Version]) -> None:
-    """Make written versions current."""
-    rows = [(v.name, v.number, v.path, v.schema, v.run, v.info) for v in versions]
-    append_rows(spark, rows, PUBLICATION_SCHEMA, f"{lake}/{PUBLICATIONS}")
+def publish(spark: SparkSession, lake: str, versions: list[Version], seen: int | None = None) -> int:
+    """Make written versions current in one commit; returns its number.
+
+    ``seen`` is the last commit that the writer has read. If one of its tables was published since, Overtaken is
+    raised: the writer decides whether its work still holds.
+    """
+    names = {v.name for v in versions}
+    while True:
+        current = current_versions(spark, lake)
+        last = last_commit(current)
+        if seen is not None:
+            log = publications(spark, lake)
+            others = _versions(log.filter((F.col("commit") > seen) & F.col("name").isin(sorted(names)))) if last > seen else []
+            if others:
+                raise Overtaken(others)
+        numbered = [
+            replace(v, number=current[v.name].number + 1 if v.name in current else 1, commit=last + 1) for v in versions
+        ]
+        lines = "".join(json.dumps(asdict(v), sort_keys=True) + "\n" for v in numbered)
+        if _create_if_absent(spark, _commit_path(lake, last + 1), lines):
+            return last + 1
 
 
 def current_version(spark: SparkSession, lake: str, name: str) -> Version:
