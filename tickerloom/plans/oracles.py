@@ -102,6 +102,25 @@ def rounded(column: str, name: str | None = None) -> str:
     return f"round({column} + 1e-9, 6) AS {name or column}"
 
 
+# Nine tenths of the events arrive first; of the rest those are late whose day the first closed.
+FED = """
+    WITH marks AS (
+        SELECT max(ts) FILTER (WHERE event_id % 10 <> 0) - INTERVAL 1 DAY AS first, max(ts) - INTERVAL 1 DAY AS last FROM events),
+    ticks AS (
+        SELECT *, CAST(ts AS DATE) AS day,
+            event_id % 10 = 0 AND CAST(ts AS DATE) + INTERVAL 1 DAY <= first AS late
+        FROM events, marks)"""
+
+
+def _fed_bars(which: str) -> str:
+    return f"""{FED},
+    bars AS (
+        SELECT user_id AS symbol, day AS bar_date, arg_min_null(value, ts) AS open, arg_max_null(value, ts) AS close,
+               max(value) AS high, min(value) AS low, count(*) AS n_ticks
+        FROM ticks WHERE {which} AND day + INTERVAL 1 DAY <= last GROUP BY ALL)
+    SELECT {shown(['symbol', 'bar_date', 'open', 'close', 'high', 'low', 'n_ticks'])} FROM bars"""
+
+
 def shown(columns: list[str]) -> str:
     def one(column: str) -> str:
         if column in _EXACT:
@@ -271,6 +290,7 @@ ORACLES: dict[str, str] = {
     "scan_fundamentals": _scan("fundamentals", FUNDAMENTALS),
     "scan_securities": _scan("securities", SECURITIES),
     "ingest_raw": _scan("prices", PRICES),
+    "ingest_overlapping": _scan("prices", PRICES),
     "ingest_rejects": statement(
         """SELECT CASE WHEN l_linenumber IN (1, 2) THEN 'row' ELSE concat_ws(',',
                      CASE WHEN l_linenumber = 3 THEN 'symbol' END,
@@ -462,4 +482,7 @@ ORACLES: dict[str, str] = {
             FROM events GROUP BY ALL)
         SELECT {shown(['symbol', 'bar_date', 'open', 'close', 'high', 'low', 'n_ticks'])} FROM bars
         WHERE bar_date + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)""",
+    "feed_bars": _fed_bars("NOT late"),
+    "feed_bars_reconciled": _fed_bars("true"),
+    "feed_late_ticks": f"{FED} SELECT CAST(day AS VARCHAR) AS bar_date, count(*) AS n_late FROM ticks WHERE late GROUP BY day",
 }

@@ -19,7 +19,7 @@ from tickerloom.plans import pipeline
 from tickerloom.session import work_dir
 from tickerloom.sources import csv_files, landing, tables
 from tickerloom.sources.fixtures import MarketFixture
-from tickerloom.streaming import bars
+from tickerloom.streaming import bars, feed
 
 # Parameters of the registered queries, chosen for the value range of the benchmark tables.
 LOW_PRICE = 5_000.0
@@ -360,3 +360,47 @@ def stream_daily_bars(m: Market) -> DataFrame:
     ticks = bars.tick_stream(m.spark, f"{m.sf_dir}/event[s].parquet")
     bars.write_bars(bars.daily_bars(ticks), out, checkpoint)
     return m.spark.read.parquet(out)
+
+
+def _fed(m: Market) -> str:
+    """A lake that got nine tenths of the events live, and the rest when most of their days were closed."""
+    lake, folder, checkpoint = (work_dir(m.spark, x) for x in ("lake", "events", "feed-checkpoint"))
+    events = m.spark.read.parquet(f"{m.sf_dir}/events.parquet")
+    tenth = F.pmod("event_id", F.lit(10)) == 0
+    for part in (~tenth, tenth):
+        events.filter(part).write.mode("append").parquet(folder)
+        feed.feed_into_lake(bars.tick_stream(m.spark, folder), lake, checkpoint)
+    return lake
+
+
+@query
+def feed_bars(m: Market) -> DataFrame:
+    """Bars read from the lake a live feed publishes to."""
+    return feed.read_bars(m.spark, _fed(m))
+
+
+@query
+def feed_late_ticks(m: Market) -> DataFrame:
+    """Late ticks per day, as the feed kept them apart."""
+    late = feed.read_ticks(m.spark, _fed(m)).filter("late")
+    return late.groupBy("bar_date").agg(F.count("*").alias("n_late"))
+
+
+@query
+def feed_bars_reconciled(m: Market) -> DataFrame:
+    """The same bars after the days with late ticks were made anew."""
+    lake = _fed(m)
+    feed.reconcile(m.spark, lake)
+    return feed.read_bars(m.spark, lake)
+
+
+@query
+def ingest_overlapping(m: Market) -> DataFrame:
+    """Landed prices after one year's file, and then the whole folder, that file included, was appended."""
+    lake, year = work_dir(m.spark, "lake"), F.year("date")
+    folder = work_dir(m.spark, "csv")
+    for n in (0, 1):
+        cells = m.spark.read.option("header", True).csv(m.write_csv(PRICES, m.prices.filter(year % 2 == n)))
+        cells.write.mode("append").option("header", True).csv(folder)
+        landing.land(m.spark, PRICES, folder, lake, append=True)
+    return landing.landed(m.spark, PRICES, lake).drop(PRICES.year_column)
