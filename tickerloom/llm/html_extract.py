@@ -1,13 +1,14 @@
 """Main text of web pages: page structure, and differencing against the page with the nearest URL.
 
 A page is cut into lines, one per block. Lines in menus, headers, footers, sidebars, notices,
-adverts, forms and comments are left out by their elements and by class, id and role. Pages of a
-host are ordered by path; each is aligned by longest common subsequence with the neighbour whose path shares
-more with its own, and lines outside an article (or main) element that both have are deleted.
+adverts, forms and comments are left out by their elements and by class, id and role; an article or main element and what
+holds it are never left out by class, id or role. Pages of a host are ordered by path; each is aligned by longest
+common subsequence with the neighbour whose path shares more with its own, and lines outside an article (or
+main) element that both have are deleted. All other lines are text.
 
 Lines inside an article element are never deleted: on pages whose articles repeat passages or copy each other,
-shared lines are text. Nor is anything deleted where shared lines hold most of a page's
-text: then the pages are copies and the alignment says nothing of their template.
+shared lines are text. Pages of a host with the same lines are aligned once, and none with another of them. A neighbour
+with nearly the same lines (``COPY_REST``) is a copy and says nothing of the host's template; the other neighbour is taken then.
 
 Edge cases: a null or empty page gives an empty text; a null or unparsable URL has an empty host and path;
 pages equal in id and html are one page; broken and cut-off markup is read as far as
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tickerloom.llm.text import bounded_batches, kept_table, row_key
 
 # Elements by what they mean for a reader.
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+RAW = frozenset("script style template textarea title iframe svg select".split())
 CHROME = frozenset("nav header footer aside form head button menu dialog fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -46,6 +47,9 @@ HINTS = frozenset(
     " newsletter notice overlay pagination popup promo promoted related respond share sharing sidebar"
     " signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# Words that may stand beside a hint in a class of several words: "site-footer", "sidebar-left".
+BESIDE = frozenset("area bar block bottom box container content item left link links list main page right section site top wrap wrapper".split())
+HOLDERS = frozenset("form fieldset".split())  # hold whole pages on some sites
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 TOKEN = re.compile(
@@ -56,50 +60,52 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 HOST = "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 PATH = "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
-COPY_SHARE = 0.5
+COPY_REST = 0.1  # of either page's different lines are its own, at most: then the pages are copies
 
 
-def _is_chrome(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is outside the main text, and whether it holds it."""
+def _is_hint(name: str) -> bool:
+    """A whole class or id, or one of several words that are all hints or stand beside one."""
+    parts = set(re.split("[_-]+", name)) - {""}
+    return bool(parts & HINTS) and parts <= HINTS | BESIDE
+
+
+def _kind(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element is outside the main text by its name, by its attributes, and whether it holds the main text."""
     core = tag in ("article", "main")
     if not attributes or attributes.isspace():
-        return tag in CHROME, core
+        return tag in CHROME, False, core
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)}
-    hints = set(re.split(r"[\s_-]+", f"{found.get('class', '')} {found.get('id', '')}"))
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
     core = core or found.get("role") == "main" or found.get("itemprop") == "articlebody"
-    chrome = tag in CHROME or hidden or found.get("role") in ROLES or (bool(hints & HINTS) and tag not in ("html", "body"))
-    return chrome, core
+    names = found.get("class", "").split() + [found.get("id", "").strip()]
+    hinted = tag not in ("html", "body") and (found.get("role") in ROLES or any(map(_is_hint, names)))
+    return tag in CHROME or hidden, hinted, core
 
 
 def page_lines(page: str) -> list[tuple[str, bool]]:
     """Lines of a page outside its chrome, each with whether an article or main element holds it."""
-    lines: list[tuple[str, bool]] = []
-    parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, chrome, core
-    chrome = core = 0
+    elements = [(0, "", False, False, False)]  # parent, name, chrome by name, by attributes, core; the first holds the page
+    holds = [False]  # whether a core element is inside
+    found: list[list[tuple[int, str]]] = []  # lines as texts of elements
+    parts: list[tuple[int, str]] = []
+    stack = [0]  # open elements
 
     def flush():
-        text = " ".join("".join(parts).split())
-        parts.clear()
-        if text:
-            lines.append((text, core > 0))
+        if parts:
+            found.append(parts.copy())
+            parts.clear()
 
     def pop_to(place: int):
-        nonlocal chrome, core
         while len(stack) > place:
-            name, was_chrome, was_core = stack.pop()
-            if name in BLOCK:
+            if elements[stack.pop()][1] in BLOCK:
                 flush()
-            chrome -= was_chrome
-            core -= was_core
 
     at, end = 0, len(page)
     while at < end:
         m = TOKEN.search(page, at)
         stop = m.start() if m else end
-        if stop > at and not chrome:
-            parts.append(entities.unescape(page[at:stop]))
+        if stop > at:
+            parts.append((stack[-1], entities.unescape(page[at:stop])))
         if not m:
             break
         at = m.end()
@@ -107,7 +113,7 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
         if not tag:
             continue
         if m[1] or m[4]:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            place = next((i for i in range(len(stack) - 1, 0, -1) if elements[stack[i]][1] == tag), None)
             if place is not None:
                 pop_to(place)
             elif tag in BLOCK:
@@ -119,10 +125,10 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
             at = closing.end() if closing else end
             continue
         if tag == "body":
-            pop_to(next((i for i, x in enumerate(stack) if x[0] == "head"), len(stack)))
+            pop_to(next((i for i, x in enumerate(stack) if elements[x][1] == "head"), len(stack)))
         if tag in BLOCK:
-            for i in range(len(stack) - 1, -1, -1):
-                name = stack[i][0]
+            for i in range(len(stack) - 1, 0, -1):
+                name = elements[stack[i]][1]
                 if name == "p" or name in SELF_CLOSING.get(tag, ()):
                     pop_to(i)
                     break
@@ -130,17 +136,30 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
                     break
             flush()
         elif tag == "br":
-            parts.append(" ")
-        if tag in VOID:
+            parts.append((stack[-1], " "))
+        if tag in VOID or attributes.rstrip().endswith("/"):
             continue
-        is_chrome, is_core = _is_chrome(tag, attributes)
-        if is_chrome and tag == "header" and core and not chrome:
-            is_chrome = False  # an article's own header holds its title
-        if not attributes.rstrip().endswith("/"):
-            stack.append((tag, is_chrome, is_core))
-            chrome += is_chrome
-            core += is_core
+        named, hinted, core = _kind(tag, attributes)
+        if core:
+            for e in stack:
+                holds[e] = True
+        elements.append((stack[-1], tag, named, hinted, core))
+        holds.append(core)
+        stack.append(len(elements) - 1)
     flush()
+
+    chrome, inside = [False], [False]
+    for (parent, tag, named, hinted, core), held in zip(elements[1:], holds[1:]):
+        own = named and not (held and tag in HOLDERS) or hinted and not held
+        if tag == "header" and inside[parent] and not hinted:
+            own = False  # an article's own header holds its title
+        chrome.append(chrome[parent] or own)
+        inside.append(inside[parent] or core)
+    lines = []
+    for line in found:
+        text = " ".join("".join(t for e, t in line if not chrome[e]).split())
+        if text:
+            lines.append((text, any(inside[e] for e, t in line if not chrome[e] and t.strip())))
     return lines
 
 
@@ -188,25 +207,29 @@ def _aligned(a: list[int], b: list[int]) -> list[int]:
     return _aligned(a[:half], b[:cut]) + [half + i for i in _aligned(a[half:], b[cut:])]
 
 
-def _nearest(row, before, after):
-    """Of two neighbours in URL order the one that shares more of the row's path; the earlier of equals."""
+def _to_delete(row, before, after) -> list[int]:
+    """Numbers of the row's lines outside an article that the nearest page has too.
+
+    Of two neighbours in URL order that is the one that shares more of the row's path, the earlier of equals, unless it is a copy.
+    """
+    if all(row["core"]):
+        return []
     shared = lambda other: len(commonprefix([row["path"], other["path"]]))
     near = [x for x in (before, after) if x is not None and x["host"] == row["host"]]
-    return max(near, key=shared) if near else None
+    for other in sorted(near, key=shared, reverse=True):
+        same = common_places(row["lines"], other["lines"])
+        if not _copies(row, other):
+            return [i for i in same if not row["core"][i]]
+    return []
 
 
-def _to_delete(row, other) -> list[int]:
-    """Numbers of the row's lines outside an article that its neighbour has too."""
-    if other is None or all(row["core"]) or not row["lines"]:
-        return []
-    same = common_places(row["lines"], other["lines"])
-    total = sum(row["sizes"])
-    if sum(row["sizes"][i] for i in same) > COPY_SHARE * total:
-        return []
-    return [i for i in same if not row["core"][i]]
+def _copies(a, b) -> bool:
+    """Whether one of two pages has next to no line of its own, whatever the lines' lengths."""
+    x, y = set(a["lines"]), set(b["lines"])
+    return any(len(one - other) <= COPY_REST * len(one) for one, other in ((x, y), (y, x)))
 
 
-PAGE = "host string, path string, _id long, _hash long, lines array<long>, sizes array<int>, core array<boolean>"
+PAGE = "host string, path string, _id long, _hash long, _outline long, lines array<long>, sizes array<int>, core array<boolean>"
 FOUND = f"{PAGE}, role string, dead array<int>"
 
 
@@ -217,9 +240,11 @@ def outlines(pages: DataFrame, id_col="page_id", url_col="url", html_col="html")
         for batch in batches:
             found = [page_lines(p or "") for p in batch.column(4).to_pylist()]
             signed = lambda t: xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63)
+            whole = [signed("\n".join(f"{core:d}{t}" for t, core in x)) for x in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:4],
+                    pa.array(whole, pa.int64()),
                     pa.array([[signed(t) for t, _ in x] for x in found], pa.list_(pa.int64())),
                     pa.array([[len(t) for t, _ in x] for x in found], pa.list_(pa.int32())),
                     pa.array([[c for _, c in x] for x in found], pa.list_(pa.bool_())),
@@ -238,21 +263,21 @@ def outlines(pages: DataFrame, id_col="page_id", url_col="url", html_col="html")
 def _table(rows) -> pa.RecordBatch:
     schema = pa.schema(
         [("host", pa.string()), ("path", pa.string()), ("_id", pa.int64()), ("_hash", pa.int64()),
-         ("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("core", pa.list_(pa.bool_())),
+         ("_outline", pa.int64()), ("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("core", pa.list_(pa.bool_())),
          ("role", pa.string()), ("dead", pa.list_(pa.int32()))]
     )
     return pa.RecordBatch.from_pylist(rows, schema)
 
 
 def _settled(row, before, after) -> list[dict]:
-    dead = _to_delete(row, _nearest(row, before, after))
-    return [{"_id": row["_id"], "_hash": row["_hash"], "role": "settled", "dead": dead}] if dead else []
+    dead = _to_delete(row, before, after)
+    return [{"host": row["host"], "_outline": row["_outline"], "role": "settled", "dead": dead}] if dead else []
 
 
 def shared_lines(outline: DataFrame) -> DataFrame:
     """(_id, _hash, dead): numbers of the lines to delete, for pages that have any.
 
-    Pages are sorted by URL over all tasks, so a host of any size is spread. The first and the last
+    Of pages of a host with the same lines the one with the first path is aligned. Pages are sorted by URL over all tasks, so a host of any size is spread. The first and the last
     page of each task (open) meet again, with their neighbours in the task, to be paired across tasks.
     """
 
@@ -283,12 +308,19 @@ def shared_lines(outline: DataFrame) -> DataFrame:
             yield _table(out)
         yield _table(_settled(row, before, None) if row and row["role"] == "open" else [])
 
-    order = ["host", "path", "_id", "_hash"]
-    distinct = outline.dropDuplicates(["_id", "_hash"])
+    order = ["host", "path", "_outline"]
+    rest = F.struct("lines", "sizes", "core")
+    distinct = (
+        outline.where(F.size("lines") > 0).groupBy("host", "_outline")
+        .agg(F.min("path").alias("path"), F.first(rest).alias("rest"))
+        .select("host", "path", F.lit(0).cast("long").alias("_id"), F.lit(0).cast("long").alias("_hash"), "_outline", "rest.*")
+    )
     found = distinct.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(inner, FOUND)
     found = kept_table(found, "page-neighbours")
     ends = found.where("role <> 'settled'").coalesce(1).sortWithinPartitions(*order)  # four pages a task
-    return found.where("role = 'settled'").union(ends.mapInArrow(across, FOUND)).select("_id", "_hash", "dead")
+    settled = found.where("role = 'settled'").union(ends.mapInArrow(across, FOUND)).select("host", "_outline", "dead")
+    pages = outline.select("host", "_outline", "_id", "_hash").dropDuplicates(["_id", "_hash"])
+    return pages.join(settled, ["host", "_outline"]).select("_id", "_hash", "dead")
 
 
 def extract(pages: DataFrame, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
@@ -299,8 +331,7 @@ def extract(pages: DataFrame, id_col="page_id", url_col="url", html_col="html")
             texts = []
             for page, dead in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 lines, gone = page_lines(page or ""), set(dead or ())
-                article = any(core for _, core in lines)
-                texts.append("\n".join(t for i, (t, core) in enumerate(lines) if i not in gone and (core or not article)))
+                texts.append("\n".join(t for i, (t, _) in enumerate(lines) if i not in gone))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
