@@ -112,12 +112,16 @@ gap{turn + 1} AS (
   FROM gap{turn} g LEFT JOIN best{turn} b ON b.source IS NOT DISTINCT FROM g.source)""")
     closing = ",".join(closing)
     return rf"""
-WITH sized AS (SELECT doc_id, text, source, len({WORDS})::BIGINT AS size FROM documents),
-rows AS (
+WITH sized AS (
+  SELECT doc_id, source, len({WORDS})::BIGINT AS size,
+    ('0x' || substr(md5('{seed}:' || coalesce('i' || doc_id, '') || ':' || md5(coalesce(text, '')) || ':' || coalesce('s' || source, '')), 1, {BITS // 4}))::BIGINT AS first
+  FROM documents),
+drawn AS (SELECT *, row_number() OVER (PARTITION BY first) - 1 AS nth FROM sized),
+plain AS (
   SELECT doc_id, source, size,
-    ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) || ':' || size), 1, {BITS // 4}))::BIGINT AS draw
-  FROM sized),
-sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source),
+    CASE WHEN nth = 0 THEN first ELSE ('0x' || substr(md5(first || ':' || nth), 1, {BITS // 4}))::BIGINT END AS u
+  FROM drawn),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM plain GROUP BY source),
 weighed AS (
   SELECT *, source_size * {MOST_COPIES}.0::DOUBLE AS ceiling,
     ({cycle}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1])::DOUBLE AS weight
@@ -138,6 +142,23 @@ parts AS (
   SELECT *, floor(coalesce(target / nullif(source_size, 0), 0))::BIGINT AS whole,
     target - floor(coalesce(target / nullif(source_size, 0), 0)) * source_size AS budget
   FROM goals),
+sizes AS (SELECT source, size, count(*) AS n FROM plain WHERE size > 0 GROUP BY source, size),
+larger AS (
+  SELECT a.source, a.size,
+    (SELECT coalesce(sum(b.n * b.size), 0) FROM sizes b WHERE b.source IS NOT DISTINCT FROM a.source AND b.size > a.size)::DOUBLE AS certain,
+    (SELECT sum(b.n * b.size * b.size) FROM sizes b WHERE b.source IS NOT DISTINCT FROM a.source AND b.size <= a.size)::DOUBLE AS squares
+  FROM sizes a),
+slopes AS (
+  SELECT p.source, max_by((budget - certain) / squares, l.size) AS slope
+  FROM parts p JOIN larger l ON l.source IS NOT DISTINCT FROM p.source
+  WHERE budget >= certain AND (budget - certain) / squares * l.size::DOUBLE <= 1 GROUP BY p.source),
+chances AS (
+  SELECT p.*, least(1.0::DOUBLE, coalesce(slope, 0) * p.size::DOUBLE) AS chance, (p.u::DOUBLE + 0.5) / (1::BIGINT << {BITS})::DOUBLE AS v
+  FROM plain p LEFT JOIN slopes s ON s.source IS NOT DISTINCT FROM p.source),
+rows AS (
+  SELECT doc_id, source, size,
+    floor(v * (1 - chance) / (v * (1 - chance) + (1 - v) * chance) * (1::BIGINT << {BITS})::DOUBLE)::BIGINT AS draw
+  FROM chances),
 upto AS (
   SELECT source, draw, sum(size) OVER (PARTITION BY source ORDER BY draw) AS words FROM rows),
 lasts AS (
