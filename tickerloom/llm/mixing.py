@@ -279,7 +279,7 @@ def mixed_documents(
     goals = goals_of(rows, weights, most)
     limits = cuts(with_ranks(rows, goals), goals)
     same = F.col("s.source").eqNullSafe(F.col("g.source"))
-    limits = limits.alias("s").join(goals.alias("g"), same).select("s.*", "g.slope")
+    limits = kept_table(limits.alias("s").join(goals.alias("g"), same).select("s.*", "g.slope"), "mix-limits")  # of known size
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # its names meet no other
     own = numbered(docs.select(whole, draw(id_col, text_col, source_col, seed).alias("draw"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size")), "draw")
     joined = own.alias("s").join(limits.alias("g"), same)
