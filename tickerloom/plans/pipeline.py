@@ -335,8 +335,11 @@ def register_models(spark: SparkSession, lake: str) -> None:
 
 
 def reports_of(spark: SparkSession, lake: str, year: int | None = None) -> dict[str, DataFrame]:
-    """All reports over the published marts."""
+    """All reports over the published marts, each of which is scanned once for all of them.
+
+    The marts stay cached for later packs until a newer commit is read; ``tables.release`` drops them.
+    """
     versions = tables.current_versions(spark, lake)
     return report_pack(
-        versions[SECTOR_MART].read(spark), versions[FUNDAMENTALS_MART].read(spark), year
+        tables.held(spark, lake, versions[SECTOR_MART]), tables.held(spark, lake, versions[FUNDAMENTALS_MART]), year
     )

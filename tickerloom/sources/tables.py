@@ -228,6 +228,30 @@ def read_current(spark: SparkSession, lake: str, name: str) -> DataFrame:
     return current_version(spark, lake, name).read(spark)
 
 
+_held: dict[tuple[str, str, str], tuple[int, DataFrame]] = {}
+
+
+def held(spark: SparkSession, lake: str, version: Version) -> DataFrame:
+    """A published version, kept in Spark's cache for all that read it until another commit of its table is asked for.
+
+    Partitions that do not fit in memory go to disk; lost ones are read again. One version of a table is held at a time.
+    """
+    key = (spark.sparkContext.applicationId, lake, version.name)
+    commit, df = _held.get(key, (None, None))
+    if commit != version.commit:
+        if df is not None:
+            df.unpersist()
+        df = version.read(spark).persist()
+        _held[key] = (version.commit, df)
+    return df
+
+
+def release(spark: SparkSession, lake: str) -> None:
+    """Drop what is held of a lake."""
+    for key in [k for k in _held if k[:2] == (spark.sparkContext.applicationId, lake)]:
+        _held.pop(key)[1].unpersist()
+
+
 def register_current(spark: SparkSession, lake: str, name: str, database: str = "default") -> None:
     """Point a catalog view at the current version (one catalog operation)."""
     version = current_version(spark, lake, name)
