@@ -203,6 +203,9 @@ def _build(
     )
     landed_now = [v for v in raw.values() if v is not None]
     by_year = [yearly_version, enriched, mart_version]
+    resecured = years is not None and raw.get(SECURITIES.name) is not None
+    if resecured:  # other refreshes read the old securities: none of them may stand beside this one
+        by_year = [replace(v, info=json.dumps({k: x for k, x in v.notes.items() if k != "touched"}, sort_keys=True)) for v in by_year]
     while True:
         try:
             tables.publish(spark, config.lake, [*landed_now, *by_year, sums_version, sectors_version], seen)
@@ -210,7 +213,7 @@ def _build(
         except tables.Overtaken as overtaken:
             others = [v for v in overtaken.others if v.name not in (SECTOR_YEARS, SECTOR_MART)]
             touched = tables.Overtaken(others).touched()
-            if years is None or touched is None or touched & set(years):
+            if years is None or resecured or touched is None or touched & set(years):
                 raise
             writer.current = tables.current_versions(spark, config.lake)
             seen = tables.last_commit(writer.current)
@@ -287,15 +290,13 @@ def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) ->
     """Recompute only the years that new files touch, and ``years``.
 
     ``config.csv`` names new price and filing files; they are appended to what was
-    landed before. A changed security touches all its years: use ``run`` for that. Filings are
+    landed before. A securities file replaces the one before; a security whose rows differ touches all years it has prices of. Filings are
     treated as the published table was built ("all" or "latest"); asking for the other mode is an
     error. Recomputed partitions are written aside and audited; new raw loads, partitions and marts
     are then published together. Files that were landed before change nothing. If another refresh published
     other years meanwhile, both stand; if it touched a year of this one, Overtaken is raised, nothing is published, and the
     refresh can be run again.
     """
-    if SECURITIES.name in config.csv:
-        raise ValueError("changed securities need a full run")
     current = tables.current_versions(spark, config.lake)
     enriched, seen = current[ENRICHED], tables.last_commit(current)
     filings = enriched.notes["filings"]
@@ -310,9 +311,25 @@ def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) ->
             )
             raw[contract.name] = version
             stale.update(years_of(spark, contract, version) if version is not None else ())
+    if SECURITIES.name in config.csv:
+        version = prepare(spark, SECURITIES, config.csv[SECURITIES.name], config.lake)
+        raw[SECURITIES.name] = version
+        if version is not None:
+            old, new = (landed(spark, SECURITIES, config.lake, v) for v in (None, version))
+            known = current[YEARLY].read(spark).select("symbol", "year")
+            touched = known.join(changed_symbols(old, new), "symbol", "left_semi").select("year").distinct().collect()
+            stale.update(r.year for r in touched if r.year is not None)  # calendar years
     return _build(spark, config, raw, filings, sorted(stale), seen)
 
 
+def changed_symbols(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Symbols whose rows are not the same in two tables; rows of a symbol are compared as a bag."""
+    cells = [F.col(c) for c in sorted(old.columns)]
+    bag = [F.sum(F.xxhash64(*cells, *[c.isNull() for c in cells]).cast("decimal(38,0)")), F.count(F.lit(1))]
+    sides = [df.groupBy("symbol").agg(F.struct(*bag).alias(name)) for df, name in ((old, "was"), (new, "is"))]
+    return sides[0].join(sides[1], "symbol", "full").filter(~F.col("was").eqNullSafe(F.col("is"))).select("symbol")
+
+
 def quality_history(spark: SparkSession, lake: str) -> DataFrame:
     """Pass rate of every run's tests, per model."""
     return quality.pass_rate(spark.read.parquet(f"{lake}/{QUALITY_LOG}"))
