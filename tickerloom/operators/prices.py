@@ -150,6 +150,17 @@ def rolling_volatility(prices: DataFrame, days: int = 20) -> DataFrame:
     )
 
 
+def daily_risk(prices: DataFrame, days: int) -> DataFrame:
+    """All rows of symbols with their daily return and rolling volatility, other columns unchanged.
+
+    Several closes of a day stand in ascending order, so the result does not depend on how rows were read.
+    """
+    order = Window.partitionBy("symbol").orderBy("date", "close")
+    recent = order.rowsBetween(1 - days, 0)
+    sigma = F.when(F.count("daily_return").over(recent) == days, F.stddev_samp("daily_return").over(recent))
+    return prices.withColumn("daily_return", _return(order)).withColumn("rolling_sigma", sigma)
+
+
 def sharpe_yearly(prices: DataFrame) -> DataFrame:
     """Annualised mean over standard deviation of daily returns, per symbol and year.
 

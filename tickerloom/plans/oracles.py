@@ -465,6 +465,14 @@ ORACLES: dict[str, str] = {
     "roundtrip_enriched": select(STAGING_COLUMNS, "staged"),
     "pruned_year_read": select(STAGING_COLUMNS, f"staged WHERE stock_year = {PRUNED_YEAR}"),
     "incremental_refresh": select(STAGING_COLUMNS, "staged"),
+    "published_risk": statement(
+        f"""SELECT symbol, CAST(date AS VARCHAR) AS date, {rounded('close')}, {rounded('daily_return')},
+               CASE WHEN count(daily_return) OVER w = {ROLLING_DAYS}
+                    THEN round(stddev_samp(daily_return) OVER w + 1e-9, 6) END AS rolling_sigma
+        FROM returns
+        WINDOW w AS (PARTITION BY symbol ORDER BY date
+                     ROWS BETWEEN {ROLLING_DAYS - 1} PRECEDING AND CURRENT ROW)"""
+    ),
     "compact_table": YEARLY,
     "run_pipeline": select(SECTOR_COLUMNS, "sectors"),
     "publish_marts": select(FUNDAMENTALS_MART_COLUMNS, "mart"),

@@ -17,6 +17,7 @@ from tickerloom.operators.marts import fundamentals_vs_return, sector_performanc
 from tickerloom.operators.metrics import staging, stock_metrics
 from tickerloom.operators.prices import prices_yearly, prices_yearly_with_grain
 from tickerloom.operators.reports import report_pack
+from tickerloom.plans import risk
 from tickerloom.sources import tables
 from tickerloom.sources.csv_files import read_cells
 from tickerloom.sources.landing import landed, prepare, years_of
@@ -62,6 +63,7 @@ class Config:
     as_of: str | None = None  # with max_age_days: warn of sources older than that
     max_age_days: int | None = None
     ordered_by_date: bool = False  # CSV files are in the order of their dates: land without a shuffle
+    risk_days: int | None = None  # also bring daily returns and rolling volatility up to date, by this window
     run: str = field(default_factory=lambda: f"{time.time_ns():020d}")
 
 
@@ -264,7 +266,14 @@ def run(spark: SparkSession, config: Config) -> str:
         c.name: prepare(spark, c, config.csv[c.name], config.lake, ordered_by_date=config.ordered_by_date)
         for c in CONTRACTS
     }
-    return _build(spark, config, raw, config.filings or "all", None, seen)
+    return _with_risk(spark, config, _build(spark, config, raw, config.filings or "all", None, seen))
+
+
+def _with_risk(spark: SparkSession, config: Config, run_id: str) -> str:
+    """The risk model follows in a commit of its own: it needs prices only, and a crash before it is made up by the next update."""
+    if config.risk_days:
+        risk.update(spark, config.lake, config.risk_days)
+    return run_id
 
 
 def of_years(df: DataFrame, contract, years: list[int]) -> DataFrame:
@@ -319,7 +328,7 @@ def refresh(spark: SparkSession, config: Config, years: tuple[int, ...] = ()) ->
             known = current[YEARLY].read(spark).select("symbol", "year")
             touched = known.join(changed_symbols(old, new), "symbol", "left_semi").select("year").distinct().collect()
             stale.update(r.year for r in touched if r.year is not None)  # calendar years
-    return _build(spark, config, raw, filings, sorted(stale), seen)
+    return _with_risk(spark, config, _build(spark, config, raw, filings, sorted(stale), seen))
 
 
 def changed_symbols(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.contracts import CONTRACTS, FUNDAMENTALS, PRICES, SECURITIES
 from tickerloom.operators import analysis, enrich, marts, metrics, prices, quality, reports
-from tickerloom.plans import pipeline
+from tickerloom.plans import pipeline, risk
 from tickerloom.session import work_dir
 from tickerloom.sources import csv_files, landing, tables
 from tickerloom.sources.fixtures import MarketFixture
@@ -316,6 +316,17 @@ def incremental_refresh(m: Market) -> DataFrame:
     return rows.withColumn("symbol", F.col("symbol").cast("long"))
 
 
+@query
+def published_risk(m: Market) -> DataFrame:
+    """The published returns and volatilities of a lake whose prices of one year arrive later, by an update."""
+    lake, late = work_dir(m.spark, "lake"), F.year("date") == REFRESHED_YEAR
+    for part in (~late, late):
+        landing.land(m.spark, PRICES, m.write_csv(PRICES, m.prices.filter(part)), lake, append=True)
+        risk.update(m.spark, lake, ROLLING_DAYS)
+    rows = tables.read_current(m.spark, lake, risk.MODEL).drop(risk.YEAR)
+    return rows.withColumn("symbol", F.col("symbol").cast("long"))
+
+
 @query
 def compact_table(m: Market) -> DataFrame:
     """The yearly prices, written as many small files and rewritten as few."""

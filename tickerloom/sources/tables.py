@@ -125,6 +125,9 @@ class Version:
         info = self.notes | {"moved": {"by": by, "folders": folders}, "touched": values}
         return replace(self, number=self.number + 1, run=run, info=json.dumps(info, sort_keys=True))
 
+    def with_notes(self, **notes) -> Version:
+        return replace(self, info=json.dumps(self.notes | notes, sort_keys=True))
+
 
 def _create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file whole, unless one of that name is there: written aside, then renamed.
