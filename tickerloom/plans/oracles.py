@@ -473,6 +473,15 @@ ORACLES: dict[str, str] = {
         WINDOW w AS (PARTITION BY symbol ORDER BY date
                      ROWS BETWEEN {ROLLING_DAYS - 1} PRECEDING AND CURRENT ROW)"""
     ),
+    "kept_lake": statement(
+        f"""SELECT r.symbol, CAST(r.date AS VARCHAR) AS date, {rounded('p.close', 'close')}, {rounded('p.high', 'high')},
+               {rounded('p.low', 'low')},
+               CASE WHEN count(daily_return) OVER w = {ROLLING_DAYS}
+                    THEN round(stddev_samp(daily_return) OVER w + 1e-9, 6) END AS rolling_sigma
+        FROM returns AS r JOIN prices AS p ON p.symbol = r.symbol AND p.date = r.date
+        WINDOW w AS (PARTITION BY r.symbol ORDER BY r.date
+                     ROWS BETWEEN {ROLLING_DAYS - 1} PRECEDING AND CURRENT ROW)"""
+    ),
     "compact_table": YEARLY,
     "run_pipeline": select(SECTOR_COLUMNS, "sectors"),
     "publish_marts": select(FUNDAMENTALS_MART_COLUMNS, "mart"),

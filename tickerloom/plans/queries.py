@@ -7,6 +7,7 @@ and dates are shown as ISO text.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
@@ -17,7 +18,7 @@ from tickerloom.contracts import CONTRACTS, FUNDAMENTALS, PRICES, SECURITIES
 from tickerloom.operators import analysis, enrich, marts, metrics, prices, quality, reports
 from tickerloom.plans import pipeline, risk
 from tickerloom.session import work_dir
-from tickerloom.sources import csv_files, landing, tables
+from tickerloom.sources import csv_files, landing, tables, upkeep
 from tickerloom.sources.fixtures import MarketFixture
 from tickerloom.streaming import bars, feed
 
@@ -336,6 +337,23 @@ def compact_table(m: Market) -> DataFrame:
     return m.spark.read.parquet(compacted)
 
 
+@query
+def kept_lake(m: Market) -> DataFrame:
+    """Prices and their risk after the loads of seven years were merged by need and all that nobody names was removed."""
+    lake, year = work_dir(m.spark, "lake"), F.year("date")
+    for n in range(7):
+        path = m.write_csv(PRICES, m.prices.filter(F.pmod(year, F.lit(7)) == n))
+        landing.land(m.spark, PRICES, path, lake, append=True)
+        if n in (4, 6):
+            risk.update(m.spark, lake, ROLLING_DAYS)
+    upkeep.compact_loads(m.spark, PRICES, lake)
+    upkeep.compact_partitions(m.spark, lake, risk.MODEL, risk.YEAR, ("symbol", "date"))
+    upkeep.sweep(m.spark, lake, 1, dt.timedelta(0))
+    landed = landing.landed(m.spark, PRICES, lake).select("symbol", "date", "close", "high", "low")
+    risks = tables.read_current(m.spark, lake, risk.MODEL).select("symbol", "date", "rolling_sigma")
+    return landed.join(risks, ["symbol", "date"]).withColumn("symbol", F.col("symbol").cast("long"))
+
+
 def _run(m: Market) -> str:
     lake = work_dir(m.spark, "lake")
     pipeline.run(m.spark, pipeline.Config(m.csv_sources(), lake))

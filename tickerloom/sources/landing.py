@@ -76,7 +76,8 @@ def prepare(
     schema = StructType(rows.schema.fields).add("load", "string")
     version = tables.next_version(lake, name, schema, current, "")
     if append:
-        version = replace(version, path=current[name].path, info=current[name].info)
+        notes = {k: v for k, v in current[name].notes.items() if k != "replaced"}
+        version = replace(version, path=current[name].path, info=json.dumps(notes, sort_keys=True))
 
     def write(df: DataFrame, balance: bool) -> tuple[str, DataFrame, DataFrame]:
         """Rows in a load of their own, and the digests of its files."""
@@ -168,11 +169,23 @@ def _is_landed(spark: SparkSession, lake: str, version: tables.Version, content:
     return found > 0 and (append or others == 0 and found == 1)
 
 
-def _loaded(spark: SparkSession, lake: str, version: tables.Version) -> DataFrame:
-    """Rows of the version's published loads, and of its own load before that is published."""
+def replaced() -> Column:
+    """Loads that a publication merged into its own."""
+    return F.from_json(F.get_json_object("info", "$.replaced"), "array<string>")
+
+
+def live_loads(spark: SparkSession, lake: str, version: tables.Version) -> DataFrame:
+    """The version's published loads, and its own before that is published, without those merged into others."""
     loads = _published(spark, lake, version).filter(F.col("path") == version.path).select("load")
     own = spark.range(1).select(F.lit(version.run.split(".")[1]).alias("load"))
-    return version.read(spark).join(loads.union(own), "load", "left_semi")
+    log = tables.publications(spark, lake).filter(F.col("path") == version.path)
+    merged = log.select(F.explode(replaced()).alias("load"), F.lit(True).alias("gone"))
+    marked = loads.union(own).withColumn("gone", F.lit(False)).union(merged)
+    return marked.groupBy("load").agg(F.max("gone").alias("gone")).filter("NOT gone").select("load")
+
+
+def _loaded(spark: SparkSession, lake: str, version: tables.Version) -> DataFrame:
+    return version.read(spark).join(live_loads(spark, lake, version), "load", "left_semi")
 
 
 def _with_status(spark: SparkSession, contract: Contract, lake: str, status: str, version) -> DataFrame:
