@@ -193,16 +193,22 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS) -> DataFrame:
     """One row of each component, with its columns as they were: the one with the smallest id.
 
-    Rows equal in id and text are copies of one document; one of them stays.
+    Rows equal in id and text are copies of one document; the one whose columns have the smallest hash stays, whatever the
+    order in which rows are read. What is dropped is found on keys alone and written; texts are then read
+    once more and, while the list of dropped keys is below ``spark.sql.autoBroadcastJoinThreshold``, not shuffled.
     """
-    keepers = classified(docs, id_col, text_col, shingle, radius).select(
-        F.col("keeper._id").alias("_id"), F.col("keeper._hash").alias("_hash")
-    ).distinct()
+    key = ["_id", "_hash"]
+    kept = (F.col("_id") == F.col("keeper._id")) & (F.col("_hash") == F.col("keeper._hash"))
+    rows = classified(docs, id_col, text_col, shingle, radius).select(*key, kept.alias("kept"))
+    marks = rows.groupBy(*key).agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("NOT kept OR n > 1")
+    marks = kept_table(marks.select(*key, "kept"), "simhash-marks")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return (
-        docs.select(F.struct(*names).alias("_row"), *row_key(id_col, text_col))
-        .join(keepers, ["_id", "_hash"], "left_semi")
-        .groupBy("_id", "_hash")
-        .agg(F.first("_row").alias("_row"))
-        .select("_row.*")
-    )
+    whole = docs.select(F.struct(*names).alias("_row"), *row_key(id_col, text_col))
+    found = whole.join(marks, key, "left_anti").select("_row.*")
+    copies = marks.where("kept")
+    if copies.isEmpty():
+        return found
+    comparable = [F.col(f"_row.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = F.struct(F.xxhash64(*comparable), F.xxhash64(F.lit(1), *comparable, *[c.isNull() for c in comparable]))
+    one = whole.join(copies, key, "left_semi").groupBy(*key).agg(F.min_by("_row", order).alias("_row"))
+    return found.unionByName(one.select("_row.*"))
