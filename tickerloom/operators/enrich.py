@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerloom.contracts import ENRICHED_COLUMNS
-from tickerloom.sources.tables import stored
+
+
+def with_year(fundamentals: DataFrame) -> DataFrame:
+    """Filings with their fiscal year, which tables that are bucketed by it have already."""
+    if "year" in fundamentals.columns:
+        return fundamentals
+    return fundamentals.withColumn("year", F.year("period_ending"))
 
 
 def latest_filings(fundamentals: DataFrame, tie_breakers: tuple[str, ...] = ()) -> DataFrame:
@@ -21,22 +27,21 @@ def latest_filings(fundamentals: DataFrame, tie_breakers: tuple[str, ...] = ())
         F.col("period_ending").desc(), *[F.col(c).desc_nulls_last() for c in ties]
     )
     return (
-        fundamentals.withColumn("year", F.year("period_ending"))
+        with_year(fundamentals)
         .withColumn("_rank", F.row_number().over(newest_first))
         .filter(F.col("_rank") == 1)
-        .drop("_rank", "year")
+        .select(*fundamentals.columns)
     )
 
 
 def join_prices_fundamentals(yearly: DataFrame, fundamentals: DataFrame) -> DataFrame:
     """Inner join on symbol and fiscal year; several filings in a year give several rows.
 
-    The roll-up is small (a row per symbol-year) and is written first. Both inputs of a shuffled join then come
-    straight from a scan, which is what lets AQE split a symbol-year that holds a large share of the filings.
+    ``yearly`` should be a written roll-up, as runs and queries pass it: small (a row per symbol-year), and both
+    inputs of a shuffled join then come straight from a scan, which is what lets AQE split a symbol-year that holds a
+    large share of the filings. Right above its aggregate the join would reuse that one's shuffle, which AQE leaves whole.
     """
-    keys = ["symbol", "year"]
-    filings = fundamentals.withColumn("year", F.year("period_ending"))
-    return filings.join(stored(yearly, "yearly"), keys, "inner")
+    return with_year(fundamentals).join(yearly, ["symbol", "year"], "inner")
 
 
 def stocks_enriched(

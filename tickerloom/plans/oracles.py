@@ -482,6 +482,8 @@ ORACLES: dict[str, str] = {
         WINDOW w AS (PARTITION BY r.symbol ORDER BY r.date
                      ROWS BETWEEN {ROLLING_DAYS - 1} PRECEDING AND CURRENT ROW)"""
     ),
+    "colocated_enriched": select(ENRICHED_COLUMNS, "enriched"),
+    "colocated_returns": select(["symbol", "date", "close", "daily_return"], "returns"),
     "compact_table": YEARLY,
     "run_pipeline": select(SECTOR_COLUMNS, "sectors"),
     "publish_marts": select(FUNDAMENTALS_MART_COLUMNS, "mart"),

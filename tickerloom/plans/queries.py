@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.contracts import CONTRACTS, FUNDAMENTALS, PRICES, SECURITIES
 from tickerloom.operators import analysis, enrich, marts, metrics, prices, quality, reports
-from tickerloom.plans import pipeline, risk
+from tickerloom.plans import colocation, pipeline, risk
 from tickerloom.session import work_dir
 from tickerloom.sources import csv_files, landing, tables, upkeep
 from tickerloom.sources.fixtures import MarketFixture
@@ -54,9 +54,14 @@ class Market(MarketFixture):
     def yearly(self) -> DataFrame:
         return prices.prices_yearly(self.prices)
 
+    @property
+    def stored_yearly(self) -> DataFrame:
+        """The roll-up written first, as a run does before it joins."""
+        return tables.stored(self.yearly, "yearly")
+
     @property
     def enriched(self) -> DataFrame:
-        return enrich.stocks_enriched(self.yearly, self.fundamentals, self.securities)
+        return enrich.stocks_enriched(self.stored_yearly, self.fundamentals, self.securities)
 
     @property
     def staged(self) -> DataFrame:
@@ -172,7 +177,7 @@ def sql_prices_yearly(m: Market) -> DataFrame:
 
 _register(
     "join_prices_fundamentals",
-    lambda m: enrich.join_prices_fundamentals(m.yearly, m.fundamentals).drop("filing_id"),
+    lambda m: enrich.join_prices_fundamentals(m.stored_yearly, m.fundamentals).drop("filing_id"),
 )
 _register("stocks_enriched", lambda m: m.enriched)
 _register("stg_stocks_enriched", lambda m: m.staged)
@@ -185,7 +190,7 @@ _register("fundamentals_latest_per_year", lambda m: m.latest)
 
 @query
 def mart_sector_performance_dedup(m: Market) -> DataFrame:
-    latest_only = enrich.stocks_enriched(m.yearly, m.latest, m.securities)
+    latest_only = enrich.stocks_enriched(m.stored_yearly, m.latest, m.securities)
     return marts.sector_performance(metrics.stock_metrics(metrics.staging(latest_only)))
 
 
@@ -232,7 +237,7 @@ _register("dq_ranges", lambda m: quality.ranges(m.metrics))
 _register("dq_price_grain", lambda m: quality.duplicate_keys(m.price_rows, ["symbol", "date"]))
 _register(
     "dq_orphans",
-    lambda m: quality.orphans(tables.stored(m.yearly, "yearly"), m.fundamentals, m.securities),
+    lambda m: quality.orphans(m.stored_yearly, m.fundamentals, m.securities),
 )
 
 
@@ -281,7 +286,7 @@ _register(
 )
 _register(
     "outlier_returns",
-    lambda m: analysis.outlier_returns(tables.stored(m.yearly, "yearly"), LOW_PRICE),
+    lambda m: analysis.outlier_returns(m.stored_yearly, LOW_PRICE),
 )
 
 
@@ -354,6 +359,30 @@ def kept_lake(m: Market) -> DataFrame:
     return landed.join(risks, ["symbol", "date"]).withColumn("symbol", F.col("symbol").cast("long"))
 
 
+def _colocated(m: Market) -> colocation.Colocated:
+    lake, sources = work_dir(m.spark, "lake"), m.csv_sources()
+    for contract in (PRICES, FUNDAMENTALS):
+        landing.land(m.spark, contract, sources[contract.name], lake)
+    colocation.colocate(m.spark, lake)
+    return colocation.read(m.spark, lake)
+
+
+@query
+def colocated_enriched(m: Market) -> DataFrame:
+    """The enriched table from a roll-up and filings that lie together by symbol."""
+    built = _colocated(m)
+    securities = m.securities.withColumn("symbol", F.col("symbol").cast("string"))
+    rows = enrich.stocks_enriched(built.yearly, built.fundamentals, securities)
+    return rows.withColumn("symbol", F.col("symbol").cast("long"))
+
+
+@query
+def colocated_returns(m: Market) -> DataFrame:
+    """Daily returns over prices that lie together by symbol."""
+    rows = prices.daily_returns(_colocated(m).prices)
+    return rows.withColumn("symbol", F.col("symbol").cast("long"))
+
+
 def _run(m: Market) -> str:
     lake = work_dir(m.spark, "lake")
     pipeline.run(m.spark, pipeline.Config(m.csv_sources(), lake))
