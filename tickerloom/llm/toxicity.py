@@ -2,20 +2,23 @@
 
 P(grade <= k) = logistic(threshold_k - w.x): all thresholds share the weights of the sparse text
 features, distinct words and their first four and five letters. The expected severity is the
-sum over grades k >= 1 of P(grade >= k). Labels only say toxic or not; toxic texts with
-more telling features than their median are the higher of two grades.
+sum over grades k >= 1 of P(grade >= k). Labels only say toxic or not. A toxic text gets the higher of two
+grades if a regression fitted to the other half of the sample, which has not seen it, scores it above the median of the toxic
+texts of its half.
 
-The model is fitted on a bounded sample of labelled documents (SAMPLE of each class) and at most
-FEATURES features, chosen by how much their share differs between the classes. Every document is judged
-by its whole text.
+The model is fitted on a bounded sample of labelled documents (SAMPLE of each class) and on all features that
+LEAST_TEXTS of them have. None is left out for telling little: the ridge on a weight grows as the feature's contrast between
+the classes, in standard errors, falls below the largest that so many features reach by chance, sqrt(2 ln n).
+Every document is judged by its whole text.
 
 Edge cases: a null or empty text has no feature and is judged by the thresholds alone; a null label or id
-is not learned from; without labels of both classes nothing is rejected; equal rows get equal results; an empty
-table gives an empty result; other columns pass unchanged.
+is not learned from; of rows that share an id the least text is learned from; without labels of both classes nothing is rejected;
+equal rows get equal results; an empty table gives an empty result; other columns pass unchanged.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,10 +31,9 @@ from pyspark.sql import functions as F
 from tickerloom.llm.text import bounded_batches, kept_table
 
 SAMPLE = 3000  # labelled documents of each class
-FEATURES = 4000
 LEAST_TEXTS = 3  # labelled documents that a feature must occur in
-LEAST_CONTRAST = 4.5  # standard errors between a feature's shares in the two classes
-ALWAYS = 20  # the most telling features are taken whatever their contrast
+RIDGE = 3e-4  # on the weights of features that tell more than chance
+HALF_STEPS = 100  # of the fits to halves, which only part the toxic texts
 PREFIXES = (4, 5)
 LIMIT = 0.4  # expected severity from which a document is toxic
 WORD = re.compile(r"[^\W\d_]+")
@@ -62,16 +64,44 @@ class Model:
                 held = self.known[w] = tuple(n for n in names if n in self.weights)
             if held:
                 got.update(held)
-        return sum(self.weights[f] for f in sorted(got))
+        return math.fsum(map(self.weights.__getitem__, got))
 
     def at_least(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k), a column per k >= 1."""
         return 1 / (1 + np.exp(np.clip(np.array(self.thresholds)[None, :] - scores[:, None], -50, 50)))
 
 
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n: int, steps=300, rate=0.1, ridge=1e-3):
-    """Weights and ordered thresholds by gradient steps (Adam) on the mean log-likelihood."""
+def prior_scale(rows: list[np.ndarray], toxic: np.ndarray, n: int) -> np.ndarray:
+    """How freely each weight may move: 1 where the classes differ by more than chance, falling with the contrast's square below."""
+    n1, n0 = toxic.sum(), (1 - toxic).sum()
+    column, each = np.concatenate(rows), np.repeat(toxic, [len(r) for r in rows])
+    c1, c = np.bincount(column, each, n), np.bincount(column, minlength=n)
+    p = c / (n1 + n0)
+    contrast = np.abs(c1 / n1 - (c - c1) / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+    return np.minimum(1, contrast / np.sqrt(2 * np.log(max(n, 2)))) ** 2
+
+
+def severity_grades(rows: list[np.ndarray], toxic: np.ndarray, half: np.ndarray, n: int) -> np.ndarray:
+    """0 for clean texts, 1 or 2 for toxic ones, by scores of a regression that was fitted to the other half."""
+    grades = toxic.copy()
+    for k in (0, 1):
+        own, other = np.flatnonzero(half == k), np.flatnonzero(half != k)
+        if len(set(toxic[other])) < 2 or not toxic[own].any():
+            return toxic
+        learned = [rows[i] for i in other]
+        weights, _ = fit_ordinal(learned, toxic[other], n, HALF_STEPS, scale=prior_scale(learned, toxic[other], n))
+        marks = np.array([weights[rows[i]].sum() for i in own])
+        grades[own[(toxic[own] == 1) & (marks > np.median(marks[toxic[own] == 1]))]] = 2
+    return grades
+
+
+def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n: int, steps=300, rate=0.1, ridge=RIDGE, scale=None):
+    """Weights and ordered thresholds by gradient steps (Adam) on the mean log-likelihood.
+
+    A weight is its ``scale`` (one unless given) times a parameter, so small scales hold weights to zero.
+    """
     k = int(grades.max())
+    scale = np.ones(n) if scale is None else scale
     lengths = np.array([len(r) for r in rows])
     column = np.concatenate(rows) if lengths.sum() else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(rows)), lengths)
@@ -81,7 +111,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n: int, steps=300, r
     m, v = np.zeros_like(p), np.zeros_like(p)
     logistic = lambda x: 1 / (1 + np.exp(-np.clip(x, -50, 50)))
     for t in range(1, steps + 1):
-        w, theta = p[:n], p[n] + np.concatenate([[0], np.cumsum(np.exp(p[n + 1 :]))])
+        w, theta = scale * p[:n], p[n] + np.concatenate([[0], np.cumsum(np.exp(p[n + 1 :]))])
         score = np.bincount(row, w[column], len(rows))
         cdf = np.zeros((len(rows), k + 2))
         cdf[:, 1:-1] = logistic(theta[None, :] - score[:, None])
@@ -94,13 +124,13 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n: int, steps=300, r
         np.add.at(g_theta, np.minimum(grades, k - 1), np.where(grades < k, -up, 0))
         np.add.at(g_theta, np.maximum(grades - 1, 0), np.where(grades > 0, down, 0))
         g = np.empty_like(p)
-        g[:n] = np.bincount(column, (up - down)[row], n) / len(rows) + ridge * w
+        g[:n] = scale * np.bincount(column, (up - down)[row], n) / len(rows) + ridge * p[:n]
         tail = np.cumsum(g_theta[::-1])[::-1] / len(rows)  # each step up moves all later thresholds
         g[n] = tail[0]
         g[n + 1 :] = tail[1:] * np.exp(p[n + 1 :])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return p[:n], p[n] + np.concatenate([[0], np.cumsum(np.exp(p[n + 1 :]))])
+    return scale * p[:n], p[n] + np.concatenate([[0], np.cumsum(np.exp(p[n + 1 :]))])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", sample=SAMPLE) -> Model | None:
@@ -114,48 +144,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", sa
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([sorted(features(t)) for t in texts], pa.list_(pa.string()))],
-                ["toxic", "features"],
+                [batch.column(0), batch.column(1), pa.array([sorted(features(t)) for t in texts], pa.list_(pa.string()))],
+                ["half", "toxic", "features"],
             )
 
     texts = (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
-        .select(F.col("toxic").cast("int"), "text")
+        .groupBy("doc_id")
+        .agg(F.first("toxic").cast("int").alias("toxic"), F.min("text").alias("text"))
+        .select(F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int").alias("half"), "toxic", "text")
     )
-    rows = kept_table(texts.mapInArrow(run, "toxic int, features array<string>"), "toxic-sample")
-    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1 or not n0:
+    rows = kept_table(texts.mapInArrow(run, "half int, toxic int, features array<string>"), "toxic-sample")
+    if len(rows.select("toxic").distinct().collect()) < 2:
         return None
-    p = (F.col("n1") + F.col("n0")) / (n1 + n0)
-    contrast = F.abs(F.col("n1") / n1 - F.col("n0") / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-    vocabulary = (
-        rows.select("toxic", F.explode("features").alias("f"))
-        .groupBy("f")
-        .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
-        .where(F.col("n1") + F.col("n0") >= LEAST_TEXTS)
-        .withColumn("contrast", contrast)
-        .orderBy(F.desc("contrast"), "f")
-        .limit(FEATURES)
-        .collect()
-    )
-    vocabulary = [r for i, r in enumerate(vocabulary) if i < ALWAYS or r.contrast >= LEAST_CONTRAST]
-    names = [r.f for r in vocabulary]
-    telling = {i for i, r in enumerate(vocabulary) if (r.n1 + 0.5) / n1 > 5 * (r.n0 + 0.5) / n0}
-    held = F.array_intersect("features", F.split(F.lit(" ".join(names)), " "))
+    vocabulary = rows.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"))
+    names = sorted(r.f for r in vocabulary.where(F.col("n") >= LEAST_TEXTS).select("f").collect())
     place = {f: i for i, f in enumerate(names)}
-    found = rows.select("toxic", held.alias("held")).collect()  # 2 * sample rows of at most FEATURES names
-    found = sorted((r.toxic, sorted(place[f] for f in r.held)) for r in found)
-    marks = np.array([sum(i in telling for i in x) for _, x in found])
-    toxic = np.array([t for t, _ in found])
-    high = np.median(marks[toxic == 1])
-    grades = np.where(toxic == 0, 0, np.where(marks > high, 2, 1))
-    if grades.max() < 2:
-        grades = toxic
-    weights, thresholds = fit_ordinal([np.array(x, np.int64) for _, x in found], grades, len(names))
+
+    def placed(batches):
+        for batch in batches:
+            held = [[place[f] for f in found if f in place] for found in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(held, pa.list_(pa.int32()))], ["half", "toxic", "held"]
+            )
+
+    found = rows.mapInArrow(placed, "half int, toxic int, held array<int>").collect()  # 2 * sample rows
+    found = sorted((r.toxic, r.half, r.held) for r in found)
+    toxic, half = (np.array([x[k] for x in found]) for k in (0, 1))
+    held = [np.array(x, np.int64) for _, _, x in found]
+    grades = severity_grades(held, toxic, half, len(names))
+    weights, thresholds = fit_ordinal(held, grades, len(names), scale=prior_scale(held, toxic, len(names)))
     return Model({f: float(w) for f, w in zip(names, weights) if w}, tuple(map(float, thresholds)))
 
 
