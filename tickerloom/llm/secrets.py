@@ -1,13 +1,12 @@
 """Secret scans: three base patterns, and a linear-chain conditional random field beside them.
 
 Words are tagged as the begin of a secret, inside one, or outside, from their shape, the words
-around them and features of the text, decoded by Viterbi. Any word can be tagged: a chain holds the words of a line around
-one of unusual shape (six or more characters with a digit) or after a cue such as ``pwd:``, ordinary words included. Words far
-from both are outside.
+around them and features of the text, decoded by Viterbi. A chain is a line with all of its words; every word of every
+line is scored and decoded, the lines of a part of a batch side by side.
 
-The field is trained here, on chains tagged by the values that the base patterns name; the patterns themselves are
-not among its features. All documents are searched for base matches; a bounded number of the chains with one and of
-those without is drawn from them all. Every document is scanned whole, in time that grows with its length.
+The field is trained here, on pieces of chains tagged by the values that the base patterns name; the patterns themselves are
+not among its features. All documents are searched for base matches; a bounded number of the pieces with one, of those
+with an odd word or a cue only, and of all others is drawn from all pieces of all documents.
 
 Edge cases: a null text is empty; without a base match in any document nothing is added to
 the base spans; spans that overlap a base span are not added; equal rows get equal results; an empty table gives
@@ -22,6 +21,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +42,17 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 APART = r"\s\"'`,;:=()<>{}\[\]"  # characters between words
 WORD = re.compile(rf"[^{APART}]+")
-ODD = re.compile(rf"(?<![^{APART}])(?=[^{APART}]*[0-9])[^{APART}]{{6,}}")
-CUES = ("pass", "password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "key", "api_key", "apikey", "credential", "credentials", "auth", "bearer", "login")
-CUE = re.compile(rf"(?<![^\W_])(?:{'|'.join(sorted(CUES, key=len, reverse=True))})[\"']?[ \t]*(?:[:=]|is[ \t])[ \t]*[\"']?(?=[^{APART}])", re.I)
-NEAR = 3  # words of the line before and after
-AROUND = 64  # characters in which they are looked for
-LONGEST = 64  # words of a chain that is learnt from; longer ones are cut there
-RUNS = 4000  # of each kind: with and without a secret
+PARTS = re.compile(rf"([^{APART}]+)")
+GAP = re.compile(rf"[{APART}]*\Z")
+CUES = frozenset(("pass", "password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "key", "api_key", "apikey", "credential", "credentials", "auth", "bearer", "login"))
+NEAR = 3  # words back in which a cue counts
+LONGEST = 8  # words of a piece that is learnt from; longer chains are cut there
+RUNS = 4000  # pieces of each kind: with a secret, with an odd word or a cue; half as many others
+KNOWN = 1 << 18  # words whose scores a task keeps
+CHARACTERS = 1 << 20  # of texts whose words are scored at once
 OUT, BEGIN, INSIDE = 0, 1, 2
 TAGS = 3
+QUOTES = (chr(34), chr(39))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -80,84 +82,132 @@ def values(text: str, without: int | None = None) -> list[tuple[int, int]]:
     return out
 
 
-def _beside(text: str, a: int, b: int) -> tuple[int, int]:
-    """The part of the line in which the words near text[a:b] are looked for; no word is cut by its ends."""
-    low = max(text.rfind("\n", max(0, a - AROUND), a) + 1, a - AROUND, 0)
-    high = text.find("\n", b, b + AROUND)
-    high = min(len(text), b + AROUND) if high < 0 else high
-    if low > 0 and WORD.match(text[low - 1]):
-        cut = WORD.match(text, low, a)
-        low = cut.end() if cut else low
-    if high < len(text) and WORD.match(text[high]):
-        while high > b and WORD.match(text[high - 1]):
-            high -= 1
-    return low, high
-
-
 def runs(text: str) -> list[list[tuple[int, int]]]:
-    """Chains: the words beside odd words and cues' values; chains that meet are one."""
-    anchors = [m.span() for m in ODD.finditer(text)]
-    anchors += [WORD.match(text, m.end()).span() for m in CUE.finditer(text)]
-    out: list[list[tuple[int, int]]] = []
-    for a, b in sorted(set(anchors)):
-        low, high = _beside(text, a, b)
-        words = [m.span() for m in WORD.finditer(text, low, a)][-NEAR:] + [(a, b)]
-        words += [m.span() for m in WORD.finditer(text, b, high)][:NEAR]
-        last = out[-1][-1][1] if out else -1
-        if out and words[0][0] <= last:
-            out[-1] += [w for w in words if w[0] >= last]
-        elif out and "\n" not in text[last : words[0][0]] and not WORD.search(text, last, words[0][0]):
-            out[-1] += words
-        else:
+    """Chains: the words of each line that has any."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        words = [(at + m.start(), at + m.end()) for m in WORD.finditer(line)]
+        if words:
             out.append(words)
+        at += len(line) + 1
     return out
 
 
+CLASSES = [re.compile(c) for c in ("[a-z]", "[A-Z]", "[0-9]", "[+/_=-]", r"\.", r"[!#$%&*?@^|~\\]", r"[^\x00-\x7f]")]
+SHAPES = {ord(c): k for letters, k in (("abcdef", "x"), ("ghijklmnopqrstuvwxyz", "l"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "U"), ("0123456789", "9")) for c in letters}
+REPEATED, MIXED = re.compile(r"([xlU9])\1+"), re.compile(r"(x9|9x)+")
+HEXLIKE, CAPITAL, NUMBER = (re.compile(c) for c in ("[0-9a-f]+", "[A-Z0-9]+", "[0-9.+/=-]+"))
+
+
 def _shape(word: str) -> str:
     """Classes of characters in order, runs of one class written once."""
-    s = re.sub(r"[a-f]+", "x", re.sub(r"[g-z]+", "l", re.sub(r"[A-Z]+", "U", re.sub(r"[0-9]+", "9", word))))
-    return re.sub(r"(x9|9x)+", "h", s)[:6]
+    s = REPEATED.sub(r"\1", word.translate(SHAPES))
+    return (MIXED.sub("h", s) if "9" in s else s)[:6]
+
+
+@lru_cache(1 << 14)
+def _entropy(counts: tuple[int, ...]) -> float:
+    n = sum(counts)
+    return -sum(c / n * math.log2(c / n) for c in counts)
+
+
+def _name(word: str) -> str:
+    return word.lower() if len(word) <= 24 else ""
+
+
+def _is_cue(word: str) -> bool:
+    return len(word) <= 24 and word.lower().strip("_-") in CUES
+
+
+def _is_odd(name: str) -> bool:
+    return not name.isalpha() and any(c.isdigit() for c in name)
+
+
+def _kind(word: str) -> tuple:
+    """What the features of a word alone are made of."""
+    head = word[:64]  # what a longer one goes on with tells no more
+    entropy = int(_entropy(tuple(sorted(map(head.count, set(head))))) * 2)
+    shape, letters = _shape(head), head.isalpha()
+    if letters and head.isascii():
+        upper, lower = head.isupper(), head.islower()
+        classes = (not upper, not lower, False, False, False, False, False)
+        return len(word), shape, classes, 0.0, entropy, lower and not head.strip("abcdef"), upper, False, True, False
+    classes = tuple([c.search(head) is not None for c in CLASSES])
+    digits = sum(c.isdigit() for c in head) / len(head)
+    full = [c.fullmatch(head) is not None for c in (HEXLIKE, CAPITAL, NUMBER)]
+    return len(word), shape, classes, digits, entropy, *full, letters, "@" in head
+
+
+def _features_of(kind: tuple) -> list[str]:
+    n, shape, classes, digits, entropy, hexlike, capital, number, letters, mail = kind
+    return [
+        "bias",
+        f"length={min(n // 4, 12)}",
+        f"shape={shape}",
+        f"classes={classes}",
+        f"kinds={sum(classes)}",
+        f"digits={int(digits * 5)}",
+        f"entropy={entropy}",
+        f"hexlike={hexlike}",
+        f"capital={capital}",
+        f"number={number}",
+        f"letters={letters}",
+        f"long={n >= 16},{digits > 0}",
+        f"mail={mail}",
+    ]
+
+
+def word_features(word: str) -> list[str]:
+    """Features of a word alone."""
+    return _features_of(_kind(word))
+
+
+def _wide(word: str) -> tuple[bool, bool]:
+    """Whether a word has a digit, and eight characters: after a cue both tell more."""
+    return not word.isalpha() and CLASSES[2].search(word, 0, 64) is not None, len(word) >= 8
+
 
+AFTER = ("", "word", "odd")  # what follows a word in its line
 
-def _entropy(word: str) -> float:
-    n = len(word)
-    return -sum(c / n * math.log2(c / n) for c in Counter(word).values())
 
+def context_features(after: int, cue: int, wide: tuple[bool, bool], quoted: bool, assigned: bool, lines: int) -> list[str]:
+    return [
+        f"after={AFTER[after]}",
+        f"cue={cue}",
+        f"cue={cue > 0},{wide[0]},{wide[1]}",
+        f"quoted={quoted}",
+        f"assigned={assigned}",
+        f"lines={lines}",
+    ]
 
-def run_features(text: str, run: list[tuple[int, int]], lines: int | None = None) -> list[list[str]]:
-    """Features of each word of a chain: shape, neighbours, text. ``lines`` of the text, counted if not given."""
+
+def _mark(gap: str, before: str) -> str:
+    """The last visible character of the eight before a word: of the gap, or of the word before it."""
+    seen = gap[-8:].strip()[-1:] or (before[-1:] if len(gap) < 8 else "")
+    return "a" if seen.isalnum() else seen
+
+
+def _assigned(gap: str) -> bool:
+    return bool(re.search("[:=] *.?$", gap[-8:]))
+
+
+def run_features(text: str, run: list[tuple[int, int]], lines: int | None = None, part: slice = slice(None)) -> list[list[str]]:
+    """Features of the words of a chain (``part``: of some of them): shape, neighbours, text. ``lines`` of the text, counted if not given."""
     lines = text.count("\n") if lines is None else lines
-    names = [text[a:b].lower() if b - a <= 24 else "" for a, b in run]
     out = []
-    for i, (a, b) in enumerate(run):
-        word, left, right = text[a:b], text[max(0, a - 8) : a], text[b : b + 8]
-        head = word[:64]  # what a longer one goes on with tells no more
-        classes = [bool(re.search(c, head)) for c in ("[a-z]", "[A-Z]", "[0-9]", "[+/_=-]", r"\.", r"[!#$%&*?@^|~\\]", r"[^\x00-\x7f]")]
-        digits = sum(c.isdigit() for c in head) / len(head)
-        cue = [k for k in (1, 2, 3) if i >= k and names[i - k].strip("_-") in CUES]
+    for i in range(len(run))[part]:
+        a, b = run[i]
+        left, right = text[max(0, a - 8) : a], text[b : b + 1]
+        gap = GAP.search(left)[0]
+        cue = next((k for k in range(1, NEAR + 1) if i >= k and _is_cue(text[slice(*run[i - k])])), 0)
+        after = 0 if i + 1 == len(run) else 2 if _is_odd(_name(text[slice(*run[i + 1])])) else 1
+        quoted = gap[-1:] in QUOTES and right in QUOTES
         out.append(
             [
-                "bias",
-                f"length={min(len(word) // 4, 12)}",
-                f"shape={_shape(head)}",
-                f"classes={classes}",
-                f"kinds={sum(classes)}",
-                f"digits={int(digits * 5)}",
-                f"entropy={int(_entropy(head) * 2)}",
-                f"hexlike={bool(re.fullmatch('[0-9a-f]+', head))}",
-                f"capital={bool(re.fullmatch('[A-Z0-9]+', head))}",
-                f"number={bool(re.fullmatch('[0-9.+/=-]+', head))}",
-                f"letters={head.isalpha()}",
-                f"long={len(word) >= 16},{digits > 0}",
-                f"cue={cue[0] if cue else 0}",
-                f"cue={bool(cue)},{classes[2]},{len(word) >= 8}",
-                f"before={names[i - 1] if i else ''}",
-                f"after={'odd' if i + 1 < len(run) and any(c.isdigit() for c in names[i + 1]) else 'word' if i + 1 < len(run) else ''}",
-                f"mark={left.strip()[-1:] if not left.strip()[-1:].isalnum() else 'a'}",
-                f"quoted={left[-1:] in list(chr(34) + chr(39)) and right[:1] in list(chr(34) + chr(39))}",
-                f"assigned={bool(re.search('[:=] *.?$', left))}",
-                f"mail={'@' in head}",
-                f"lines={min(3, lines // 10)}",
+                *word_features(text[a:b]),
+                f"before={_name(text[slice(*run[i - 1])]) if i else ''}",
+                f"mark={_mark(gap, left[: len(left) - len(gap)])}",
+                *context_features(after, cue, _wide(text[a:b]), quoted, _assigned(gap), min(3, lines // 10)),
             ]
         )
     return out
@@ -237,18 +287,186 @@ class Field:
             tags.append(int(b[tags[-1]]))
         return tags[::-1]
 
+    def tags(self, own: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The likeliest tags of the words of many chains, which begin where ``starts`` is true: as ``decode`` for each, side by side."""
+        pair = self.pair + self.barred
+        lead = np.flatnonzero(starts)
+        length = np.diff(np.append(lead, len(own)))
+        order = np.argsort(-length, kind="stable")
+        lead, length = lead[order], length[order]
+        most = int(length[0])
+        left = np.searchsorted(-length, -np.arange(most), "left")  # chains that are longer than that
+        back = np.zeros((len(own), TAGS), np.int8)
+        best = own[lead] + pair[TAGS]
+        last = np.zeros(len(lead), np.int8)
+        for t in range(1, most + 1):
+            k = int(left[t]) if t < most else 0
+            last[k : len(best)] = best[k:].argmax(axis=1)
+            if not k:
+                break
+            ways = best[:k, :, None] + pair[:TAGS]
+            back[lead[:k] + t] = ways.argmax(axis=1)
+            best = ways.max(axis=1) + own[lead[:k] + t]
+        tags = np.zeros(len(own), np.int8)
+        for t in range(most - 1, -1, -1):
+            k = int(left[t])
+            tags[lead[:k] + t] = last[:k]
+            if t:
+                last[:k] = back[lead[:k] + t, last[:k]]
+        return tags
+
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
     return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
 
 
+class Kept(dict):
+    """What ``make`` gives for a word or a gap: its row of ``values``, made once while it is kept."""
+
+    def __init__(self, make, width: int):
+        self.make, self.values = make, np.zeros((256, width))
+
+    def __missing__(self, key):
+        at = len(self)
+        if at == len(self.values):
+            self.values = np.vstack([self.values, np.zeros_like(self.values)])
+        self.values[at] = self.make(key)
+        self[key] = at
+        return at
+
+    def rows(self, keys: list[str]) -> np.ndarray:
+        found = np.array(list(map(self.__getitem__, keys)), np.int64)
+        return self.values[found]
+
+
+class Lines:
+    """All words of texts, line by line, with the scores of a field (none: marks of odd words and cues only)."""
+
+    def __init__(self, field: Field | None):
+        self.field, self.marks = field, {}
+        self.words, self.gaps = Kept(self._word, 11), Kept(self._gap, 5)
+        self.alone: dict[tuple, tuple] = {}
+        if field is not None:
+            self.context = np.array(
+                [
+                    self._sum(context_features(after, cue, (digit, wide), quoted, assigned, lines))
+                    for after in range(3)
+                    for cue in range(NEAR + 1)
+                    for digit in (False, True)
+                    for wide in (False, True)
+                    for quoted in (False, True)
+                    for assigned in (False, True)
+                    for lines in range(4)
+                ]
+            )
+
+    def _sum(self, features: list[str]) -> np.ndarray:
+        return self.field.own[self.field.rows([features])[0]].sum(axis=0)
+
+    def _mark_of(self, mark: str) -> int:
+        return self.marks.setdefault(mark, len(self.marks))
+
+    def _word(self, word: str) -> tuple:
+        """Scores alone and as the word before, and whether it is odd to the field, its marks, cue, odd shape."""
+        odd = len(word) >= 6 and not word.isalpha() and bool(CLASSES[2].search(word))
+        if self.field is None:
+            return (0,) * 9 + (_is_cue(word), odd)
+        name, (digit, wide) = _name(word), _wide(word)
+        flags = (_is_odd(name), 2 * digit + wide, self._mark_of(_mark("", word)), _is_cue(word), odd)
+        kind = _kind(word)
+        alone = self.alone.get(kind)
+        if alone is None:
+            alone = self.alone[kind] = tuple(self._sum(_features_of(kind)))
+        at = self.field.place.get(f"before={name}")
+        return (*alone, *((0.0,) * TAGS if at is None else self.field.own[at]), *flags)
+
+    def _gap(self, gap: str) -> tuple:
+        """Whether a line ends in it, its mark (-1: that of the word before), quotes at its ends, whether it assigns."""
+        mark = self._mark_of(_mark(gap, "")) if _mark(gap, "") or len(gap) >= 8 else -1
+        return "\n" in gap, mark, gap[-1:] in QUOTES, gap[:1] in QUOTES, _assigned(gap)
+
+    def read(self, texts: list[str]) -> None:
+        """Word by word: its text, first and end character there, whether a line begins, its marks and scores."""
+        words, gaps, counts = [], [], []
+        for text in texts:
+            parts = PARTS.split(text)
+            words += parts[1::2]
+            gaps += parts[::2]
+            counts.append(len(parts) // 2)
+        n, counts = len(words), np.array(counts, np.int64)
+        self.of = np.repeat(np.arange(len(texts)), counts)
+        place = np.arange(n)
+        first_of_text = np.zeros(n, bool)
+        first_of_text[(np.cumsum(counts) - counts)[counts > 0]] = True
+        if max(len(self.words), len(self.gaps)) > KNOWN:
+            self.marks.clear()
+            self.alone.clear()
+            self.words.clear()
+            self.gaps.clear()
+        word, gap = self.words.rows(words), self.gaps.rows(gaps)
+        left, right = gap[place + self.of], gap[place + self.of + 1]
+        lengths, gap_lengths = (np.fromiter(map(len, x), np.int64, len(x)) for x in (words, gaps))
+        reach = np.cumsum(lengths + gap_lengths[place + self.of])
+        self.end = reach - np.append(0, reach)[(np.cumsum(counts) - counts)][self.of]
+        self.start = self.end - lengths
+        self.first = first_of_text | (left[:, 0] > 0)
+        self.at = place - np.maximum.accumulate(np.where(self.first, place, 0))  # in its line
+        cue = np.zeros(n, np.int64)
+        for k in range(NEAR, 0, -1):
+            cue[k:][(self.at[k:] >= k) & (word[:-k, 9] > 0)] = k
+        self.odd = (word[:, 10] > 0) | (cue > 0)
+        if self.field is None or not n:
+            return
+        follows = np.append(~self.first[1:], False)
+        after = np.where(follows, 1 + np.append(word[1:, 6], 0), 0)
+        lines = np.array([min(3, t.count("\n") // 10) for t in texts], np.int64)[self.of]
+        quoted = (left[:, 2] > 0) & (right[:, 3] > 0)
+        code = ((((after * (NEAR + 1) + cue) * 4 + word[:, 7]) * 2 + quoted) * 2 + left[:, 4]) * 4 + lines
+        none = self._mark_of("")
+        mark = np.where(left[:, 1] >= 0, left[:, 1], np.where(first_of_text, none, np.append(none, word[:-1, 8])))
+        marks = np.array([self._sum([f"mark={m}"]) for m in self.marks])
+        before = np.vstack([np.zeros((1, TAGS)), word[:-1, 3:6]])
+        before[self.first] = self._sum(["before="])
+        self.own = word[:, :3] + before + marks[mark.astype(np.int64)] + self.context[code.astype(np.int64)]
+
+    def spans(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        """(start, kind, end) of what the field calls secret in each text."""
+        out: list[list] = [[] for _ in texts]
+        self.read(texts)
+        if len(self.of):
+            tags = self.field.tags(self.own, self.first)
+            for i in np.flatnonzero(tags != OUT).tolist():
+                found = out[self.of[i]]
+                if tags[i] == BEGIN:
+                    found.append((int(self.start[i]), 3, int(self.end[i])))
+                else:
+                    found[-1] = (found[-1][0], 3, int(self.end[i]))
+        return out
+
+
+def _parts(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """(place of the first, texts) with about CHARACTERS in each part."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= CHARACTERS:
+            yield start, texts[start : i + 1]
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, texts[start:]
+
+
 class Fewest:
     """The ``most`` items with the smallest keys of those offered; an item is made only if it is kept."""
 
     def __init__(self, most: int):
         self.most, self.heap = most, []
 
+    def limit(self) -> int:
+        """Keys from here on are not kept."""
+        return -self.heap[0][0] if len(self.heap) == self.most else (1 << 63) - 1
+
     def offer(self, key: int, make) -> None:
         if len(self.heap) < self.most:
             heapq.heappush(self.heap, (-key, make()))
@@ -256,52 +474,100 @@ class Fewest:
             heapq.heapreplace(self.heap, (-key, make()))
 
 
+PIECE_NAMES = ["kind", "draw", "at", "tags", "spans", "text", "lines"]
+PIECE = [pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.string(), pa.int64()]
+PLAIN, ODD, HELD = 0, 1, 2  # kinds of pieces: others, with an odd word or a cue, with a secret
+
+
+def _drawn(hashes: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """63 bits, drawn by the text's hash and the piece's number in it: equal texts give equal pieces."""
+    x = hashes + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(1)).astype(np.int64)
+
+
+def _offer_pieces(lines: Lines, texts: list[str], kept: dict[int, Fewest], without: int | None) -> None:
+    """Offer all pieces of the texts' lines."""
+    lines.read(texts)
+    if not len(lines.of):
+        return
+    secrets = [values(t) for t in texts]
+    told = secrets if without is None else [values(t, without) if s else s for t, s in zip(texts, secrets)]
+    held = np.zeros(len(lines.of), bool)
+    text_from = np.searchsorted(lines.of, np.arange(len(texts) + 1))
+    for i, found in enumerate(secrets):
+        a, b = text_from[i], text_from[i + 1]
+        for x, y in found:
+            held[a + np.searchsorted(lines.end[a:b], x, "right") : a + np.searchsorted(lines.start[a:b], y)] = True
+    lead = np.flatnonzero(lines.at % LONGEST == 0)
+    end = np.append(lead[1:], len(lines.of))
+    kind = np.where(np.logical_or.reduceat(held, lead), HELD, np.logical_or.reduceat(lines.odd, lead).astype(int))
+    of = lines.of[lead]
+    number = np.arange(len(lead)) - np.searchsorted(of, of)
+    hashes = np.array([xxhash.xxh64_intdigest(t.encode()) for t in texts], np.uint64)
+    key = _drawn(hashes[of], number)
+    breaks = [t.count("\n") for t in texts]
+
+    def make(j: int):
+        i, a, b = int(of[j]), int(lead[j]), int(end[j])
+        low = a - min(NEAR, int(lines.at[a]))  # words of the line that the features look at
+        high = b + (b < text_from[i + 1] and not lines.first[b])
+        run = list(zip(lines.start[low:high].tolist(), lines.end[low:high].tolist()))
+        tags = run_tags(run[a - low : b - low], told[i])
+        cut = max(0, run[0][0] - 8)
+        return a - low, tags, [x - cut for w in run for x in w], texts[i][cut : run[-1][1] + 1], breaks[i]
+
+    for k, fewest in kept.items():
+        some = np.flatnonzero((kind == k) & (key < fewest.limit()))
+        some = some[np.argsort(key[some], kind="stable")][: fewest.most]
+        for j in some.tolist():
+            if k == HELD and without is not None:
+                run = list(zip(lines.start[lead[j] : end[j]].tolist(), lines.end[lead[j] : end[j]].tolist()))
+                if run_tags(run, secrets[of[j]]) != run_tags(run, told[of[j]]):
+                    continue
+            fewest.offer(int(key[j]), lambda: make(j))  # noqa: B023
+
+
 def train(docs: DataFrame, id_col="doc_id", text_col="text", most=RUNS, without: int | None = None) -> Field | None:
-    """A field fitted on a bounded draw of the chains of all documents; None if no document holds a secret.
+    """A field fitted on a bounded draw of the lines of all documents; None if no document holds a secret.
 
-    Every document is searched for base matches. Each task writes at most ``most`` chains with a secret and
-    as many without, those of the smallest hashes, so the choice over all tasks does not depend on how rows lie; a share of
-    them, about ``most`` of each, is let through to the driver. ``without`` leaves out the chains with a value of one base kind.
+    Every document is searched for base matches. Each task writes at most ``most`` pieces of each kind (with a secret, with an
+    odd word or a cue, others), those of the smallest hashes, so the choice over all tasks does not depend on how rows lie; a share of
+    them, about ``most`` of each, is let through to the driver. ``without`` leaves out the pieces with a value of one base kind.
     """
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = {True: Fewest(most), False: Fewest(most)}
+        kept, lines = {PLAIN: Fewest(most // 2), ODD: Fewest(most), HELD: Fewest(most)}, Lines(None)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                secret, raw, lines = values(text), text.encode(), text.count("\n")
-                told = secret if without is None else values(text, without)
-                for n, r in enumerate(_cut(runs(text))):
-                    tags = run_tags(r, told)
-                    if without is not None and run_tags(r, secret) != tags:
-                        continue
-                    # 63 bits, drawn by the text and the chain's number in it: equal texts give equal chains.
-                    key = xxhash.xxh64_intdigest(raw, n) >> 1
-                    kept[max(tags) > OUT].offer(key, lambda: (tags, run_features(text, r, lines)))  # noqa: B023
-        for held, fewest in kept.items():
+            for _, part in _parts(batch.column(0).to_pylist()):
+                _offer_pieces(lines, part, kept, without)
+        for kind, fewest in kept.items():
             for i in range(0, len(fewest.heap), 256):
                 part = fewest.heap[i : i + 256]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([held] * len(part)),
-                        pa.array([-k for k, _ in part], pa.int64()),
-                        pa.array([f for _, (_, f) in part], pa.list_(pa.list_(pa.string()))),
-                        pa.array([t for _, (t, _) in part], pa.list_(pa.int32())),
-                    ],
-                    ["held", "draw", "features", "tags"],
-                )
+                columns = [[kind] * len(part), [-k for k, _ in part], *zip(*[x for _, x in part])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, PIECE)], PIECE_NAMES)
 
     texts = docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL")
     found = kept_table(
-        texts.mapInArrow(run, "held boolean, draw long, features array<array<string>>, tags array<int>"), "secret-runs"
+        texts.mapInArrow(run, "kind int, draw long, at int, tags array<int>, spans array<long>, text string, lines long"),
+        "secret-runs",
     )
-    chosen = _smallest(found.where("held"), most)
+    chosen = _smallest(found.where(F.col("kind") == HELD), most)
     if not chosen:
         return None
-    chosen += _smallest(found.where("NOT held"), most)
-    counts = Counter(f for r in chosen for fs in r.features for f in fs)
-    field = Field(sorted(f for f, n in counts.items() if n >= 2))
-    field.learn([(field.rows(r.features), list(r.tags)) for r in chosen])
+    chosen += _smallest(found.where(F.col("kind") == ODD), most) + _smallest(found.where(F.col("kind") == PLAIN), most // 2)
+    place: dict[str, int] = {}
+    pieces = []
+    for r in chosen:
+        words = list(zip(r.spans[::2], r.spans[1::2]))
+        features = run_features(r.text, words, r.lines, slice(r.at, r.at + len(r.tags)))
+        pieces.append(([[place.setdefault(f, len(place)) for f in fs] for fs in features], list(r.tags)))
+    counts = Counter(f for rows, _ in pieces for fs in rows for f in fs)
+    field = Field(sorted(f for f, i in place.items() if counts[i] >= 2))
+    now = {i: field.place[f] for f, i in place.items() if f in field.place}
+    field.learn([([[now[f] for f in fs if f in now] for fs in rows], tags) for rows, tags in pieces])
     return field
 
 
@@ -316,29 +582,18 @@ def _smallest(found: DataFrame, most: int) -> list:
     return found.where(grade <= upto).orderBy("draw").limit(most).collect()
 
 
-def _cut(chains: list[list[tuple[int, int]]]) -> Iterator[list[tuple[int, int]]]:
-    for r in chains:
-        for i in range(0, len(r), LONGEST):
-            yield r[i : i + LONGEST]
-
-
-def added_spans(text: str, field: Field | None, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans the field finds beside the base ones."""
-    if field is None:
-        return []
-    out, lines = [], text.count("\n")
-    for r in runs(text):
-        tags = field.decode(field.rows(run_features(text, r, lines)))
-        for (a, b), tag in zip(r, tags):
-            if tag == BEGIN:
-                out.append((a, 3, b))
-            elif tag == INSIDE:
-                out[-1] = (out[-1][0], 3, b)
+def _free(found: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans that overlap no base span."""
     starts, furthest = [s[0] for s in base], []
     for s in base:
         furthest.append(max(s[2], furthest[-1] if furthest else 0))
     free = lambda s: not (n := bisect_left(starts, s[2])) or furthest[n - 1] <= s[0]
-    return [s for s in out if free(s)]
+    return [s for s in found if free(s)]
+
+
+def added_spans(text: str, field: Field | None, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans the field finds beside the base ones."""
+    return [] if field is None else _free(Lines(field).spans([text])[0], base)
 
 
 def _joined(spans) -> str:
@@ -349,13 +604,16 @@ def scan(docs: DataFrame, field: Field | None, id_col="doc_id", text_col="text")
     """doc_id, counts of the base kinds, base_spans and spans of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = None if field is None else Lines(field)
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
-                base = base_spans(text or "")
-                kinds = [k for _, k, _ in base]
-                every = sorted(base + added_spans(text or "", field, base))
-                rows.append((kinds.count(0), kinds.count(1), kinds.count(2), _joined(base), _joined(every)))
+            for _, texts in _parts([t or "" for t in batch.column(1).to_pylist()]):
+                added = [[] for _ in texts] if lines is None else lines.spans(texts)
+                for text, found in zip(texts, added):
+                    base = base_spans(text)
+                    kinds = [k for _, k, _ in base]
+                    every = sorted(base + _free(found, base))
+                    rows.append((kinds.count(0), kinds.count(1), kinds.count(2), _joined(base), _joined(every)))
             columns = list(zip(*rows)) or [()] * 5
             types = [pa.int64()] * 3 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays(
