@@ -134,8 +134,8 @@ def ingest_raw(m: Market) -> DataFrame:
 
     Both folders' files are told apart by content only.
     """
-    lake, year = work_dir(m.spark, "lake"), F.year("date")
-    first, second = (m.write_csv(PRICES, m.prices.filter(year % 2 == n)) for n in (0, 1))
+    lake, csv = work_dir(m.spark, "lake"), m.write_csv_parts(PRICES, m.prices, F.year("date") % 2)
+    first, second = (f"{csv}/part={n}" for n in (0, 1))
     landing.land(m.spark, PRICES, second, lake)
     landing.land(m.spark, PRICES, first, lake)
     for _ in range(2):
@@ -314,10 +314,10 @@ def pruned_year_read(m: Market) -> DataFrame:
 def incremental_refresh(m: Market) -> DataFrame:
     """The enriched table of a lake whose prices of one year arrive later, by a refresh."""
     lake, late = work_dir(m.spark, "lake"), F.year("date") == REFRESHED_YEAR
-    sources = m.csv_sources() | {PRICES.name: m.write_csv(PRICES, m.prices.filter(~late))}
-    pipeline.run(m.spark, pipeline.Config(sources, lake))
-    arrived = m.write_csv(PRICES, m.prices.filter(late))
-    pipeline.refresh(m.spark, pipeline.Config({PRICES.name: arrived}, lake))
+    csv = m.write_csv_parts(PRICES, m.prices, late)
+    sources = {c.name: m.write_csv(c, df) for c, df in ((FUNDAMENTALS, m.fundamentals), (SECURITIES, m.securities))}
+    pipeline.run(m.spark, pipeline.Config(sources | {PRICES.name: f"{csv}/part=false"}, lake))
+    pipeline.refresh(m.spark, pipeline.Config({PRICES.name: f"{csv}/part=true"}, lake))
     rows = tables.read_current(m.spark, lake, pipeline.ENRICHED)
     return rows.withColumn("symbol", F.col("symbol").cast("long"))
 
@@ -325,9 +325,9 @@ def incremental_refresh(m: Market) -> DataFrame:
 @query
 def published_risk(m: Market) -> DataFrame:
     """The published returns and volatilities of a lake whose prices of one year arrive later, by an update."""
-    lake, late = work_dir(m.spark, "lake"), F.year("date") == REFRESHED_YEAR
-    for part in (~late, late):
-        landing.land(m.spark, PRICES, m.write_csv(PRICES, m.prices.filter(part)), lake, append=True)
+    lake, csv = work_dir(m.spark, "lake"), m.write_csv_parts(PRICES, m.prices, F.year("date") == REFRESHED_YEAR)
+    for late in ("false", "true"):
+        landing.land(m.spark, PRICES, f"{csv}/part={late}", lake, append=True)
         risk.update(m.spark, lake, ROLLING_DAYS)
     rows = tables.read_current(m.spark, lake, risk.MODEL).drop(risk.YEAR)
     return rows.withColumn("symbol", F.col("symbol").cast("long"))
@@ -345,10 +345,9 @@ def compact_table(m: Market) -> DataFrame:
 @query
 def kept_lake(m: Market) -> DataFrame:
     """Prices and their risk after the loads of seven years were merged by need and all that nobody names was removed."""
-    lake, year = work_dir(m.spark, "lake"), F.year("date")
+    lake, csv = work_dir(m.spark, "lake"), m.write_csv_parts(PRICES, m.prices, F.pmod(F.year("date"), F.lit(7)))
     for n in range(7):
-        path = m.write_csv(PRICES, m.prices.filter(F.pmod(year, F.lit(7)) == n))
-        landing.land(m.spark, PRICES, path, lake, append=True)
+        landing.land(m.spark, PRICES, f"{csv}/part={n}", lake, append=True)
         if n in (4, 6):
             risk.update(m.spark, lake, ROLLING_DAYS)
     upkeep.compact_loads(m.spark, PRICES, lake)
@@ -455,10 +454,7 @@ def feed_bars_reconciled(m: Market) -> DataFrame:
 @query
 def ingest_overlapping(m: Market) -> DataFrame:
     """Landed prices after one year's file, and then the whole folder, that file included, was appended."""
-    lake, year = work_dir(m.spark, "lake"), F.year("date")
-    folder = work_dir(m.spark, "csv")
-    for n in (0, 1):
-        cells = m.spark.read.option("header", True).csv(m.write_csv(PRICES, m.prices.filter(year % 2 == n)))
-        cells.write.mode("append").option("header", True).csv(folder)
-        landing.land(m.spark, PRICES, folder, lake, append=True)
+    lake, csv = work_dir(m.spark, "lake"), m.write_csv_parts(PRICES, m.prices, F.year("date") % 2)
+    for files in ("part=0", "part=*"):
+        landing.land(m.spark, PRICES, f"{csv}/{files}", lake, append=True)
     return landing.landed(m.spark, PRICES, lake).drop(PRICES.year_column)

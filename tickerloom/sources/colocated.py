@@ -35,7 +35,7 @@ def write(df: DataFrame, version: Version) -> Version:
     """
     by, buckets = version.notes["by"], version.notes["buckets"]
     df = df.hint("rebalance", buckets, *by)
-    writer = df.write.format("parquet").option("path", version.path).bucketBy(buckets, *by).sortBy(*by)
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", version.path).bucketBy(buckets, *by).sortBy(*by)
     writer.saveAsTable(_entry(version))
     median, largest = _sizes(df.sparkSession, version.path)
     return version.with_notes(median_bytes=median, largest_bytes=largest)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.contracts import FUNDAMENTALS, PRICES, SECURITIES, Contract
@@ -28,11 +28,18 @@ class MarketFixture:
     @cached_property
     def price_rows(self) -> DataFrame:
         """Price observations before the (symbol, date) grain is made unique."""
-        lines = self.table("lineitem")
+        return self._observed(self._lines)
+
+    @cached_property
+    def _lines(self) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey")
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("o_custkey").alias("symbol"),
-            F.col("l_shipdate").cast("date").alias("date"),
+        lines = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return lines.withColumnRenamed("o_custkey", "symbol").withColumn("date", F.col("l_shipdate").cast("date"))
+
+    def _observed(self, lines: DataFrame) -> DataFrame:
+        return lines.select(
+            "symbol",
+            "date",
             F.col("l_extendedprice").alias("close"),
             (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("high"),
             (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("low"),
@@ -43,7 +50,9 @@ class MarketFixture:
 
     @cached_property
     def prices(self) -> DataFrame:
-        return self.price_rows.groupBy("symbol", "date").agg(
+        """One row per symbol and date. Shuffled as the lines have them: a price and two rates are narrower than three prices."""
+        lines = self._lines.repartition("symbol", "date")
+        return self._observed(lines).groupBy("symbol", "date").agg(
             F.max("close").alias("close"), F.max("high").alias("high"), F.min("low").alias("low")
         )
 
@@ -61,12 +70,11 @@ class MarketFixture:
             )
         )
         customers = self.table("customer").select("c_custkey", "c_acctbal")
+        orders = self.table("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))  # while rows are narrow
         gross, discount, tax = F.col("gross"), F.col("discount"), F.col("tax")
         total = F.col("o_totalprice")
         return (
-            self.table("orders")
-            .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+            orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select(
                 F.col("o_orderkey").alias("filing_id"),
                 F.col("o_custkey").alias("symbol"),
@@ -96,10 +104,17 @@ class MarketFixture:
         )
 
     def write_csv(self, contract: Contract, df: DataFrame) -> str:
-        """Write a relation as CSV files under the contract's headers; return the folder."""
+        """Write a relation as compressed CSV files under the contract's headers; return the folder."""
         path = work_dir(self.spark, f"csv-{contract.name}")
         headed = df.select(*[F.col(f.name).alias(f.source) for f in contract.fields])
-        headed.write.option("header", True).csv(path)
+        headed.write.options(header=True, compression="gzip").csv(path)
+        return path
+
+    def write_csv_parts(self, contract: Contract, df: DataFrame, part: Column) -> str:
+        """Write a relation once, as a folder ``part=<value>`` of CSV files for each value; return the folder that holds them."""
+        path = work_dir(self.spark, f"csv-{contract.name}")
+        headed = df.select(*[F.col(f.name).alias(f.source) for f in contract.fields], part.alias("part"))
+        headed.write.options(header=True, compression="gzip").partitionBy("part").csv(path)
         return path
 
     def csv_sources(self) -> dict[str, str]:

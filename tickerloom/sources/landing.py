@@ -52,14 +52,17 @@ def prepare(
 
     By default the files replace what was landed before, as a new version. With
     ``append`` they are added to the current version, without those files whose rows it holds already: files are known
-    by the digests of their written rows, whatever their names, sizes and times. None
+    by the digests of their rows, whatever their names, sizes and times. None
     if the table already holds exactly this content (``append``: no file is new).
 
+    Where something was landed before, the text is read for its digests first, so that only rows that are new are shuffled and
+    written. The digests that are kept are those of the written rows.
+
     The header is checked before anything is written. Accepted and rejected rows come
     from one pass over the text and go to partitions of their own, the accepted ones by
     year, so that a refresh of some years reads those only. Rows are rebalanced on these
     partitions, so their files are even however many tasks read the text; files in the order of their
-    dates need no shuffle. Only if some files are known and others new, the new ones' rows are written once more.
+    dates need no shuffle.
     """
     cells = read_cells(spark, csv_path, contract)
     tables.create_lake(spark, lake)
@@ -73,35 +76,37 @@ def prepare(
     if contract.year_of:
         rows = rows.withColumn(contract.year_column, F.year(contract.year_of))
         partition_by += (contract.year_column,)
-    schema = StructType(rows.schema.fields).add("load", "string")
+    schema = StructType([*rows.schema.fields]).add("load", "string")
+    cells_of = [c for c in rows.columns if c not in partition_by] + ["load", *partition_by]  # in the order their digest has them
     version = tables.next_version(lake, name, schema, current, "")
     if append:
         notes = {k: v for k, v in current[name].notes.items() if k != "replaced"}
         version = replace(version, path=current[name].path, info=json.dumps(notes, sort_keys=True))
 
-    def write(df: DataFrame, balance: bool) -> tuple[str, DataFrame, DataFrame]:
+    def write(df: DataFrame, balance: bool) -> tuple[str, DataFrame]:
         """Rows in a load of their own, and the digests of its files."""
         load = uuid.uuid4().hex
         tables.write_table(df, f"{version.path}/load={load}", partition_by, balance=balance)
-        written = spark.read.schema(rows.schema).parquet(f"{version.path}/load={load}")
+        written = spark.read.schema(schema).parquet(f"{version.path}/load={load}").select(*cells_of)
         written.groupBy("file").agg(*digest(written)).write.parquet(f"{_ledger(lake, name)}/load={load}")
-        return load, written, spark.read.parquet(f"{_ledger(lake, name)}/load={load}")
+        return load, spark.read.parquet(f"{_ledger(lake, name)}/load={load}")
 
-    load, written, files = write(rows, not ordered_by_date)
-    content = _load_content(files)
-    if name in current and _is_landed(spark, lake, current[name], content, append):
-        return None
-    if append:
-        loads = _published(spark, lake, current[name]).select("load")
-        known = spark.read.parquet(_ledger(lake, name)).join(loads, "load", "left_semi").select(*DIGEST).distinct()
-        new = files.join(known, list(DIGEST), "left_anti").select("file")
-        n_files, n_new = files.count(), new.count()
-        if n_files and not n_new:
+    if name in current:
+        read = rows.withColumn("load", F.lit(None).cast("string")).select(*cells_of)
+        files = tables.stored(read.groupBy("file").agg(*digest(read)), "digests")
+        if _is_landed(spark, lake, current[name], _load_content(files), append):
             return None
-        if n_new < n_files:
-            load, written, files = write(written.join(new, "file", "left_semi").select(*rows.columns), True)
-            content = _load_content(files)
-    version = replace(version, run=f"{content}.{load}")
+        if append:
+            loads = _published(spark, lake, current[name]).select("load")
+            known = spark.read.parquet(_ledger(lake, name)).join(loads, "load", "left_semi").select(*DIGEST).distinct()
+            new = files.join(known, list(DIGEST), "left_anti").select("file")
+            n_files, n_new = files.count(), new.count()
+            if n_files and not n_new:
+                return None
+            if n_new < n_files:
+                rows = rows.join(tables.stored(new, "new-files"), "file", "left_semi").select(*rows.columns)
+    load, files = write(rows, not ordered_by_date)
+    version = replace(version, run=f"{_load_content(files)}.{load}")
     if append and contract.year_of:
         notes = version.notes | {"touched": years_of(spark, contract, version)}
         version = replace(version, info=json.dumps(notes, sort_keys=True))

@@ -36,14 +36,14 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
     writer.partitionBy(*partition_by).parquet(path)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the working folder and read back: computed once, lineage cut."""
     path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
