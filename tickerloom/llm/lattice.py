@@ -37,7 +37,7 @@ FOLDS, HELD_OUT = 7, 2
 ROUNDS = 3  # of expectation maximisation
 COMMON = 1 << 17  # words whose counts are broadcast, at most
 COMMON_BYTES = 64  # the longest of them
-CHUNK = 1 << 20  # bytes of words whose lattices are built at once
+CHUNK = 1 << 18  # bytes of words whose lattices are built at once: a piece of them takes about 160 bytes a byte
 SPAN = 1 << 16  # bytes of one word whose lattice is built at once
 UNIT = 4096  # expected counts are summed as whole parts of this: the order does not matter
 
