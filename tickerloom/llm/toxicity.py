@@ -103,7 +103,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n: int, steps=300, r
     k = int(grades.max())
     scale = np.ones(n) if scale is None else scale
     lengths = np.array([len(r) for r in rows])
-    column = np.concatenate(rows) if lengths.sum() else np.zeros(0, np.int64)
+    column = np.concatenate(rows).astype(np.int64) if lengths.sum() else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(rows)), lengths)
     above = np.array([(grades >= j).mean() for j in range(1, k + 1)])
     theta = -np.log(above / (1 - above))
@@ -133,6 +133,20 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n: int, steps=300, r
     return scale * p[:n], p[n] + np.concatenate([[0], np.cumsum(np.exp(p[n + 1 :]))])
 
 
+def in_order(found: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Features, toxic and half of the sample's texts, sorted by toxic, half and features.
+
+    All features stay in one array of four bytes each, of which the rows are views: as lists of numbers they took the driver
+    ten times that.
+    """
+    held = found.column("held").combine_chunks()
+    toxic, half = (found.column(c).to_numpy().astype(np.int64) for c in ("toxic", "half"))
+    values, ends = held.values.to_numpy(), held.offsets.to_numpy()
+    rows = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    order = sorted(range(len(rows)), key=lambda i: (toxic[i], half[i], rows[i].astype(">i4").tobytes()))  # as lists compare
+    return [rows[i] for i in order], toxic[order], half[order]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", sample=SAMPLE) -> Model | None:
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -161,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", sa
     if len(rows.select("toxic").distinct().collect()) < 2:
         return None
     vocabulary = rows.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"))
-    names = sorted(r.f for r in vocabulary.where(F.col("n") >= LEAST_TEXTS).select("f").collect())
+    names = sorted(vocabulary.where(F.col("n") >= LEAST_TEXTS).select("f").toArrow().column(0).to_pylist())
     place = {f: i for i, f in enumerate(names)}
 
     def placed(batches):
@@ -171,10 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", sa
                 [batch.column(0), batch.column(1), pa.array(held, pa.list_(pa.int32()))], ["half", "toxic", "held"]
             )
 
-    found = rows.mapInArrow(placed, "half int, toxic int, held array<int>").collect()  # 2 * sample rows
-    found = sorted((r.toxic, r.half, r.held) for r in found)
-    toxic, half = (np.array([x[k] for x in found]) for k in (0, 1))
-    held = [np.array(x, np.int64) for _, _, x in found]
+    held, toxic, half = in_order(rows.mapInArrow(placed, "half int, toxic int, held array<int>").toArrow())  # 2 * sample rows
     grades = severity_grades(held, toxic, half, len(names))
     weights, thresholds = fit_ordinal(held, grades, len(names), scale=prior_scale(held, toxic, len(names)))
     return Model({f: float(w) for f, w in zip(names, weights) if w}, tuple(map(float, thresholds)))
