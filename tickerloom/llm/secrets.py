@@ -42,7 +42,8 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 APART = r"\s\"'`,;:=()<>{}\[\]"  # characters between words
 WORD = re.compile(rf"[^{APART}]+")
-PARTS = re.compile(rf"([^{APART}]+)")
+BOUNDS = 0x3001  # no character between words is this one or a later one
+IS_APART = np.array([*[WORD.match(chr(c)) is None for c in range(BOUNDS)], False])
 GAP = re.compile(rf"[{APART}]*\Z")
 CUES = frozenset(("pass", "password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "key", "api_key", "apikey", "credential", "credentials", "auth", "bearer", "login"))
 NEAR = 3  # words back in which a cue counts
@@ -50,6 +51,7 @@ LONGEST = 8  # words of a piece that is learnt from; longer chains are cut there
 RUNS = 4000  # pieces of each kind: with a secret, with an odd word or a cue; half as many others
 KNOWN = 1 << 18  # words whose scores a task keeps
 CHARACTERS = 1 << 20  # of texts whose words are scored at once
+CLEAR = 1e-6  # a difference of scores that rounding cannot make
 OUT, BEGIN, INSIDE = 0, 1, 2
 TAGS = 3
 QUOTES = (chr(34), chr(39))
@@ -111,6 +113,10 @@ def _entropy(counts: tuple[int, ...]) -> float:
     return -sum(c / n * math.log2(c / n) for c in counts)
 
 
+def _halves(word: str) -> int:
+    return int(_entropy(tuple(sorted(map(word.count, set(word))))) * 2)
+
+
 def _name(word: str) -> str:
     return word.lower() if len(word) <= 24 else ""
 
@@ -126,7 +132,7 @@ def _is_odd(name: str) -> bool:
 def _kind(word: str) -> tuple:
     """What the features of a word alone are made of."""
     head = word[:64]  # what a longer one goes on with tells no more
-    entropy = int(_entropy(tuple(sorted(map(head.count, set(head))))) * 2)
+    entropy = _halves(head)
     shape, letters = _shape(head), head.isalpha()
     if letters and head.isascii():
         upper, lower = head.isupper(), head.islower()
@@ -287,6 +293,25 @@ class Field:
             tags.append(int(b[tags[-1]]))
         return tags[::-1]
 
+    def open_words(self, own: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Words that are not outside on every likeliest path, whatever stands around them, and the words beside those in their line.
+
+        A word is outside for sure if even the most that the other tags can gain over it, by the word before and the ways on, is a
+        loss. Each chain may be cut at such words: ``tags`` of what is left is ``tags`` of the whole.
+        """
+        pair, ways = self.pair + self.barred, (OUT, BEGIN)
+        after = np.append(own[1:, INSIDE] - own[1:, BEGIN], 0.0) + np.max(pair[INSIDE] - pair[BEGIN], initial=0.0)
+        after[np.append(starts[1:], True)] = -np.inf  # nothing follows in the line
+        sure = np.ones(len(own), bool)
+        for tag, sources in ((BEGIN, slice(None)), (INSIDE, slice(BEGIN, INSIDE + 1))):
+            gain = own[:, tag] - own[:, OUT] + np.max(pair[sources, tag] - pair[sources, OUT])
+            on = max(0.0, *[pair[tag, k] - pair[OUT, k] for k in ways])  # nothing, or another tag, follows
+            sure &= gain + np.maximum(on, pair[tag, INSIDE] - pair[OUT, BEGIN] + after) < -CLEAR
+        left = ~sure
+        left[1:] |= ~sure[:-1] & ~starts[1:]
+        left[:-1] |= ~sure[1:] & ~starts[1:]
+        return left
+
     def tags(self, own: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The likeliest tags of the words of many chains, which begin where ``starts`` is true: as ``decode`` for each, side by side."""
         pair = self.pair + self.barred
@@ -322,22 +347,130 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 class Kept(dict):
-    """What ``make`` gives for a word or a gap: its row of ``values``, made once while it is kept."""
+    """What ``make`` gives for words or gaps: the place of each in ``values``, made once while it is kept."""
 
     def __init__(self, make, width: int):
         self.make, self.values = make, np.zeros((256, width))
 
-    def __missing__(self, key):
-        at = len(self)
-        if at == len(self.values):
-            self.values = np.vstack([self.values, np.zeros_like(self.values)])
-        self.values[at] = self.make(key)
-        self[key] = at
-        return at
+    def places(self, keys: list[str]) -> np.ndarray:
+        """Places of keys, each of which is named once."""
+        new = [k for k in keys if k not in self]
+        if new:
+            have, need = len(self), len(self) + len(new)
+            if need > len(self.values):
+                self.values = np.vstack([self.values, np.zeros((max(need, 2 * have) - len(self.values), self.values.shape[1]))])
+            self.values[have:need] = self.make(new)
+            self.update(zip(new, range(have, need)))
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
+TELLS = [re.compile(c) for c in ("[^0-9a-f]", "[^A-Z0-9]", "[^0-9.+/=-]")]
+DIGIT, OTHER, ANY_DIGIT = 1 << 2, 1 << 6, 1 << 12  # bits of ``_told``: 0 to 9, not ASCII, a digit of any script
+
+
+@lru_cache(1 << 14)
+def _told(c: str) -> int:
+    """What a character tells of its word, as bits: its classes, what the word is not, whether it is a digit of any script."""
+    told = [x.match(c) is not None for x in (*CLASSES, *TELLS)] + [not c.isalpha(), c == "@", c.isdigit()]
+    return sum(1 << i for i, x in enumerate(told) if x)
+
+
+class Spelled:
+    """The characters of words, one word after the other."""
+
+    def __init__(self, words: list[str], size: np.ndarray):
+        self.words, self.size, self.lead = words, size, np.cumsum(size) - size
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        place = np.zeros(int(codes.max()) + 1, np.uint32)
+        place[codes] = 1
+        letters = np.flatnonzero(place)
+        place[letters] = np.arange(len(letters))
+        self.alphabet, self.letter = [chr(c) for c in letters.tolist()], place[codes]
+        self.each = np.array([_told(c) for c in self.alphabet], np.uint16)[self.letter]
+        self.told = np.bitwise_or.reduceat(self.each, self.lead).astype(np.int64)
+
+    def shapes(self) -> np.ndarray:
+        """Numbers of the shapes; equal numbers, equal shapes."""
+        shapes = [c.translate(SHAPES) for c in self.alphabet]
+        number = {c: i + 1 for i, c in enumerate(dict.fromkeys(shapes))}
+        width = len(number).bit_length()
+        shape = np.array([number[c] for c in shapes], np.int64)[self.letter]
+        stays = np.append(True, shape[1:] != shape[:-1]) | ~np.array([c in "xlU9" for c in shapes])[self.letter]
+        stays[self.lead] = True
+        rank = np.cumsum(stays)
+        rank -= np.repeat(rank[self.lead], self.size)
+        out = np.add.reduceat(np.where(stays & (rank < 6), shape << width * np.minimum(rank, 6) % 60, 0), self.lead)
+        # Digits make longer runs: such words go one by one, and so do all where six characters do not fit in a number.
+        alone = np.flatnonzero(self.told & DIGIT) if width <= 10 else np.arange(len(out))
+        forms: dict[str, int] = {}
+        out[alone] = [-1 - forms.setdefault(_shape(self.words[i]), len(forms)) for i in alone.tolist()]
+        return out
+
+    def entropies(self) -> np.ndarray:
+        """Entropy of each word's characters in halves of a bit, rounded down."""
+        n, letters = len(self.size), len(self.alphabet)
+        key = np.repeat(np.arange(n), self.size) * letters + self.letter
+        key = np.sort(key.astype(np.uint32) if n * letters < 1 << 32 else key)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        times, owner = np.diff(np.append(first, len(key))), key[first] // letters
+        halves = 2 * (np.log2(self.size) - np.bincount(owner, LOGS[times], n) / self.size)
+        out = np.floor(halves).astype(np.int64)
+        close = np.flatnonzero(np.abs(halves - np.round(halves)) < 1e-9)  # rounding may tell: as for one word, once for equal counts
+        counts = np.add.reduceat(MIX[times], np.flatnonzero(np.append(True, owner[1:] != owner[:-1])))[close]
+        _, one, which = np.unique(counts, return_index=True, return_inverse=True)
+        exact = [_halves(self.words[i]) for i in close[one].tolist()]
+        out[close] = np.array(exact, np.int64)[which] if exact else 0
+        return out
+
+    def digits(self) -> np.ndarray:
+        return np.add.reduceat((self.each & ANY_DIGIT) > 0, self.lead, dtype=np.int64)
+
+
+LOGS = np.arange(65) * np.log2(np.maximum(np.arange(65), 1))
+MIX = np.random.default_rng(42).integers(-(1 << 63), (1 << 63) - 1, 65) | 1
+
+
+def _cue_heads() -> np.ndarray:
+    """First two characters a cue can have, in either case, with what is stripped off before it or not ASCII (128)."""
+    heads = np.zeros((129, 129), bool)
+    for cue in CUES:
+        for a in {cue[0], cue[0].upper()}:
+            for b in {cue[1], cue[1].upper()}:
+                heads[ord(a), ord(b)] = True
+    heads[[ord("_"), ord("-"), 128]] = True
+    heads[:, 128] = True
+    return heads
 
-    def rows(self, keys: list[str]) -> np.ndarray:
-        found = np.array(list(map(self.__getitem__, keys)), np.int64)
-        return self.values[found]
+
+CUE_HEADS = _cue_heads()
+
+
+def _borders(joined: str, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """First and end character of the words of texts that begin at ``begins``, and the byte of each character (None: the same)."""
+    widths = None
+    if joined.isascii():
+        apart = IS_APART[np.frombuffer(joined.encode(), np.uint8)]
+    else:
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        apart = IS_APART[np.minimum(codes, BOUNDS)]
+        widths = np.append(0, np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000), dtype=np.int64))
+    border = np.zeros(len(apart) + 1, bool)  # before a character: a text begins, or the last one ends
+    border[begins], border[-1] = True, True
+    starts = ~apart & (np.append(True, apart[:-1]) | border[:-1])
+    ends = ~apart & (np.append(apart[1:], True) | border[1:])
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1, widths
+
+
+def _numbered(joined: str, borders: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """Numbers of the pieces of a text between borders (of bytes), and what each number stands for."""
+    data = joined.encode()
+    first = np.minimum(borders[:-1], len(data) - 1)
+    blank = (np.diff(borders) == 1) & (np.frombuffer(data, np.uint8)[first] == 32)  # one space: most gaps
+    pieces = pa.LargeStringArray.from_buffers(len(borders) - 1, pa.py_buffer(borders), pa.py_buffer(data))
+    others = pieces.filter(pa.array(~blank)).dictionary_encode()
+    number = np.full(len(blank), len(others.dictionary))
+    number[~blank] = others.indices.to_numpy()
+    return number, [*others.dictionary.to_numpy(zero_copy_only=False).tolist(), " "]
 
 
 class Lines:
@@ -345,9 +478,10 @@ class Lines:
 
     def __init__(self, field: Field | None):
         self.field, self.marks = field, {}
-        self.words, self.gaps = Kept(self._word, 11), Kept(self._gap, 5)
+        self.words, self.gaps = Kept(self._words, 11), Kept(lambda gaps: [self._gap(g) for g in gaps], 5)
         self.alone: dict[tuple, tuple] = {}
         if field is not None:
+            self.names = {f.removeprefix("before="): i for f, i in field.place.items() if f.startswith("before=")}
             self.context = np.array(
                 [
                     self._sum(context_features(after, cue, (digit, wide), quoted, assigned, lines))
@@ -370,16 +504,54 @@ class Lines:
     def _word(self, word: str) -> tuple:
         """Scores alone and as the word before, and whether it is odd to the field, its marks, cue, odd shape."""
         odd = len(word) >= 6 and not word.isalpha() and bool(CLASSES[2].search(word))
-        if self.field is None:
-            return (0,) * 9 + (_is_cue(word), odd)
         name, (digit, wide) = _name(word), _wide(word)
         flags = (_is_odd(name), 2 * digit + wide, self._mark_of(_mark("", word)), _is_cue(word), odd)
+        at = self.names.get(name)
+        return (*self._alone(word), *((0.0,) * TAGS if at is None else self.field.own[at]), *flags)
+
+    def _alone(self, word: str) -> tuple:
         kind = _kind(word)
         alone = self.alone.get(kind)
         if alone is None:
             alone = self.alone[kind] = tuple(self._sum(_features_of(kind)))
-        at = self.field.place.get(f"before={name}")
-        return (*alone, *((0.0,) * TAGS if at is None else self.field.own[at]), *flags)
+        return alone
+
+    def _words(self, words: list[str]) -> np.ndarray:
+        """``_word`` of each; words of up to 64 characters together."""
+        out = np.zeros((len(words), 11))
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        for i in np.flatnonzero(size > 64).tolist():
+            out[i] = self._word(words[i])
+        some = np.flatnonzero(size <= 64)
+        if not len(some):
+            return out
+        words, size = [words[i] for i in some.tolist()], size[some]
+        low = "\n".join(words).lower().split("\n")
+        spelled = Spelled(words, size)
+        digit, short = (spelled.told & DIGIT) > 0, size <= 24
+        cue = np.fromiter((w.strip("_-") in CUES for w in low), bool, len(low))
+        out[some, 9], out[some, 10] = cue & short, digit & (size >= 6)
+        digits = spelled.digits()
+        out[some, :3] = self._sum(["bias"])
+        for told, names in (
+            (spelled.told, ("classes=", "kinds=", "hexlike=", "capital=", "number=", "letters=", "mail=")),
+            (np.minimum(size // 4, 12) * 4 + 2 * (size >= 16) + (digits > 0), ("length=", "long=")),
+            ((digits / size * 5).astype(np.int64), ("digits=",)),
+            (spelled.shapes(), ("shape=",)),
+            (spelled.entropies(), ("entropy=",)),
+        ):
+            _, one, which = np.unique(told, return_index=True, return_inverse=True)
+            sums = [self._sum([f for f in word_features(words[i]) if f.startswith(names)]) for i in one.tolist()]
+            out[some, :3] += np.array(sums)[which]
+        at = np.fromiter((self.names.get(w if s else "", -1) for w, s in zip(low, short.tolist())), np.int64, len(low))
+        out[some, 3:6] = np.where((at >= 0)[:, None], self.field.own[at], 0.0)
+        odd = digit & short
+        for i in np.flatnonzero((spelled.told & OTHER > 0) & short).tolist():
+            odd[i] = _is_odd(low[i])
+        out[some, 6], out[some, 7] = odd, 2 * digit + (size >= 8)
+        last, which = np.unique(spelled.letter[spelled.lead + size - 1], return_inverse=True)
+        out[some, 8] = np.array([self._mark_of(_mark("", spelled.alphabet[c])) for c in last.tolist()])[which]
+        return out
 
     def _gap(self, gap: str) -> tuple:
         """Whether a line ends in it, its mark (-1: that of the word before), quotes at its ends, whether it assigns."""
@@ -388,36 +560,47 @@ class Lines:
 
     def read(self, texts: list[str]) -> None:
         """Word by word: its text, first and end character there, whether a line begins, its marks and scores."""
-        words, gaps, counts = [], [], []
-        for text in texts:
-            parts = PARTS.split(text)
-            words += parts[1::2]
-            gaps += parts[::2]
-            counts.append(len(parts) // 2)
-        n, counts = len(words), np.array(counts, np.int64)
+        joined = "".join(texts)
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        begins = np.append(0, ends)[:-1]
+        self.start, self.end, widths = _borders(joined, begins)
+        n, upto = len(self.start), np.searchsorted(self.start, ends)
+        counts = np.diff(np.append(0, upto))
         self.of = np.repeat(np.arange(len(texts)), counts)
         place = np.arange(n)
         first_of_text = np.zeros(n, bool)
-        first_of_text[(np.cumsum(counts) - counts)[counts > 0]] = True
+        first_of_text[(upto - counts)[counts > 0]] = True
+        if not n:
+            self.first = self.odd = first_of_text
+            self.at = place
+            return
+        if self.field is None:
+            self._read_marks(joined, begins, first_of_text)
+            return
         if max(len(self.words), len(self.gaps)) > KNOWN:
             self.marks.clear()
             self.alone.clear()
             self.words.clear()
             self.gaps.clear()
-        word, gap = self.words.rows(words), self.gaps.rows(gaps)
-        left, right = gap[place + self.of], gap[place + self.of + 1]
-        lengths, gap_lengths = (np.fromiter(map(len, x), np.int64, len(x)) for x in (words, gaps))
-        reach = np.cumsum(lengths + gap_lengths[place + self.of])
-        self.end = reach - np.append(0, reach)[(np.cumsum(counts) - counts)][self.of]
-        self.start = self.end - lengths
+        # Gaps and words of a text in turn, a gap at either end, cover it; Arrow numbers those that differ.
+        borders = np.empty(2 * n + len(texts) + 1, np.int64)
+        borders[2 * (upto - counts) + np.arange(len(texts))] = begins
+        borders[2 * place + self.of + 1], borders[2 * place + self.of + 2] = self.start, self.end
+        borders[-1] = len(joined)
+        number, values = _numbered(joined, borders if widths is None else widths[borders])
+        of_word = number[2 * place + self.of + 1]
+        is_word = np.zeros(len(values), bool)
+        is_word[of_word] = True
+        row = np.empty(len(values), np.int64)
+        for kept, those in ((self.words, is_word), (self.gaps, ~is_word)):
+            row[those] = kept.places([values[i] for i in np.flatnonzero(those).tolist()])
+        word = self.words.values[row[of_word]]
+        left, right = (self.gaps.values[row[number[2 * place + self.of + k]]] for k in (0, 2))
+        self.start, self.end = self.start - begins[self.of], self.end - begins[self.of]
         self.first = first_of_text | (left[:, 0] > 0)
         self.at = place - np.maximum.accumulate(np.where(self.first, place, 0))  # in its line
-        cue = np.zeros(n, np.int64)
-        for k in range(NEAR, 0, -1):
-            cue[k:][(self.at[k:] >= k) & (word[:-k, 9] > 0)] = k
+        cue = self._after_cues(word[:, 9] > 0)
         self.odd = (word[:, 10] > 0) | (cue > 0)
-        if self.field is None or not n:
-            return
         follows = np.append(~self.first[1:], False)
         after = np.where(follows, 1 + np.append(word[1:, 6], 0), 0)
         lines = np.array([min(3, t.count("\n") // 10) for t in texts], np.int64)[self.of]
@@ -430,12 +613,38 @@ class Lines:
         before[self.first] = self._sum(["before="])
         self.own = word[:, :3] + before + marks[mark.astype(np.int64)] + self.context[code.astype(np.int64)]
 
+    def _after_cues(self, cues: np.ndarray) -> np.ndarray:
+        """How many words back in the line the last cue stands, 0 for none near."""
+        cue = np.zeros(len(cues), np.int64)
+        for k in range(NEAR, 0, -1):
+            cue[k:][(self.at[k:] >= k) & cues[:-k]] = k
+        return cue
+
+    def _read_marks(self, joined: str, begins: np.ndarray, first_of_text: np.ndarray) -> None:
+        """Where lines begin, and words that are odd or follow a cue, without scores: from the characters, only likely cues one by one."""
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        start, size, place = self.start, self.end - self.start, np.arange(len(self.start))
+        digits = np.append(0, np.cumsum((codes >= 48) & (codes <= 57), dtype=np.int32))
+        line = np.searchsorted(np.flatnonzero(codes == 10), start)
+        self.first = first_of_text | (line != np.append(-1, line[:-1]))
+        self.at = place - np.maximum.accumulate(np.where(self.first, place, 0))
+        pairs = [np.minimum(codes[np.minimum(start + k, len(codes) - 1)], 128) for k in (0, 1)]
+        cues = np.zeros(len(start), bool)
+        for i in np.flatnonzero(CUE_HEADS[pairs[0], pairs[1]] & (size <= 24)).tolist():
+            cues[i] = _is_cue(joined[start[i] : self.end[i]])
+        self.odd = (size >= 6) & (digits[self.end] > digits[start]) | (self._after_cues(cues) > 0)
+        self.start, self.end = start - begins[self.of], self.end - begins[self.of]
+
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
         """(start, kind, end) of what the field calls secret in each text."""
         out: list[list] = [[] for _ in texts]
         self.read(texts)
         if len(self.of):
-            tags = self.field.tags(self.own, self.first)
+            tags = np.zeros(len(self.of), np.int8)
+            open_ = self.field.open_words(self.own, self.first)
+            if open_.any():
+                begins = self.first | ~np.append(False, open_[:-1])
+                tags[open_] = self.field.tags(self.own[open_], begins[open_])
             for i in np.flatnonzero(tags != OUT).tolist():
                 found = out[self.of[i]]
                 if tags[i] == BEGIN:
