@@ -19,6 +19,7 @@ class Contract:
     fields: tuple[Field, ...]
     year_of: str | None = None  # date column whose year partitions the landed table
     year_column: str | None = None
+    together: str | None = None  # column whose rows of a year are landed together: they are aggregated by it
 
     @property
     def columns(self) -> list[str]:
@@ -37,6 +38,7 @@ PRICES = Contract(
     ),
     year_of="date",
     year_column="trade_year",
+    together="symbol",
 )
 
 FUNDAMENTALS = Contract(

@@ -33,8 +33,8 @@ class MarketFixture:
     @cached_property
     def _lines(self) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey")
-        lines = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines.withColumnRenamed("o_custkey", "symbol").withColumn("date", F.col("l_shipdate").cast("date"))
+        lines = self.table("lineitem").withColumn("date", F.col("l_shipdate").cast("date"))  # narrower than the time
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumnRenamed("o_custkey", "symbol")
 
     def _observed(self, lines: DataFrame) -> DataFrame:
         return lines.select(

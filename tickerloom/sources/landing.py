@@ -61,8 +61,8 @@ def prepare(
     The header is checked before anything is written. Accepted and rejected rows come
     from one pass over the text and go to partitions of their own, the accepted ones by
     year, so that a refresh of some years reads those only. Rows are rebalanced on these
-    partitions, so their files are even however many tasks read the text; files in the order of their
-    dates need no shuffle.
+    partitions, so their files are even however many tasks read the text, and a symbol's prices of a year lie together in
+    them, so that the roll-up is aggregated before its shuffle; files in the order of their dates need no shuffle.
     """
     cells = read_cells(spark, csv_path, contract)
     tables.create_lake(spark, lake)
@@ -86,7 +86,8 @@ def prepare(
     def write(df: DataFrame, balance: bool) -> tuple[str, DataFrame]:
         """Rows in a load of their own, and the digests of its files."""
         load = uuid.uuid4().hex
-        tables.write_table(df, f"{version.path}/load={load}", partition_by, balance=balance)
+        cluster_by = (contract.together,) if balance and contract.together else ()
+        tables.write_table(df, f"{version.path}/load={load}", partition_by, cluster_by, balance, contract.together)
         written = spark.read.schema(schema).parquet(f"{version.path}/load={load}").select(*cells_of)
         written.groupBy("file").agg(*digest(written)).write.parquet(f"{_ledger(lake, name)}/load={load}")
         return load, spark.read.parquet(f"{_ledger(lake, name)}/load={load}")

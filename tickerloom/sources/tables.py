@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tickerloom.session import work_dir
 
+BUCKETS = 64  # parts of a partition that keep the rows of a key together
 PUBLICATIONS = "_publications"
 PUBLICATION_SCHEMA = "commit long, name string, number long, path string, schema string, run string, info string"
 
@@ -23,6 +24,7 @@ def write_table(
     partition_by: tuple[str, ...] = (),
     cluster_by: tuple[str, ...] | list[str] = (),
     balance: bool = True,
+    together: str | None = None,
 ) -> None:
     """Write Parquet partitioned by ``partition_by``, sorted inside files by ``cluster_by``.
 
@@ -31,8 +33,15 @@ def write_table(
     third of all rows is written by many tasks. File sizes follow
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. Leave it off for rows straight
     from a scan, whose tasks are even already.
+
+    ``together`` names a column whose equal values stay in one task of a partition, as far as BUCKETS parts of it are enough:
+    without it a large partition is split by where its rows came from, each key lies in as many files as there are, and
+    an aggregate on the key hardly shrinks before its shuffle.
     """
-    if balance:
+    if balance and together:
+        bucket = F.pmod(F.xxhash64(together), F.lit(BUCKETS)).cast("byte")
+        df = df.withColumn("_bucket", bucket).hint("rebalance", *partition_by, "_bucket").drop("_bucket")
+    elif balance:
         df = df.hint("rebalance", *partition_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
