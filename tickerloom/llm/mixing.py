@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerloom.llm.text import kept_table, n_words
+from tickerloom.llm.text import in_few_files, kept_table, n_words
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -140,12 +140,12 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most=MOST_COPIES) -> DataFrame:
 def goals_of(rows: DataFrame, weights=WEIGHTS, most=MOST_COPIES) -> DataFrame:
     """Per source: its target, whole copies, the budget that is left, and the slope of inclusion."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = targets(kept_table(sizes, "mix-sizes"), weights, most)
+    goals = targets(kept_table(in_few_files(sizes), "mix-sizes"), weights, most)
     rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     goals = goals.withColumn("whole", F.floor(rate)).withColumn(
         "budget", F.col("target") - F.col("whole") * F.col("source_size")
     )
-    return kept_table(slopes(rows, goals), "mix-goals")
+    return kept_table(in_few_files(slopes(rows, goals)), "mix-goals")
 
 
 def with_ranks(rows: DataFrame, goals: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def cuts(rows: DataFrame, goals: DataFrame) -> DataFrame:
     """
     piece = F.shiftright("draw", BITS - SLICES)
     slices = rows.groupBy("source", piece.alias("slice")).agg(F.sum("size").alias("words"))
-    slices = kept_table(slices, "mix-slices")  # at most 1025 rows a source
+    slices = kept_table(in_few_files(slices), "mix-slices")  # at most 1025 rows a source
     upto = Window.partitionBy("source").orderBy("slice")
     same = F.col("g.source").eqNullSafe(F.col("s.source"))
     running = slices.withColumn("end", F.sum("words").over(upto))
@@ -213,7 +213,7 @@ def cuts(rows: DataFrame, goals: DataFrame) -> DataFrame:
         )
     )
     limits = kept_table(
-        limits.withColumn("closing", F.array().cast("array<long>")), "mix-limits"
+        in_few_files(limits.withColumn("closing", F.array().cast("array<long>"))), "mix-limits"
     )
     miss = F.abs(F.col("s.size") - F.col("g.gap"))
     for turn in range(CLOSING):
@@ -228,17 +228,13 @@ def cuts(rows: DataFrame, goals: DataFrame) -> DataFrame:
             .groupBy(F.col("g.source").alias("source"))
             .agg(F.min(F.struct(miss.alias("miss"), F.col("s.draw").alias("draw"), "s.size")).alias("best"))
         )
-        limits = kept_table(
-            limits.alias("g")
-            .join(best.alias("s"), same, "left")
-            .select(
-                "g.source", "g.source_size", "g.target", "g.whole", "g.last", "g.open",
-                (F.col("g.gap") - F.coalesce("s.best.size", F.lit(0))).alias("gap"),
-                F.when(F.col("s.best").isNull(), F.col("g.closing"))
-                .otherwise(F.array_append("g.closing", F.col("s.best.draw"))).alias("closing"),
-            ),
-            "mix-limits",
+        closed = limits.alias("g").join(best.alias("s"), same, "left").select(
+            "g.source", "g.source_size", "g.target", "g.whole", "g.last", "g.open",
+            (F.col("g.gap") - F.coalesce("s.best.size", F.lit(0))).alias("gap"),
+            F.when(F.col("s.best").isNull(), F.col("g.closing"))
+            .otherwise(F.array_append("g.closing", F.col("s.best.draw"))).alias("closing"),
         )
+        limits = kept_table(in_few_files(closed), "mix-limits")
     return limits.select("source", "source_size", "target", "whole", "last", "closing")
 
 
